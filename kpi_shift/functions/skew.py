@@ -1,0 +1,37 @@
+"""Equi-joins that stay balanced when one key holds a large share of the rows."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+SALTS = 16
+_SALT = "__salt"
+
+
+def salted_join(
+    facts: DataFrame,
+    lookup: DataFrame,
+    on: Sequence[str],
+    how: str = "inner",
+    spread_by: Sequence[str] = (),
+    salts: int = SALTS,
+) -> DataFrame:
+    """Join many-row ``facts`` with a smaller ``lookup`` (``inner``, ``left``, ``left_semi`` or ``left_anti``).
+
+    The rows of one key are spread over ``salts`` tasks by a hash of ``spread_by``; the lookup is repeated once per
+    salt. The salt is a pure function of the row, so a retried task puts each row where it was before. No broadcast is
+    forced: Spark broadcasts the lookup where its size, estimated or measured at run time, is under
+    ``spark.sql.autoBroadcastJoinThreshold``, and otherwise does a sort-merge join on (key, salt), in which adaptive
+    execution can split what is still too large (both inputs have their own exchange, as that needs).
+    """
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"salted_join keeps the rows of the left side; {how!r} does not")
+    keys = list(on)
+    if not spread_by:
+        return facts.join(lookup, keys, how)
+    salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
+    repeated = lookup.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return facts.withColumn(_SALT, salt).join(repeated, [*keys, _SALT], how).drop(_SALT)
