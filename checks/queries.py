@@ -160,7 +160,6 @@ def tower_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         _near_tickets(spark, sf_dir, run.events),
         _work_orders(spark, sf_dir, run.events),
         TOWER,
-        MONITOR,
         MONITOR.digits,
     )
 
@@ -168,7 +167,7 @@ def tower_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _entity_report(spark: SparkSession, sf_dir: str, level: Level) -> DataFrame:
     scored = score.zero_override(_finer_run(spark, sf_dir, level).scored, MONITOR)
     azimuths = context.sector_azimuth(derived(spark, sf_dir, "sector_azimuth"), level)
-    return context.entity_report(scored, azimuths, level, MONITOR, MONITOR.digits)
+    return context.entity_report(scored, azimuths, level, MONITOR.digits)
 
 
 def sector_report(spark: SparkSession, sf_dir: str) -> DataFrame:

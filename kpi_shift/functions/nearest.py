@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpi_shift.functions.geo import clamp, degrees_of, haversine_miles
-from kpi_shift.functions.skew import salted_join
+from kpi_shift.functions.lookup import lookup_join
 
 # A block is BLOCK degrees wide, a cell BLOCKS_PER_CELL blocks; a whole number of cells goes round the earth.
 BLOCK = 0.0075
@@ -81,7 +81,7 @@ def nearest_within(
         spots.withColumn("cell_y", F.explode(rows))
         .withColumn("cell_x", F.explode(F.array_distinct(F.transform(columns, _wrap))))
     )
-    pairs = salted_join(reach, blocks, [*by, "cell_y", "cell_x"], spread_by=["lat", "lng"])
+    pairs = lookup_join(reach, blocks, [*by, "cell_y", "cell_x"])
     # the point seen from the side of the earth the block lies on, moved to the nearest spot of the block's box
     turned = lng + 360 * F.round(((F.col("west") + F.col("east")) / 2 - lng) / 360)
     floor = haversine_miles(
@@ -101,7 +101,7 @@ def nearest_within(
         .select(*by, "lat", "lng", "block_y", "block_x")
     )
     measured = (
-        salted_join(opened, sites, [*by, "block_y", "block_x"], spread_by=["lat", "lng"])
+        lookup_join(opened, sites, [*by, "block_y", "block_x"])
         .withColumn("miles", haversine_miles(lat, lng, F.col("latitude"), F.col("longitude")))
         .filter(F.col("miles") <= miles)
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from kpi_shift.functions.columns import add_missing, cast_columns, pad_id, row_sum
 from kpi_shift.functions.dates import parse_day
-from kpi_shift.functions.skew import salted_join
+from kpi_shift.functions.lookup import lookup_join
 from kpi_shift.spec import Level, Monitor
 
 # Id that stands for "all towers", sector that stands for "no sector", day format of the files.
@@ -68,7 +68,6 @@ def silent_to_null(
     rows: DataFrame,
     kpis: Sequence[str],
     keys: Sequence[str],
-    spread_by: Sequence[str] = (),
 ) -> DataFrame:
     """Null the ``kpis`` of rows where they sum to zero; drop the other rows under the key of such a row.
 
@@ -77,7 +76,7 @@ def silent_to_null(
     """
     silent = F.coalesce(row_sum(kpis) == 0, F.lit(False))
     silent_keys = rows.filter(silent).select(*keys).distinct().withColumn("__key_silent", F.lit(True))
-    marked = salted_join(rows, silent_keys, keys, "left", spread_by=spread_by or kpis)
+    marked = lookup_join(rows, silent_keys, keys, "left", summarised=True)
     nulled = {c: F.when(~silent, F.col(c)) for c in kpis}
     return (
         marked.filter(F.col("__key_silent").isNull() | silent)

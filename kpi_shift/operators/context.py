@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kpi_shift.functions.columns import lower_names, pad_id, round_columns
-from kpi_shift.functions.skew import salted_join
+from kpi_shift.functions.lookup import lookup_join
 from kpi_shift.operators.clean import NO_SECTOR
-from kpi_shift.spec import Level, Monitor
+from kpi_shift.spec import Level
 
 REPORT_DIGITS = 4
 
@@ -33,28 +33,22 @@ def sector_azimuth(inventory: DataFrame, level: Level) -> DataFrame:
     ).distinct()
 
 
-def _spread(scored: DataFrame, level: Level, monitor: Monitor) -> list[str]:
-    return [c for c in [*level.ids[1:], "event_date", "day", *monitor.names] if c in scored.columns]
-
-
 def tower_report(
     scored: DataFrame,
     coords: DataFrame,
     near_tickets: DataFrame,
     work_orders: DataFrame,
     level: Level,
-    monitor: Monitor,
     digits: int = REPORT_DIGITS,
 ) -> DataFrame:
     """All scored rows with position and both ticket counts; what has no match stays null.
 
     The count tables are joined on the tower and those of event_date and day they have.
     """
-    spread = _spread(scored, level, monitor)
-    report = salted_join(scored, coords, [level.tower], "left", spread_by=spread)
+    report = lookup_join(scored, coords, [level.tower], "left", summarised=True)
     for counts in (near_tickets, work_orders):
         keys = [c for c in (level.tower, "event_date", "day") if c in counts.columns]
-        report = salted_join(report, counts, keys, "left", spread_by=spread)
+        report = lookup_join(report, counts, keys, "left", summarised=True)
     return lower_names(round_columns(report, digits))
 
 
@@ -62,10 +56,9 @@ def entity_report(
     scored: DataFrame,
     azimuths: DataFrame,
     level: Level,
-    monitor: Monitor,
     digits: int = REPORT_DIGITS,
 ) -> DataFrame:
     """All scored sector or carrier rows with azimuth, distinct, without the placeholder sector."""
-    joined = salted_join(scored, azimuths, list(level.ids), "left", spread_by=_spread(scored, level, monitor))
+    joined = lookup_join(scored, azimuths, level.ids, "left")
     report = lower_names(round_columns(joined, digits))
     return report.fillna({"rtp_gap_change_rate": 0}).filter(F.col(level.ids[1]) != NO_SECTOR).distinct()

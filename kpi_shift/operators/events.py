@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kpi_shift.functions.dates import calendar, days_around
-from kpi_shift.functions.skew import salted_join
+from kpi_shift.functions.dates import calendar
+from kpi_shift.functions.lookup import lookup_join
 from kpi_shift.operators.clean import new_activity, old_activity, vendor_activity
 from kpi_shift.spec import Level, Monitor
 
@@ -71,28 +71,24 @@ def cohort(events: DataFrame, level: Level) -> DataFrame:
     return events.select(level.tower, F.col("event_date").cast("date").alias("event_date")).distinct()
 
 
-def cohort_days(events: DataFrame, level: Level, first: int, last: int) -> DataFrame:
-    """(tower, day, event_date) for the days ``event_date + first`` .. ``event_date + last`` of each event.
+def rows_around(rows: DataFrame, events: DataFrame, level: Level, first: int, last: int) -> DataFrame:
+    """Rows of event towers on the days ``event_date + first`` .. ``event_date + last``, with ``event_date``.
 
-    Joining KPI rows on (tower, day) instead of tower alone keeps the join an equi-join, spreads a tower with many rows
-    over its days and lets Spark prune day partitions.
+    A row appears once per event whose window it lies in.
     """
-    return cohort(events, level).select(
-        level.tower, F.explode(days_around("event_date", first, last)).alias("day"), "event_date"
-    )
+    near = F.col("day").between(F.date_add("event_date", first), F.date_add("event_date", last))
+    return lookup_join(rows, cohort(events, level), [level.tower], where=near)
 
 
 def event_rows(panel: DataFrame, events: DataFrame, level: Level, monitor: Monitor) -> DataFrame:
     """The event list as published: all KPI rows of the event day, with both activities and ``event_date``."""
-    on_the_day = cohort_days(events, level, 0, 0)
-    rows = salted_join(panel, on_the_day, [level.tower, "day"], spread_by=monitor.panel_columns)
-    return vendor_activity(rows, monitor)
+    return vendor_activity(rows_around(panel, events, level, 0, 0), monitor)
 
 
 def events_by_level(inventory: DataFrame, events: DataFrame, level: Level) -> DataFrame:
     """The tower events carried to a finer level: one row per entity of an event tower."""
     entities = inventory.select(*level.ids).distinct()
-    return salted_join(entities, cohort(events, level), [level.tower], spread_by=level.ids[1:])
+    return lookup_join(entities, cohort(events, level), [level.tower])
 
 
 def event_list_check(events: DataFrame, start: str, end: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kpi_shift.functions.skew import salted_join
+from kpi_shift.functions.lookup import lookup_join
 from kpi_shift.spec import Level
 
 # Cause codes that are kept, and the codes belonging to each alerting KPI.
@@ -99,10 +99,9 @@ def impacted_users(failures: DataFrame, scored: DataFrame, level: Level) -> Data
     ``failures`` is normalised and has the ``day``. Joining on tower, day and cause at once replaces one filter per
     alert and cause.
     """
-    found = salted_join(
+    found = lookup_join(
         failures.select(level.tower, "day", "cause_code", "fromuri_num", "msisdn_num"),
         alert_causes(scored, level),
         [level.tower, "day", "cause_code"],
-        spread_by=["msisdn_num", "fromuri_num"],
     )
     return found.select(level.tower, "day", "fromuri_num", "msisdn_num", "cause_code", "abnormal_feature")

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpi_shift.functions.skew import salted_join
 from kpi_shift.operators.clean import silent_to_null
-from kpi_shift.operators.events import cohort_days
+from kpi_shift.operators.events import rows_around
 from kpi_shift.spec import Level, Monitor
 
 
@@ -20,14 +19,13 @@ def pre_event_panel(panel: DataFrame, events: DataFrame, level: Level, monitor:
 
     A row is silent here when all KPIs, shared ones included, sum to zero.
     """
-    days = cohort_days(events, level, -monitor.baseline_days, -1)
     kept = panel.select(
         *level.ids,
         "day",
         *_present(panel, monitor.categorical),
         *[F.col(k.old).alias(k.name) for k in monitor.kpis],
     )
-    rows = salted_join(kept, days, [level.tower, "day"], spread_by=[*level.ids[1:], *monitor.names])
+    rows = rows_around(kept, events, level, -monitor.baseline_days, -1)
     return silent_to_null(rows, monitor.names, ["event_date", "day", *level.ids])
 
 
@@ -53,12 +51,9 @@ def post_event_panel(
     A row is silent here when the unshared KPIs sum to zero; only those are nulled. Covers every cohort of every run
     day at once; ``start`` (inclusive) and ``end`` (exclusive) restrict the run days.
     """
-    days = cohort_days(events, level, 0, monitor.follow_days)
     if start is not None:
-        days = days.filter(F.col("day") >= F.lit(start).cast("date"))
         panel = panel.filter(F.col("day") >= F.lit(start).cast("date"))
     if end is not None:
-        days = days.filter(F.col("day") < F.lit(end).cast("date"))
         panel = panel.filter(F.col("day") < F.lit(end).cast("date"))
     kept = panel.select(
         *level.ids,
@@ -66,6 +61,6 @@ def post_event_panel(
         *_present(panel, monitor.categorical),
         *[F.col(k.new).alias(k.name) for k in monitor.kpis],
     )
-    rows = salted_join(kept, days, [level.tower, "day"], spread_by=[*level.ids[1:], *monitor.names])
+    rows = rows_around(kept, events, level, 0, monitor.follow_days)
     unshared = [k.name for k in monitor.kpis if not k.shared]
     return silent_to_null(rows, unshared, ["event_date", "day", *level.ids])

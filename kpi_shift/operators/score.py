@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kpi_shift.functions.columns import round_columns
-from kpi_shift.functions.skew import salted_join
+from kpi_shift.functions.lookup import lookup_join
 from kpi_shift.spec import RISING, Kpi, Level, Monitor
 
 
@@ -53,11 +53,19 @@ def score_rows(joined: DataFrame, monitor: Monitor) -> DataFrame:
     return round_columns(flagged, monitor.digits)
 
 
-def score_post_event(post_panel: DataFrame, baseline: DataFrame, level: Level, monitor: Monitor) -> DataFrame:
-    """Score each row after an event. Alerts use the unrounded values; values are rounded afterwards."""
+def score_post_event(
+    post_panel: DataFrame,
+    baseline: DataFrame,
+    level: Level,
+    monitor: Monitor,
+    summarised: bool = True,
+) -> DataFrame:
+    """Score each row after an event. Alerts use the unrounded values; values are rounded afterwards.
+
+    ``summarised`` is false for a baseline read from a written table.
+    """
     keys = [*level.ids, "event_date"]
-    joined = salted_join(post_panel, baseline, keys, spread_by=["day", *monitor.names])
-    return score_rows(joined, monitor)
+    return score_rows(lookup_join(post_panel, baseline, keys, summarised=summarised), monitor)
 
 
 def zero_override(scored: DataFrame, monitor: Monitor) -> DataFrame:

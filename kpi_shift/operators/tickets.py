@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from kpi_shift.functions.columns import pad_id
 from kpi_shift.functions.dates import days_around, parse_day
 from kpi_shift.functions.nearest import nearest_within
-from kpi_shift.functions.skew import salted_join
+from kpi_shift.functions.lookup import lookup_join
 from kpi_shift.operators.events import cohort
 from kpi_shift.spec import Level, Monitor
 
@@ -150,15 +150,20 @@ def tickets_near_tower(
         .groupBy("create_date", "lat", "lng", "first_day", "last_day")
         .agg(F.count("*").alias("n"))
     )
-    end = F.least("last_day", F.date_add("event_date", follow))
-    per_cohort = (
-        spans.withColumn("event_date", F.explode(days_around("create_date", -follow, 0)))
-        .withColumn("last_day", end)
+    towers = cohort(events, level).join(coords, level.tower)
+    cohort_dates = towers.select("event_date").distinct()  # one row per calendar day at most, hence safe to broadcast
+    points = (
+        spans.select("lat", "lng", F.explode(days_around("create_date", -follow, 0)).alias("event_date"))
+        .join(F.broadcast(cohort_dates), "event_date", "left_semi")
+    )
+    nearest = nearest_within(points, towers, miles, ["event_date"], level.tower)
+    # per position, the spans are as many as there are pairs of days, and the cohorts as there are days
+    given = (
+        spans.join(nearest, ["lat", "lng"])
+        .filter(F.col("create_date").between(F.col("event_date"), F.date_add("event_date", follow)))
+        .withColumn("last_day", F.least("last_day", F.date_add("event_date", follow)))
         .filter(F.col("first_day") <= F.col("last_day"))
     )
-    towers = cohort(events, level).join(coords, level.tower)
-    nearest = nearest_within(per_cohort, towers, miles, ["event_date"], level.tower)
-    given = salted_join(per_cohort, nearest, ["event_date", "lat", "lng"], spread_by=["create_date", "first_day"])
     totals = given.groupBy(level.tower, "event_date", "first_day", "last_day").agg(F.sum("n").alias("n"))
     return (
         totals.withColumn("day", F.explode(F.sequence("first_day", "last_day")))
@@ -198,16 +203,15 @@ def work_orders_per_tower(orders: DataFrame, events: DataFrame, level: Level, mo
         )
     )
     towers = cohort(events, level)
-    # an order none of whose rows lies on an event tower cannot count
+    # cohorts an order can count for: those of the towers it has named; its other versions matter only there
     relevant = (
-        salted_join(
+        lookup_join(
             rows.select("noc_id", F.col(f"v.{level.tower}").alias(level.tower), "data_date"),
-            towers.select(level.tower).distinct(),
+            towers,
             [level.tower],
-            "left_semi",
-            spread_by=["noc_id", "data_date"],
+            where=F.col("data_date").between(F.date_sub("event_date", 1), F.date_add("event_date", follow)),
         )
-        .select("noc_id")
+        .select("noc_id", "event_date")
         .distinct()
     )
     daily = rows.groupBy("noc_id", "status", "data_date").agg(F.max("v").alias("v"))
@@ -216,11 +220,14 @@ def work_orders_per_tower(orders: DataFrame, events: DataFrame, level: Level, mo
     stand_in = loaded.join(
         loaded.select(F.date_sub("data_date", 1).alias("data_date")), "data_date", "left_anti"
     ).withColumn("stands_in", F.lit(True))
+    # an order has at most one row per status and day, and one cohort per day
     per_cohort = (
-        daily.join(relevant, "noc_id", "left_semi")
+        daily.join(relevant, "noc_id")
         .join(F.broadcast(stand_in), "data_date", "left")
-        .withColumn("last_cohort", F.when(F.col("stands_in"), F.date_add("data_date", 1)).otherwise(F.col("data_date")))
-        .withColumn("event_date", F.explode(F.sequence(F.date_sub("data_date", follow), F.col("last_cohort"))))
+        .filter(
+            F.col("data_date").between(F.col("event_date"), F.date_add("event_date", follow))
+            | (F.coalesce("stands_in", F.lit(False)) & (F.col("data_date") == F.date_sub("event_date", 1)))
+        )
         .withColumn("first_day", F.greatest("data_date", "event_date"))
     )
     # at most follow_days + 2 rows per order, status and cohort
@@ -249,7 +256,7 @@ def work_orders_per_tower(orders: DataFrame, events: DataFrame, level: Level, mo
         .agg(F.count("*").alias("n"))
     )
     return (
-        salted_join(counted, towers, [level.tower, "event_date"], spread_by=["first_day", "last_day"])
+        lookup_join(counted, towers, [level.tower, "event_date"])
         .withColumn("day", F.explode(F.sequence("first_day", "last_day")))
         .groupBy(level.tower, "event_date", "day")
         .agg(F.sum("n").alias("w360_ticket_counts"))

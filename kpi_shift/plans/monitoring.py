@@ -5,9 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from kpi_shift.functions.stage import stage
-from kpi_shift.operators.events import detect_events
+from kpi_shift.operators.events import cohort, detect_events
 from kpi_shift.operators.panels import baseline_stats, post_event_panel, pre_event_panel
 from kpi_shift.operators.score import score_post_event
 from kpi_shift.sources.sinks import write_partitions
@@ -38,12 +39,22 @@ def monitor_panel(
     tower run. Event list and baseline are written to the shared folder: they are small next to the panel, are used
     repeatedly, and once written their true size decides whether a join broadcasts them.
     """
+    if start is not None:
+        # the earliest cohort scored on `start` is `follow_days` old, and judged by a baseline before it
+        panel = panel.filter(F.col("day") >= F.date_sub(F.lit(start).cast("date"), monitor.follow_days + monitor.baseline_days))
+    if end is not None:
+        panel = panel.filter(F.col("day") < F.lit(end).cast("date"))
     if events is None:
         events = stage(detect_events(panel, level, monitor), "events")
+    else:
+        events = cohort(events, level)
+    if start is not None:
+        events = events.filter(F.col("event_date") >= F.date_sub(F.lit(start).cast("date"), monitor.follow_days))
     pre_panel = pre_event_panel(panel, events, level, monitor)
     baseline = stage(baseline_stats(pre_panel, level, monitor), "baseline")
     post_panel = post_event_panel(panel, events, level, monitor, start, end)
-    return Run(events, pre_panel, baseline, score_post_event(post_panel, baseline, level, monitor))
+    scored = score_post_event(post_panel, baseline, level, monitor, summarised=False)
+    return Run(events, pre_panel, baseline, scored)
 
 
 def score_range(
