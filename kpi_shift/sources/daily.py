@@ -81,13 +81,12 @@ def union_tables(tables: Sequence[DataFrame], columns: Sequence[str] = ()) -> Da
 
 
 def list_dated_files(spark: SparkSession, folder: str, day_pattern: str = ISO_DAY) -> DataFrame:
-    """(path, day) of the files below ``folder`` whose name holds a day; their contents are not read."""
+    """(path, day) of the files below ``folder`` whose own or directory name holds a day; contents are not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).select("path")
-    if day_pattern == COMPACT_DAY:
-        text, form = F.regexp_extract("path", f"({day_pattern})", 1), "yyyyMMdd"
-    else:
-        text, form = F.regexp_extract("path", f"({day_pattern})", 1), "yyyy-MM-dd"
-    return files.select("path", F.try_to_date(text, F.lit(form)).alias("day")).filter(F.col("day").isNotNull())
+    below = F.substring_index("path", folder.rstrip("/").rsplit("/", 1)[-1] + "/", -1)
+    form = "yyyyMMdd" if day_pattern == COMPACT_DAY else "yyyy-MM-dd"
+    day = F.try_to_date(F.regexp_extract(below, f"({day_pattern})", 1), form)
+    return files.select("path", day.alias("day")).filter(F.col("day").isNotNull())
 
 
 def latest_snapshot(snapshots: DataFrame, as_of: str, date_column: str = "date", static: DataFrame | None = None) -> DataFrame:
