@@ -1,10 +1,11 @@
-"""Column helpers shared by the operators."""
+"""Column helpers shared by the operators.
+
+Expressions that are generated per KPI are SQL text: one call per column instead of one per function.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from functools import reduce
-from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,9 +17,9 @@ def pad_id(column: str | Column, width: int = 6) -> Column:
     return F.when(F.length(c) < width, F.lpad(c, width, "0")).otherwise(c)
 
 
-def row_sum(columns: Sequence[str]) -> Column:
-    """Sum across columns; null as soon as one of them is null."""
-    return reduce(add, [F.col(c) for c in columns])
+def row_sum(columns: Sequence[str]) -> str:
+    """SQL text: sum across columns, null as soon as one of them is null."""
+    return "(" + " + ".join(f"`{c}`" for c in columns) + ")"
 
 
 def rename_columns(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
@@ -35,15 +36,14 @@ def round_columns(df: DataFrame, digits: int = 2, columns: Iterable[str] | None
     """Round the listed columns, by default every float and double."""
     if columns is None:
         columns = [c for c, t in df.dtypes if t in ("double", "float")]
-    return df.withColumns({c: F.round(F.col(f"`{c}`"), digits) for c in columns})
+    chosen = set(columns)
+    return df.selectExpr(*[f"round(`{c}`, {digits}) AS `{c}`" if c in chosen else f"`{c}`" for c in df.columns])
 
 
 def cast_columns(df: DataFrame, columns: Iterable[str], dtype: str = "double") -> DataFrame:
     """Cast a subset in place; text that does not parse becomes null."""
     chosen = set(columns)
-    return df.select(
-        [F.col(f"`{c}`").try_cast(dtype).alias(c) if c in chosen else F.col(f"`{c}`") for c in df.columns]
-    )
+    return df.selectExpr(*[f"try_cast(`{c}` AS {dtype}) AS `{c}`" if c in chosen else f"`{c}`" for c in df.columns])
 
 
 def add_missing(df: DataFrame, defaults: Mapping[str, Column]) -> DataFrame:

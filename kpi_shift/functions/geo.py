@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Earth radius and kilometres per mile used for all published distances.
 EARTH_RADIUS_KM = 6371.7
 KM_PER_MILE = 1.60934
@@ -12,18 +9,13 @@ KM_PER_MILE = 1.60934
 EARTH_RADIUS_MILES = EARTH_RADIUS_KM / KM_PER_MILE
 
 
-def haversine_miles(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Column:
-    """Great-circle distance in miles; null when a coordinate is null."""
-    half_lat = F.sin(F.radians(lat2 - lat1) / 2)
-    half_lng = F.sin(F.radians(lng2 - lng1) / 2)
-    a = half_lat * half_lat + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half_lng * half_lng
-    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(a)) / F.lit(KM_PER_MILE)
+def haversine_miles(lat1: str, lng1: str, lat2: str, lng2: str) -> str:
+    """SQL text: great-circle distance in miles; null when a coordinate is null."""
+    half_lat, half_lng = f"sin(radians({lat2} - {lat1}) / 2)", f"sin(radians({lng2} - {lng1}) / 2)"
+    a = f"{half_lat} * {half_lat} + cos(radians({lat1})) * cos(radians({lat2})) * {half_lng} * {half_lng}"
+    return f"{2 * EARTH_RADIUS_KM}D * asin(sqrt({a})) / {KM_PER_MILE}D"
 
 
 def degrees_of(miles: float) -> float:
     """Latitude span of a distance along a meridian."""
     return miles / EARTH_RADIUS_MILES * 57.29577951308232
-
-
-def clamp(value: Column, low: Column, high: Column) -> Column:
-    return F.least(F.greatest(value, low), high)

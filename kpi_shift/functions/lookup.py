@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 
 
 def lookup_join(
@@ -12,7 +12,6 @@ def lookup_join(
     lookup: DataFrame,
     on: Sequence[str],
     how: str = "inner",
-    where: Column | None = None,
     summarised: bool = False,
 ) -> DataFrame:
     """Equi-join ``rows`` with a ``lookup``; ``how`` keeps the left side: inner, left, left_semi or left_anti.
@@ -23,10 +22,7 @@ def lookup_join(
     both, nothing may multiply the lookup's rows between the point of measuring and the join, and the lookup needs a
     shuffle of its own. A lookup aggregated on the join keys (``summarised``) would reuse the aggregation's, and the
     hot key could not be split; the rebalance gives it one.
-
-    ``where`` is a further condition on an inner join.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"lookup_join keeps the rows of the left side; {how!r} does not")
-    joined = rows.join(lookup.hint("rebalance") if summarised else lookup, list(on), how)
-    return joined if where is None else joined.filter(where)
+    return rows.join(lookup.hint("rebalance") if summarised else lookup, list(on), how)

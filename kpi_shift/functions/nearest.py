@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpi_shift.functions.geo import clamp, degrees_of, haversine_miles
+from kpi_shift.functions.geo import degrees_of, haversine_miles
 from kpi_shift.functions.lookup import lookup_join
 
 # A block is BLOCK degrees wide, a cell BLOCKS_PER_CELL blocks; a whole number of cells goes round the earth.
@@ -20,17 +20,13 @@ MARGIN = 1.02
 DISTANCE_DIGITS = 6
 
 
-def _wrap(cell_x: Column) -> Column:
-    return F.pmod(cell_x, F.lit(CELLS_ROUND).cast("long"))
-
-
-def _cells_around(lat: Column, lng: Column, miles: float) -> tuple[Column, Column]:
-    """Rows and (wrapped) columns of the cells that the box of half-width ``miles`` touches."""
+def _cells_around(miles: float) -> tuple[str, str]:
+    """Rows and columns of the cells that the box of half-width ``miles`` around (lat, lng) touches."""
     dlat = degrees_of(miles) * MARGIN
-    dlng = F.lit(dlat) / F.cos(F.radians(F.least(F.abs(lat) + dlat, F.lit(85e0))))
-    rows = F.sequence(F.floor((lat - dlat) / CELL), F.floor((lat + dlat) / CELL))
-    columns = F.sequence(F.floor((lng - dlng) / CELL), F.floor((lng + dlng) / CELL))
-    return rows, columns
+    dlng = f"{dlat}D / cos(radians(least(abs(lat) + {dlat}D, 85D)))"
+    rows = f"sequence(floor((lat - {dlat}D) / {CELL}D), floor((lat + {dlat}D) / {CELL}D))"
+    columns = f"sequence(floor((lng - {dlng}) / {CELL}D), floor((lng + {dlng}) / {CELL}D))"
+    return rows, f"array_distinct(transform({columns}, x -> pmod(x, {CELLS_ROUND}L)))"
 
 
 def nearest_within(
@@ -51,61 +47,58 @@ def nearest_within(
     count once on both sides.
     """
     by = list(by)
-    spots = points.select(*by, "lat", "lng").filter(F.col("lat").isNotNull() & F.col("lng").isNotNull()).distinct()
+    key = ", ".join(by)
+    spots = points.select(*by, "lat", "lng").filter("lat IS NOT NULL AND lng IS NOT NULL").distinct()
     sites = (
-        targets.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
+        targets.filter("latitude IS NOT NULL AND longitude IS NOT NULL")
         .groupBy(*by, "latitude", "longitude")
         .agg(F.min(target_id).alias(target_id))
-        .withColumns(
-            {
-                "block_y": F.floor(F.col("latitude") / BLOCK),
-                "block_x": F.floor(F.col("longitude") / BLOCK),
-            }
-        )
+        .selectExpr("*", f"floor(latitude / {BLOCK}D) AS block_y", f"floor(longitude / {BLOCK}D) AS block_x")
     )
-    blocks = sites.groupBy(*by, "block_y", "block_x").agg(
-        F.min("latitude").alias("south"),
-        F.max("latitude").alias("north"),
-        F.min("longitude").alias("west"),
-        F.max("longitude").alias("east"),
-        F.min_by("longitude", "latitude").alias("known_lng"),
-    ).withColumns(
-        {
-            "cell_y": F.floor(F.col("block_y") / BLOCKS_PER_CELL),
-            "cell_x": _wrap(F.floor(F.col("block_x") / BLOCKS_PER_CELL)),
-        }
-    )
-    lat, lng = F.col("lat"), F.col("lng")
-    rows, columns = _cells_around(lat, lng, miles)
-    reach = (
-        spots.withColumn("cell_y", F.explode(rows))
-        .withColumn("cell_x", F.explode(F.array_distinct(F.transform(columns, _wrap))))
+    blocks = (
+        sites.groupBy(*by, "block_y", "block_x")
+        .agg(
+            F.expr("min(latitude) AS south"),
+            F.expr("max(latitude) AS north"),
+            F.expr("min(longitude) AS west"),
+            F.expr("max(longitude) AS east"),
+            F.expr("min_by(longitude, latitude) AS known_lng"),
+        )
+        .selectExpr(
+            "*",
+            f"floor(block_y / {BLOCKS_PER_CELL}) AS cell_y",
+            f"pmod(floor(block_x / {BLOCKS_PER_CELL}), {CELLS_ROUND}L) AS cell_x",
+        )
     )
+    rows, columns = _cells_around(miles)
+    reach = spots.selectExpr("*", f"explode({rows}) AS cell_y").selectExpr("*", f"explode({columns}) AS cell_x")
     pairs = lookup_join(reach, blocks, [*by, "cell_y", "cell_x"])
-    # the point seen from the side of the earth the block lies on, moved to the nearest spot of the block's box
-    turned = lng + 360 * F.round(((F.col("west") + F.col("east")) / 2 - lng) / 360)
-    floor = haversine_miles(
-        lat, turned, clamp(lat, F.col("south"), F.col("north")), clamp(turned, F.col("west"), F.col("east"))
+    # the point seen from the side of the earth the block lies on, and the spot of the block's box nearest to it
+    turned = pairs.selectExpr("*", "lng + 360 * round(((west + east) / 2 - lng) / 360) AS turned_lng")
+    beside = turned.selectExpr(
+        "*",
+        "least(greatest(lat, south), north) AS beside_lat",
+        "least(greatest(turned_lng, west), east) AS beside_lng",
     )
-    pairs = pairs.withColumns(
-        {
-            "at_least": floor / MARGIN,
-            "at_most": haversine_miles(lat, lng, F.col("south"), F.col("known_lng")),
-        }
-    ).filter(F.col("at_least") <= miles)
+    bounded = beside.selectExpr(
+        *by,
+        "lat",
+        "lng",
+        "block_y",
+        "block_x",
+        f"{haversine_miles('lat', 'turned_lng', 'beside_lat', 'beside_lng')} / {MARGIN}D AS at_least",
+        f"{haversine_miles('lat', 'lng', 'south', 'known_lng')} AS at_most",
+    ).filter(f"at_least <= {miles}D")
     # at most a few cells of blocks per point, so this window is bounded
-    best = F.min("at_most").over(Window.partitionBy(*by, "lat", "lng"))
-    opened = (
-        pairs.withColumn("best", best)
-        .filter(F.col("at_least") <= F.col("best") + 10.0 ** (1 - DISTANCE_DIGITS))
-        .select(*by, "lat", "lng", "block_y", "block_x")
+    opened = bounded.selectExpr("*", f"min(at_most) OVER (PARTITION BY {key}, lat, lng) AS best").filter(
+        f"at_least <= best + {10.0 ** (1 - DISTANCE_DIGITS)}D"
     )
     measured = (
-        lookup_join(opened, sites, [*by, "block_y", "block_x"])
-        .withColumn("miles", haversine_miles(lat, lng, F.col("latitude"), F.col("longitude")))
-        .filter(F.col("miles") <= miles)
+        lookup_join(opened.select(*by, "lat", "lng", "block_y", "block_x"), sites, [*by, "block_y", "block_x"])
+        .selectExpr(*by, "lat", "lng", target_id, f"{haversine_miles('lat', 'lng', 'latitude', 'longitude')} AS miles")
+        .filter(f"miles <= {miles}D")
     )
     nearest = measured.groupBy(*by, "lat", "lng").agg(
-        F.min(F.struct(F.round("miles", DISTANCE_DIGITS).alias("miles"), F.col(target_id))).alias("hit")
+        F.expr(f"min(struct(round(miles, {DISTANCE_DIGITS}) AS miles, {target_id})) AS hit")
     )
     return nearest.select(*by, "lat", "lng", f"hit.{target_id}", "hit.miles")

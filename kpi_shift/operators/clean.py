@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kpi_shift.functions.columns import add_missing, cast_columns, pad_id, row_sum
@@ -51,17 +51,10 @@ def clean_kpis(raw: DataFrame, level: Level, monitor: Monitor) -> DataFrame:
     return clean_rows(rows, level.tower, monitor.panel_columns, monitor.shared_columns)
 
 
-def old_activity(monitor: Monitor) -> Column:
-    return row_sum(monitor.old_columns)
-
-
-def new_activity(monitor: Monitor) -> Column:
-    return row_sum(monitor.new_columns)
-
-
 def vendor_activity(panel: DataFrame, monitor: Monitor) -> DataFrame:
     """Add the row sums of the old and of the new KPI set; null when one KPI of the set is null."""
-    return panel.withColumns({"old_activity": old_activity(monitor), "new_activity": new_activity(monitor)})
+    old, new = row_sum(monitor.old_columns), row_sum(monitor.new_columns)
+    return panel.selectExpr("*", f"{old} AS old_activity", f"{new} AS new_activity")
 
 
 def silent_to_null(
@@ -74,11 +67,9 @@ def silent_to_null(
     The keys of silent rows are few and are aggregated before they meet the rows, so no task ever holds a key's rows
     as a group. A null key equals no other, so rows under it are judged one by one.
     """
-    silent = F.coalesce(row_sum(kpis) == 0, F.lit(False))
-    silent_keys = rows.filter(silent).select(*keys).distinct().withColumn("__key_silent", F.lit(True))
+    silent = f"coalesce({row_sum(kpis)} = 0, false)"
+    silent_keys = rows.filter(silent).select(*keys).distinct().selectExpr("*", "true AS key_silent")
     marked = lookup_join(rows, silent_keys, keys, "left", summarised=True)
-    nulled = {c: F.when(~silent, F.col(c)) for c in kpis}
-    return (
-        marked.filter(F.col("__key_silent").isNull() | silent)
-        .select(*[nulled[c].alias(c) if c in nulled else F.col(f"`{c}`") for c in rows.columns])
+    return marked.filter(f"key_silent IS NULL OR {silent}").selectExpr(
+        *[f"if({silent}, NULL, `{c}`) AS `{c}`" if c in kpis else f"`{c}`" for c in rows.columns]
     )

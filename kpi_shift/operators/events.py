@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kpi_shift.functions.dates import calendar
 from kpi_shift.functions.lookup import lookup_join
-from kpi_shift.operators.clean import new_activity, old_activity, vendor_activity
+from kpi_shift.operators.clean import vendor_activity
 from kpi_shift.spec import Level, Monitor
 
 
@@ -30,45 +30,38 @@ def detect_events(
     days = monitor.baseline_days
     source = panel
     if start is not None:
-        source = source.filter(F.col("day") >= F.date_sub(F.lit(start).cast("date"), days))
+        source = source.filter(f"day >= date_sub(DATE'{start}', {days})")
     if end is not None:
-        source = source.filter(F.col("day") <= F.lit(end).cast("date"))
-    new = F.col("new_activity")
+        source = source.filter(f"day <= DATE'{end}'")
     daily = (
-        source.select(
-            level.tower, "day", old_activity(monitor).alias("old_activity"), new_activity(monitor).alias("new_activity")
-        )
+        vendor_activity(source, monitor)
         .groupBy(level.tower, "day")
         .agg(
             F.sum("old_activity").alias("old_sum"),
             F.sum("new_activity").alias("new_sum"),
-            F.max(F.when(~F.isnan(new) & (new > 0), 1)).alias("hit"),
+            F.expr("max(if(NOT isnan(new_activity) AND new_activity > 0, 1, NULL))").alias("hit"),
         )
     )
-    by_day = Window.partitionBy(level.tower).orderBy(F.unix_date("day"))
-    before, whole = by_day.rangeBetween(-days, -1), by_day.rangeBetween(-days, 0)
-    judged = daily.select(
+    by_day = f"PARTITION BY {level.tower} ORDER BY unix_date(day) RANGE BETWEEN {days} PRECEDING AND"
+    judged = daily.selectExpr(
         level.tower,
-        F.col("day").alias("event_date"),
+        "day AS event_date",
         "hit",
-        F.max("hit").over(before).alias("hit_before"),
-        F.sum("old_sum").over(whole).alias("old_window"),
-        F.sum("new_sum").over(whole).alias("new_window"),
+        f"max(hit) OVER ({by_day} 1 PRECEDING) AS hit_before",
+        f"sum(old_sum) OVER ({by_day} CURRENT ROW) AS old_window",
+        f"sum(new_sum) OVER ({by_day} CURRENT ROW) AS new_window",
     )
     found = judged.filter(
-        F.col("hit").isNotNull()
-        & F.col("hit_before").isNull()
-        & F.coalesce(F.col("old_window") != 0, F.lit(True))
-        & F.coalesce(F.col("new_window") != 0, F.lit(True))
+        "hit IS NOT NULL AND hit_before IS NULL AND coalesce(old_window <> 0, true) AND coalesce(new_window <> 0, true)"
     )
     if start is not None:
-        found = found.filter(F.col("event_date") >= F.lit(start).cast("date"))
+        found = found.filter(f"event_date >= DATE'{start}'")
     return found.select(level.tower, "event_date")
 
 
 def cohort(events: DataFrame, level: Level) -> DataFrame:
     """Distinct (tower, event_date) of an event list, whatever else its rows carry."""
-    return events.select(level.tower, F.col("event_date").cast("date").alias("event_date")).distinct()
+    return events.selectExpr(level.tower, "cast(event_date AS date) AS event_date").distinct()
 
 
 def rows_around(rows: DataFrame, events: DataFrame, level: Level, first: int, last: int) -> DataFrame:
@@ -76,8 +69,8 @@ def rows_around(rows: DataFrame, events: DataFrame, level: Level, first: int, la
 
     A row appears once per event whose window it lies in.
     """
-    near = F.col("day").between(F.date_add("event_date", first), F.date_add("event_date", last))
-    return lookup_join(rows, cohort(events, level), [level.tower], where=near)
+    near = f"day BETWEEN date_add(event_date, {first}) AND date_add(event_date, {last})"
+    return lookup_join(rows, cohort(events, level), [level.tower]).filter(near)
 
 
 def event_rows(panel: DataFrame, events: DataFrame, level: Level, monitor: Monitor) -> DataFrame:

@@ -10,8 +10,19 @@ from kpi_shift.operators.events import rows_around
 from kpi_shift.spec import Level, Monitor
 
 
-def _present(df: DataFrame, columns) -> list[str]:
-    return [c for c in columns if c in df.columns]
+def _cohort_panel(rows: DataFrame, level: Level, monitor: Monitor, side: str, first: int, last: int) -> DataFrame:
+    """Rows of the given days around their event, with the KPIs of one side under their common names."""
+    carried = [c for c in monitor.categorical if c in rows.columns]
+    kpis = [f"{getattr(k, side)} AS {k.name}" for k in monitor.kpis]
+    return rows.filter(
+        f"day BETWEEN date_add(event_date, {first}) AND date_add(event_date, {last})"
+    ).selectExpr(*level.ids, "day", *carried, *kpis, "event_date")
+
+
+def pre_event_rows(cohort_rows: DataFrame, level: Level, monitor: Monitor) -> DataFrame:
+    """``pre_event_panel`` from rows that already carry their ``event_date``."""
+    rows = _cohort_panel(cohort_rows, level, monitor, "old", -monitor.baseline_days, -1)
+    return silent_to_null(rows, monitor.names, ["event_date", "day", *level.ids])
 
 
 def pre_event_panel(panel: DataFrame, events: DataFrame, level: Level, monitor: Monitor) -> DataFrame:
@@ -19,25 +30,31 @@ def pre_event_panel(panel: DataFrame, events: DataFrame, level: Level, monitor:
 
     A row is silent here when all KPIs, shared ones included, sum to zero.
     """
-    kept = panel.select(
-        *level.ids,
-        "day",
-        *_present(panel, monitor.categorical),
-        *[F.col(k.old).alias(k.name) for k in monitor.kpis],
-    )
-    rows = rows_around(kept, events, level, -monitor.baseline_days, -1)
-    return silent_to_null(rows, monitor.names, ["event_date", "day", *level.ids])
+    return pre_event_rows(rows_around(panel, events, level, -monitor.baseline_days, -1), level, monitor)
 
 
 def baseline_stats(pre_panel: DataFrame, level: Level, monitor: Monitor) -> DataFrame:
     """Mean and sample standard deviation of each KPI per entity and event, rounded. One aggregation for all."""
     digits = monitor.digits
     return pre_panel.groupBy(*level.ids, "event_date").agg(
-        *[F.round(F.avg(k.name), digits).alias(k.avg) for k in monitor.kpis],
-        *[F.round(F.stddev_samp(k.name), digits).alias(k.std) for k in monitor.kpis],
+        *[F.expr(f"round(avg({k.name}), {digits}) AS {k.avg}") for k in monitor.kpis],
+        *[F.expr(f"round(stddev_samp({k.name}), {digits}) AS {k.std}") for k in monitor.kpis],
     )
 
 
+def post_event_rows(
+    cohort_rows: DataFrame,
+    level: Level,
+    monitor: Monitor,
+    start: str | None = None,
+    end: str | None = None,
+) -> DataFrame:
+    """``post_event_panel`` from rows that already carry their ``event_date``."""
+    rows = _cohort_panel(_run_days(cohort_rows, start, end), level, monitor, "new", 0, monitor.follow_days)
+    unshared = [k.name for k in monitor.kpis if not k.shared]
+    return silent_to_null(rows, unshared, ["event_date", "day", *level.ids])
+
+
 def post_event_panel(
     panel: DataFrame,
     events: DataFrame,
@@ -51,16 +68,13 @@ def post_event_panel(
     A row is silent here when the unshared KPIs sum to zero; only those are nulled. Covers every cohort of every run
     day at once; ``start`` (inclusive) and ``end`` (exclusive) restrict the run days.
     """
+    rows = rows_around(_run_days(panel, start, end), events, level, 0, monitor.follow_days)
+    return post_event_rows(rows, level, monitor)
+
+
+def _run_days(rows: DataFrame, start: str | None, end: str | None) -> DataFrame:
     if start is not None:
-        panel = panel.filter(F.col("day") >= F.lit(start).cast("date"))
+        rows = rows.filter(f"day >= DATE'{start}'")
     if end is not None:
-        panel = panel.filter(F.col("day") < F.lit(end).cast("date"))
-    kept = panel.select(
-        *level.ids,
-        "day",
-        *_present(panel, monitor.categorical),
-        *[F.col(k.new).alias(k.name) for k in monitor.kpis],
-    )
-    rows = rows_around(kept, events, level, 0, monitor.follow_days)
-    unshared = [k.name for k in monitor.kpis if not k.shared]
-    return silent_to_null(rows, unshared, ["event_date", "day", *level.ids])
+        rows = rows.filter(f"day < DATE'{end}'")
+    return rows

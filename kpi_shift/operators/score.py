@@ -2,55 +2,48 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add, and_
+from pyspark.sql import DataFrame
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-from kpi_shift.functions.columns import round_columns
+from kpi_shift.functions.columns import round_columns, row_sum
 from kpi_shift.functions.lookup import lookup_join
 from kpi_shift.spec import RISING, Kpi, Level, Monitor
 
 
-def change_rate(kpi: Kpi) -> Column:
+def change_rate(kpi: Kpi) -> str:
     """Relative change, positive when better, clamped at one on the side where the KPI grows."""
-    value, avg = F.col(kpi.name), F.col(kpi.avg)
+    value, avg = kpi.name, kpi.avg
     if kpi.bad == RISING:
-        rate = F.try_divide(avg - value, avg)
-        return F.when(rate < -1, F.lit(-1e0)).otherwise(rate)
-    rate = F.try_divide(value - avg, avg)
-    return F.when(rate > 1, F.lit(1e0)).otherwise(rate)
+        rate = f"try_divide({avg} - {value}, {avg})"
+        return f"if({rate} < -1, -1D, {rate})"
+    rate = f"try_divide({value} - {avg}, {avg})"
+    return f"if({rate} > 1, 1D, {rate})"
 
 
-def threshold(kpi: Kpi, monitor: Monitor) -> Column:
+def threshold(kpi: Kpi, monitor: Monitor) -> str:
     """The laxer of the percentage and the deviation threshold; the former alone where no deviation is known."""
-    avg, std = F.col(kpi.avg), F.col(kpi.std)
-    share, spread = monitor.min_change * avg, monitor.sigmas * std
+    sign, laxer = ("+", "greatest") if kpi.bad == RISING else ("-", "least")
+    share, spread = f"{monitor.min_change}D * {kpi.avg}", f"{monitor.sigmas}D * {kpi.std}"
     # greatest and least skip nulls
-    return F.greatest(avg + share, avg + spread) if kpi.bad == RISING else F.least(avg - share, avg - spread)
+    return f"{laxer}({kpi.avg} {sign} {share}, {kpi.avg} {sign} {spread})"
 
 
-def alert(kpi: Kpi, monitor: Monitor) -> Column:
+def alert(kpi: Kpi, monitor: Monitor) -> str:
     if kpi.quiet:
-        return F.lit(0)
-    value, limit = F.col(kpi.name), threshold(kpi, monitor)
-    beyond = value > limit if kpi.bad == RISING else value < limit
-    return F.when(beyond, 1).otherwise(0)
+        return "0"
+    beyond = ">" if kpi.bad == RISING else "<"
+    return f"if({kpi.name} {beyond} {threshold(kpi, monitor)}, 1, 0)"
 
 
 def score_rows(joined: DataFrame, monitor: Monitor) -> DataFrame:
     """Add change rates, alerts, their count and the abnormal flag to rows that carry KPI values and baseline."""
-    scored = joined.select(
+    scored = joined.selectExpr(
         "*",
-        *[change_rate(k).alias(k.change_rate) for k in monitor.kpis],
-        *[alert(k, monitor).alias(k.alert) for k in monitor.kpis],
-    )
-    count = reduce(add, [F.col(a) for a in monitor.alerts])
-    flagged = scored.withColumn("abnormal_kpi", count).withColumn(
-        "has_abnormal_kpi", F.when(F.col("abnormal_kpi") > 0, 1).otherwise(0)
+        *[f"{change_rate(k)} AS {k.change_rate}" for k in monitor.kpis],
+        *[f"{alert(k, monitor)} AS {k.alert}" for k in monitor.kpis],
     )
-    return round_columns(flagged, monitor.digits)
+    count = row_sum(monitor.alerts)
+    flags = [f"{count} AS abnormal_kpi", f"if({count} > 0, 1, 0) AS has_abnormal_kpi"]
+    return round_columns(scored, monitor.digits).selectExpr("*", *flags)
 
 
 def score_post_event(
@@ -70,10 +63,6 @@ def score_post_event(
 
 def zero_override(scored: DataFrame, monitor: Monitor) -> DataFrame:
     """Clear the abnormal flag, not the alert count, of rows whose KPIs are all zero; add ``event_day``."""
-    all_zero = reduce(and_, [F.col(n) == 0 for n in monitor.names])
-    return scored.withColumns(
-        {
-            "has_abnormal_kpi": F.when(all_zero, 0).otherwise(F.col("has_abnormal_kpi")),
-            "event_day": F.col("event_date"),
-        }
-    )
+    all_zero = " AND ".join(f"{n} = 0" for n in monitor.names)
+    flag = f"if({all_zero}, 0, has_abnormal_kpi) AS has_abnormal_kpi"
+    return scored.selectExpr(*[flag if c == "has_abnormal_kpi" else c for c in scored.columns], "event_date AS event_day")

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kpi_shift.functions.stage import stage
-from kpi_shift.operators.events import cohort, detect_events
-from kpi_shift.operators.panels import baseline_stats, post_event_panel, pre_event_panel
+from kpi_shift.operators.events import cohort, detect_events, rows_around
+from kpi_shift.operators.panels import baseline_stats, post_event_rows, pre_event_rows
 from kpi_shift.operators.score import score_post_event
 from kpi_shift.sources.sinks import write_partitions
 from kpi_shift.spec import Level, Monitor
@@ -35,24 +35,27 @@ def monitor_panel(
 ) -> Run:
     """Events, pre-event panel, baseline and scores from one KPI panel, for run days from ``start`` until ``end``.
 
-    ``panel`` should be a table on storage (it is scanned more than once). A finer level takes the ``events`` of the
-    tower run. Event list and baseline are written to the shared folder: they are small next to the panel, are used
-    repeatedly, and once written their true size decides whether a join broadcasts them.
+    A finer level takes the ``events`` of the tower run. The panel is scanned twice, once for the events and once for
+    the rows around them. These rows, a small part of the panel, are written to the shared folder together with event
+    list and baseline: all three are used repeatedly, and once they are written, their true sizes decide whether a
+    join broadcasts them.
     """
+    lookback, follow = monitor.baseline_days, monitor.follow_days
     if start is not None:
-        # the earliest cohort scored on `start` is `follow_days` old, and judged by a baseline before it
-        panel = panel.filter(F.col("day") >= F.date_sub(F.lit(start).cast("date"), monitor.follow_days + monitor.baseline_days))
+        # the earliest cohort scored on `start` is `follow` days old, and its baseline lies before it
+        panel = panel.filter(F.col("day") >= F.date_sub(F.lit(start).cast("date"), follow + lookback))
     if end is not None:
         panel = panel.filter(F.col("day") < F.lit(end).cast("date"))
     if events is None:
-        events = stage(detect_events(panel, level, monitor), "events")
-    else:
-        events = cohort(events, level)
+        events = detect_events(panel, level, monitor)
+    events = cohort(events, level)
     if start is not None:
-        events = events.filter(F.col("event_date") >= F.date_sub(F.lit(start).cast("date"), monitor.follow_days))
-    pre_panel = pre_event_panel(panel, events, level, monitor)
+        events = events.filter(F.col("event_date") >= F.date_sub(F.lit(start).cast("date"), follow))
+    events = stage(events, "events")
+    around = stage(rows_around(panel, events, level, -lookback, follow), "cohort_rows")
+    pre_panel = pre_event_rows(around, level, monitor)
     baseline = stage(baseline_stats(pre_panel, level, monitor), "baseline")
-    post_panel = post_event_panel(panel, events, level, monitor, start, end)
+    post_panel = post_event_rows(around, level, monitor, start, end)
     scored = score_post_event(post_panel, baseline, level, monitor, summarised=False)
     return Run(events, pre_panel, baseline, scored)
 

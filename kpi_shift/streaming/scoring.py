@@ -17,15 +17,13 @@ def score_stream(rows: DataFrame, baseline: DataFrame, level: Level, monitor: Mo
     out cannot be withdrawn when a silent row of the same key follows. State is one key per alert, dropped once the
     watermark, ``delay`` behind the newest day, has passed it.
     """
-    unshared = [k.name for k in monitor.kpis if not k.shared]
-    own = rows.select(
+    silent = f"coalesce({row_sum(monitor.new_columns)} = 0, false)"
+    heard = rows.selectExpr(
         *level.ids,
         "day",
         *[c for c in monitor.categorical if c in rows.columns],
-        *[F.col(k.new).alias(k.name) for k in monitor.kpis],
+        *[f"{k.new} AS {k.name}" if k.shared else f"if({silent}, NULL, {k.new}) AS {k.name}" for k in monitor.kpis],
     )
-    silent = F.coalesce(row_sum(unshared) == 0, F.lit(False))
-    heard = own.withColumns({c: F.when(~silent, F.col(c)) for c in unshared})
     in_time = F.datediff("day", "event_date").between(0, monitor.follow_days)
     scored = score_rows(heard.join(baseline, list(level.ids)).filter(in_time), monitor)
     return (
