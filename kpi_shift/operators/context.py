@@ -15,14 +15,12 @@ REPORT_DIGITS = 4
 
 def tower_coords(inventory: DataFrame, level: Level) -> DataFrame:
     """One position per tower: of several, the greatest (latitude, longitude). Incomplete rows are skipped."""
-    whole = inventory.filter(
-        F.col("latitude").isNotNull() & F.col("longitude").isNotNull() & F.col(level.tower).isNotNull()
-    )
-    position = F.struct(
-        F.col("latitude").try_cast("double").alias("latitude"), F.col("longitude").try_cast("double").alias("longitude")
-    )
+    whole = inventory.filter(f"latitude IS NOT NULL AND longitude IS NOT NULL AND {level.tower} IS NOT NULL")
+    position = "struct(try_cast(latitude AS double) AS latitude, try_cast(longitude AS double) AS longitude)"
     return (
-        whole.groupBy(pad_id(level.tower).alias(level.tower)).agg(F.max(position).alias("p")).select(level.tower, "p.*")
+        whole.groupBy(pad_id(level.tower).alias(level.tower))
+        .agg(F.expr(f"max({position}) AS p"))
+        .select(level.tower, "p.*")
     )
 
 

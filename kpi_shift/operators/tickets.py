@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kpi_shift.functions.columns import pad_id
-from kpi_shift.functions.dates import days_around, parse_day
 from kpi_shift.functions.nearest import nearest_within
 from kpi_shift.functions.lookup import lookup_join
 from kpi_shift.operators.events import cohort
@@ -46,21 +45,22 @@ OPEN = "open"
 LONGEST_TOWER_ID = 8
 CELL_SUFFIX = 4
 
-_VERSION = ("modified_date", "create_date", "lat", "lng", "problem_type", "assigned_group")
 _KEY = ("trouble_id", "status")
+_VERSION = ("modified_date", "create_date", "lat", "lng", "problem_type", "assigned_group")
+_NEWEST = f"max(struct({', '.join(_VERSION)})) AS v"
 
 
 def _versions(tickets: DataFrame) -> DataFrame:
     """Ticket versions with a position, typed."""
-    return tickets.select(
+    return tickets.selectExpr(
         *_KEY,
-        parse_day("create_date").alias("create_date"),
-        parse_day("modified_date").alias("modified_date"),
-        F.col("lat").try_cast("double").alias("lat"),
-        F.col("lng").try_cast("double").alias("lng"),
+        "try_cast(create_date AS date) AS create_date",
+        "try_cast(modified_date AS date) AS modified_date",
+        "try_cast(lat AS double) AS lat",
+        "try_cast(lng AS double) AS lng",
         "problem_type",
         "assigned_group",
-    ).filter(F.col("lat").isNotNull() & F.col("lng").isNotNull())
+    ).filter("lat IS NOT NULL AND lng IS NOT NULL")
 
 
 def _counts_as_open(problem_types: Sequence[str], group: str):
@@ -74,9 +74,8 @@ def latest_tickets(tickets: DataFrame, as_of: str) -> DataFrame:
     A maximum over structs instead of a ranking window: it combines on the map side, so a ticket with many versions
     is never gathered in one task.
     """
-    day = F.lit(as_of).cast("date")
-    known = _versions(tickets).filter((F.col("create_date") <= day) & (F.col("modified_date") <= day))
-    return known.groupBy(*_KEY).agg(F.max(F.struct(*_VERSION)).alias("v")).select(*_KEY, "v.*")
+    known = _versions(tickets).filter(f"create_date <= DATE'{as_of}' AND modified_date <= DATE'{as_of}'")
+    return known.groupBy(*_KEY).agg(F.expr(_NEWEST)).select(*_KEY, "v.*")
 
 
 def open_tickets(
@@ -85,9 +84,10 @@ def open_tickets(
     group: str = ASSIGNED_GROUP,
 ) -> DataFrame:
     """Open tickets of the wanted types or group, without ids that also have a version in another status."""
-    per_ticket = Window.partitionBy("trouble_id")  # one row per status of a ticket
-    closed = F.coalesce(F.max(F.lower("status") != OPEN).over(per_ticket), F.lit(False))
-    return latest.withColumn("__closed", closed).filter(~F.col("__closed") & _counts_as_open(problem_types, group)).drop("__closed")
+    # one row per status of a ticket
+    closed = f"coalesce(max(lower(status) <> '{OPEN}') OVER (PARTITION BY trouble_id), false) AS is_closed"
+    undecided = latest.selectExpr("*", closed).filter("NOT is_closed").drop("is_closed")
+    return undecided.filter(_counts_as_open(problem_types, group))
 
 
 def open_spans(
@@ -100,32 +100,25 @@ def open_spans(
     ``last_day`` is null where no later version or closing ends the span. Versions that become known on one day are
     reduced to the newest first, so both windows hold at most one row per status and calendar day of a ticket.
     """
-    known_from = F.when(
-        F.col("create_date").isNotNull() & F.col("modified_date").isNotNull(), F.greatest("create_date", "modified_date")
-    )
     daily = (
         _versions(tickets)
-        .withColumn("first_day", known_from)
-        .filter(F.col("first_day").isNotNull())
+        .filter("create_date IS NOT NULL AND modified_date IS NOT NULL")
+        .selectExpr("*", "greatest(create_date, modified_date) AS first_day")
         .groupBy(*_KEY, "first_day")
-        .agg(F.max(F.struct(*_VERSION)).alias("v"))
+        .agg(F.expr(_NEWEST))
     )
-    ordered = Window.partitionBy(*_KEY).orderBy("first_day")
-    so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    closed_on = F.min(F.when(F.lower("status") != OPEN, F.col("first_day"))).over(Window.partitionBy("trouble_id"))
-    spans = daily.select(
+    ordered = "PARTITION BY trouble_id, status ORDER BY first_day"
+    spans = daily.selectExpr(
         *_KEY,
-        F.max("v").over(so_far).alias("v"),
+        f"max(v) OVER ({ordered} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS v",
         "first_day",
-        F.lead("first_day").over(ordered).alias("next_day"),
-        closed_on.alias("closed_day"),
+        f"lead(first_day) OVER ({ordered}) AS next_day",
+        f"min(if(lower(status) <> '{OPEN}', first_day, NULL)) OVER (PARTITION BY trouble_id) AS closed_day",
     )
     return (
-        spans.select(
-            *_KEY, "v.*", "first_day", F.date_sub(F.least("next_day", "closed_day"), 1).alias("last_day")
-        )
+        spans.selectExpr(*_KEY, "v.*", "first_day", "date_sub(least(next_day, closed_day), 1) AS last_day")
         .filter(_counts_as_open(problem_types, group))
-        .filter(F.col("last_day").isNull() | (F.col("first_day") <= F.col("last_day")))
+        .filter("last_day IS NULL OR first_day <= last_day")
     )
 
 
@@ -148,35 +141,40 @@ def tickets_near_tower(
     spans = (
         open_spans(tickets, problem_types, group)
         .groupBy("create_date", "lat", "lng", "first_day", "last_day")
-        .agg(F.count("*").alias("n"))
+        .agg(F.expr("count(*) AS n"))
     )
     towers = cohort(events, level).join(coords, level.tower)
     cohort_dates = towers.select("event_date").distinct()  # one row per calendar day at most, hence safe to broadcast
-    points = (
-        spans.select("lat", "lng", F.explode(days_around("create_date", -follow, 0)).alias("event_date"))
-        .join(F.broadcast(cohort_dates), "event_date", "left_semi")
-    )
+    points = spans.selectExpr(
+        "lat", "lng", f"explode(sequence(date_sub(create_date, {follow}), create_date)) AS event_date"
+    ).join(F.broadcast(cohort_dates), "event_date", "left_semi")
     nearest = nearest_within(points, towers, miles, ["event_date"], level.tower)
     # per position, the spans are as many as there are pairs of days, and the cohorts as there are days
     given = (
         spans.join(nearest, ["lat", "lng"])
-        .filter(F.col("create_date").between(F.col("event_date"), F.date_add("event_date", follow)))
-        .withColumn("last_day", F.least("last_day", F.date_add("event_date", follow)))
-        .filter(F.col("first_day") <= F.col("last_day"))
+        .filter(f"create_date BETWEEN event_date AND date_add(event_date, {follow})")
+        .selectExpr(
+            level.tower, "event_date", "first_day", f"least(last_day, date_add(event_date, {follow})) AS last_day", "n"
+        )
+        .filter("first_day <= last_day")
     )
-    totals = given.groupBy(level.tower, "event_date", "first_day", "last_day").agg(F.sum("n").alias("n"))
+    return _per_run_day(given, level, "nrb_ticket_counts")
+
+
+def _per_run_day(spans: DataFrame, level: Level, name: str) -> DataFrame:
+    """Sum ``n`` per (tower, event_date, day); equal spans are added up before they are turned into days."""
+    totals = spans.groupBy(level.tower, "event_date", "first_day", "last_day").agg(F.expr("sum(n) AS n"))
     return (
-        totals.withColumn("day", F.explode(F.sequence("first_day", "last_day")))
+        totals.selectExpr(level.tower, "event_date", "explode(sequence(first_day, last_day)) AS day", "n")
         .groupBy(level.tower, "event_date", "day")
-        .agg(F.sum("n").alias("nrb_ticket_counts"))
+        .agg(F.expr(f"sum(n) AS {name}"))
     )
 
 
 def tower_of_cell(cell_id: str):
     """Tower part of a cell id, padded."""
-    c = F.col(cell_id)
-    bare = F.when(F.length(c) > LONGEST_TOWER_ID, F.expr(f"substring({cell_id}, 1, length({cell_id}) - {CELL_SUFFIX})"))
-    return pad_id(bare.otherwise(c))
+    bare = f"if(length({cell_id}) > {LONGEST_TOWER_ID}, substring({cell_id}, 1, length({cell_id}) - {CELL_SUFFIX}), {cell_id})"
+    return pad_id(F.expr(bare))
 
 
 def work_orders_per_tower(orders: DataFrame, events: DataFrame, level: Level, monitor: Monitor) -> DataFrame:
@@ -186,81 +184,69 @@ def work_orders_per_tower(orders: DataFrame, events: DataFrame, level: Level, mo
     ``orders`` has noc_id, status, event_start, event_end, cell_id, lat, lng and the partition day ``data_date``.
     A run day without a partition of its own falls back on the day before, also where that precedes the event.
     """
-    follow = monitor.follow_days
+    tower, follow = level.tower, monitor.follow_days
     rows = (
-        orders.filter((F.lower("status") == OPEN) & F.col("cell_id").isNotNull())
-        .select(
+        orders.filter(f"lower(status) = '{OPEN}' AND cell_id IS NOT NULL")
+        .withColumn(tower, tower_of_cell("cell_id"))
+        .selectExpr(
             "noc_id",
             "status",
             "data_date",
-            F.struct(
-                parse_day(F.substring("event_start", 1, 10)).alias("event_start"),
-                parse_day(F.substring("event_end", 1, 10)).alias("event_end"),
-                F.col("lat").try_cast("double").alias("lat"),
-                F.col("lng").try_cast("double").alias("lng"),
-                tower_of_cell("cell_id").alias(level.tower),
-            ).alias("v"),
+            tower,
+            "try_cast(substring(event_start, 1, 10) AS date) AS event_start",
+            "try_cast(substring(event_end, 1, 10) AS date) AS event_end",
+            "try_cast(lat AS double) AS lat",
+            "try_cast(lng AS double) AS lng",
         )
     )
     towers = cohort(events, level)
     # cohorts an order can count for: those of the towers it has named; its other versions matter only there
     relevant = (
-        lookup_join(
-            rows.select("noc_id", F.col(f"v.{level.tower}").alias(level.tower), "data_date"),
-            towers,
-            [level.tower],
-            where=F.col("data_date").between(F.date_sub("event_date", 1), F.date_add("event_date", follow)),
-        )
+        lookup_join(rows.select("noc_id", tower, "data_date"), towers, [tower])
+        .filter(f"data_date BETWEEN date_sub(event_date, 1) AND date_add(event_date, {follow})")
         .select("noc_id", "event_date")
         .distinct()
     )
-    daily = rows.groupBy("noc_id", "status", "data_date").agg(F.max("v").alias("v"))
+    daily = rows.groupBy("noc_id", "status", "data_date").agg(
+        F.expr(f"max(struct(event_start, event_end, lat, lng, {tower})) AS v")
+    )
     # partitions that stand in for a missing next day; one row per calendar day at most, hence safe to broadcast
     loaded = orders.select("data_date").distinct()
     stand_in = loaded.join(
-        loaded.select(F.date_sub("data_date", 1).alias("data_date")), "data_date", "left_anti"
-    ).withColumn("stands_in", F.lit(True))
+        loaded.selectExpr("date_sub(data_date, 1) AS data_date"), "data_date", "left_anti"
+    ).selectExpr("data_date", "true AS stands_in")
     # an order has at most one row per status and day, and one cohort per day
     per_cohort = (
         daily.join(relevant, "noc_id")
         .join(F.broadcast(stand_in), "data_date", "left")
         .filter(
-            F.col("data_date").between(F.col("event_date"), F.date_add("event_date", follow))
-            | (F.coalesce("stands_in", F.lit(False)) & (F.col("data_date") == F.date_sub("event_date", 1)))
+            f"data_date BETWEEN event_date AND date_add(event_date, {follow}) "
+            "OR (coalesce(stands_in, false) AND data_date = date_sub(event_date, 1))"
         )
-        .withColumn("first_day", F.greatest("data_date", "event_date"))
     )
-    # at most follow_days + 2 rows per order, status and cohort
-    ordered = Window.partitionBy("noc_id", "status", "event_date").orderBy("data_date")
-    so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ordered = "PARTITION BY noc_id, status, event_date ORDER BY data_date"
+    so_far = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
     # a stand-in from before the event serves the event day alone
-    early = F.col("data_date") < F.col("event_date")
-    states = per_cohort.select(
+    states = per_cohort.selectExpr(
         "event_date",
-        "data_date",
-        "first_day",
-        F.when(early, F.col("v")).otherwise(F.max(F.when(~early, F.col("v"))).over(so_far)).alias("v"),
-        F.lead("first_day").over(ordered).alias("next_day"),
+        "greatest(data_date, event_date) AS first_day",
+        "data_date < event_date AS early",
+        f"if(data_date < event_date, v, max(if(data_date < event_date, NULL, v)) OVER ({ordered} {so_far})) AS v",
+        f"lead(data_date) OVER ({ordered}) AS next_day",
     )
-    final_day = F.when(early, F.col("event_date")).otherwise(F.date_add("event_date", follow))
     counted = (
-        states.select(
-            F.col(f"v.{level.tower}").alias(level.tower),
+        states.selectExpr(
+            f"v.{tower} AS {tower}",
             "event_date",
             "first_day",
-            F.least(F.date_sub("next_day", 1), final_day).alias("last_day"),
-            F.col("v.event_start").alias("event_start"),
+            f"least(date_sub(next_day, 1), if(early, event_date, date_add(event_date, {follow}))) AS last_day",
+            "v.event_start AS event_start",
         )
-        .filter((F.col("event_start") >= F.col("event_date")) & (F.col("first_day") <= F.col("last_day")))
-        .groupBy(level.tower, "event_date", "first_day", "last_day")
-        .agg(F.count("*").alias("n"))
-    )
-    return (
-        lookup_join(counted, towers, [level.tower, "event_date"])
-        .withColumn("day", F.explode(F.sequence("first_day", "last_day")))
-        .groupBy(level.tower, "event_date", "day")
-        .agg(F.sum("n").alias("w360_ticket_counts"))
+        .filter("event_start >= event_date AND first_day <= last_day")
+        .groupBy(tower, "event_date", "first_day", "last_day")
+        .agg(F.expr("count(*) AS n"))
     )
+    return _per_run_day(lookup_join(counted, towers, [tower, "event_date"], "left_semi"), level, "w360_ticket_counts")
 
 
 def ticket_counts(records: DataFrame, level: Level) -> DataFrame:
