@@ -65,7 +65,8 @@ def silent_to_null(
     """Null the ``kpis`` of rows where they sum to zero; drop the other rows under the key of such a row.
 
     The keys of silent rows are few and are aggregated before they meet the rows, so no task ever holds a key's rows
-    as a group. A null key equals no other, so rows under it are judged one by one.
+    as a group. ``rows`` is evaluated twice for that: have it written (``stage``) where it is costly. A null key equals
+    no other, so rows under it are judged one by one.
     """
     silent = f"coalesce({row_sum(kpis)} = 0, false)"
     silent_keys = rows.filter(silent).select(*keys).distinct().selectExpr("*", "true AS key_silent")

@@ -46,14 +46,17 @@ def load_panel(
 ) -> DataFrame:
     """Clean KPI panel from one raw CSV per day, from the first baseline day of ``start`` until ``end``.
 
-    ``names`` maps file headers to panel names. A shared KPI that a file does not have yet counts as 0.
+    ``names`` maps file headers to panel names. A shared KPI that a file does not have yet counts as 0. The panel is
+    written to the shared folder, so the text is parsed and cleaned once, whatever is computed from it.
     """
     wanted = {*level.ids, "day", *monitor.categorical, *monitor.panel_columns}
     headers = [raw for raw, name in names.items() if name in wanted]
     late = {raw: F.lit("0") for raw in headers if names[raw] in monitor.shared_columns}
     days = date_window(_shift(start, -monitor.baseline_days), end=_shift(end, -1))
-    raw = read_daily_csv(spark, pattern, days, headers, lambda df: add_missing(df, late))
-    return clean_kpis(rename_columns(raw.select(*[f"`{h}`" for h in headers]), names), level, monitor)
+    # cleaning groups by whole rows, so the reader need not remove copies
+    raw = read_daily_csv(spark, pattern, days, headers, lambda df: add_missing(df, late), distinct=False)
+    panel = clean_kpis(rename_columns(raw.select(*[f"`{h}`" for h in headers]), names), level, monitor)
+    return stage(panel, f"{level.name}_panel")
 
 
 def pre_event_job(

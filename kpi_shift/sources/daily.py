@@ -41,13 +41,15 @@ def read_daily_csv(
     columns: Sequence[str],
     transform: Callable[[DataFrame], DataFrame] | None = None,
     source_day: str | None = None,
+    distinct: bool = True,
 ) -> DataFrame:
-    """Distinct rows of one CSV per day; ``pattern`` has ``{}`` for the day. Days without a file are skipped.
+    """Rows of one CSV per day; ``pattern`` has ``{}`` for the day. Days without a file are skipped.
 
     Columns are matched by name, and a file that lacks one of ``columns`` gives null there. The driver looks only at
     headers: files with the same header are read by one multi-path scan, so the plan grows with the number of layouts,
-    not of days. ``source_day`` names a column for the day taken from the file name. Without any file the result is
-    empty.
+    not of days. ``transform`` is applied once per layout. ``source_day`` names a column for the day taken from the
+    file name. ``distinct`` costs a shuffle of all rows; leave it out where the next step removes copies anyway.
+    Without any file the result is empty.
     """
     layouts: dict[tuple[str, ...], list[str]] = {}
     for day in days:
@@ -68,16 +70,17 @@ def read_daily_csv(
         scans.append(transform(scan) if transform else scan)
     if not scans:
         return empty_table(spark, columns)
-    return union_tables(scans, columns)
+    return union_tables(scans, columns, distinct)
 
 
-def union_tables(tables: Sequence[DataFrame], columns: Sequence[str] = ()) -> DataFrame:
-    """Distinct rows of several tables, matched by column name; columns a table lacks are null."""
+def union_tables(tables: Sequence[DataFrame], columns: Sequence[str] = (), distinct: bool = True) -> DataFrame:
+    """Rows of several tables, by default distinct, matched by column name; columns a table lacks are null."""
     if not tables:
         raise ValueError("nothing to unite")
     merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
     absent = {c: F.lit(None).cast("string") for c in columns if c not in merged.columns}
-    return (merged.withColumns(absent) if absent else merged).distinct()
+    merged = merged.withColumns(absent) if absent else merged
+    return merged.distinct() if distinct else merged
 
 
 def list_dated_files(spark: SparkSession, folder: str, day_pattern: str = ISO_DAY) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from checks.fixtures import derived
 from checks.queries import QUERIES
+from kpi_shift.functions.nearest import nearest_within
 from kpi_shift.functions.stage import shared_folder, stage
 from kpi_shift.operators import clean, events, panels, score, tickets
 from kpi_shift.plans.monitoring import monitor_panel, score_range
@@ -59,6 +60,21 @@ def test_hot_key_is_split_against_an_aggregated_lookup(spark, no_broadcast_small
     assert result.count() == 3600
 
 
+def test_hot_cell_is_split_in_nearest_search(spark, no_broadcast_small_splits):
+    points = [("d", 30 + i / 1e5, -97.0) for i in range(6000)] + [("d", 40.0 + i, -90.0) for i in range(40)]
+    targets = [("d", f"t{i}", 30.0 + i / 1e3, -97.0) for i in range(60)] + [("d", f"u{i}", 40.0 + i, -90.0) for i in range(40)]
+    near = nearest_within(
+        stage(spark.createDataFrame(points, "g string, lat double, lng double").repartition(8, "lat"), "points"),
+        spark.createDataFrame(targets, "g string, id string, latitude double, longitude double"),
+        5.0,
+        ["g"],
+        "id",
+    )
+    plan = final_plan(near)
+    assert "SortMergeJoin(skew=true)" in plan
+    assert near.count() == 6040
+
+
 def test_small_lookups_are_broadcast_without_a_hint(spark, hot):
     found = stage(events.detect_events(hot, TOWER, MONITOR), "events")
     plan = final_plan(panels.post_event_panel(hot, found, TOWER, MONITOR))
