@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 from kpi_shift.functions.geo import degrees_of, haversine_miles
 from kpi_shift.functions.lookup import lookup_join
 
-# A block is BLOCK degrees wide, a cell BLOCKS_PER_CELL blocks; a whole number of cells goes round the earth.
-BLOCK = 0.0075
-BLOCKS_PER_CELL = 10
-CELL = BLOCK * BLOCKS_PER_CELL
+# Cells are CELL degrees wide, a whole number of them goes round the earth. Each is divided three times in ten by ten
+# blocks; the finest are some eight metres wide.
+CELL = 0.075
 CELLS_ROUND = round(360 / CELL)
+PARTS = 10
+DIVISIONS = 3
+FINEST = CELL / PARTS**DIVISIONS
 # Widens a search box, and shrinks a lower bound, to cover rounding and converging meridians (up to 85 degrees).
 MARGIN = 1.02
 DISTANCE_DIGITS = 6
@@ -29,6 +31,45 @@ def _cells_around(miles: float) -> tuple[str, str]:
     return rows, f"array_distinct(transform({columns}, x -> pmod(x, {CELLS_ROUND}L)))"
 
 
+def _blocks(sites: DataFrame, by: Sequence[str], width: int) -> DataFrame:
+    """Targets summed up in blocks, ``width`` finest blocks wide: their box, one position, and the block around."""
+    placed = sites.selectExpr(
+        *by, "latitude", "longitude", f"floor(fine_y / {width}) AS block_y", f"floor(fine_x / {width}) AS block_x"
+    )
+    boxes = placed.groupBy(*by, "block_y", "block_x").agg(
+        F.expr("min(latitude) AS south"),
+        F.expr("max(latitude) AS north"),
+        F.expr("min(longitude) AS west"),
+        F.expr("max(longitude) AS east"),
+        F.expr("min_by(longitude, latitude) AS known_lng"),
+    )
+    return boxes.selectExpr("*", f"floor(block_y / {PARTS}) AS around_y", f"floor(block_x / {PARTS}) AS around_x")
+
+
+def _opened(pairs: DataFrame, by: Sequence[str], miles: float) -> DataFrame:
+    """Of pairs of point and block, those whose block can hold the point's nearest target."""
+    # the point seen from the side of the earth the block lies on, and the spot of the block's box nearest to it
+    turned = pairs.selectExpr("*", "lng + 360 * round(((west + east) / 2 - lng) / 360) AS turned_lng")
+    beside = turned.selectExpr(
+        "*",
+        "least(greatest(lat, south), north) AS beside_lat",
+        "least(greatest(turned_lng, west), east) AS beside_lng",
+    )
+    bounded = beside.selectExpr(
+        *by,
+        "lat",
+        "lng",
+        "block_y AS around_y",
+        "block_x AS around_x",
+        f"{haversine_miles('lat', 'turned_lng', 'beside_lat', 'beside_lng')} / {MARGIN}D AS at_least",
+        f"{haversine_miles('lat', 'lng', 'south', 'known_lng')} AS at_most",
+    ).filter(f"at_least <= {miles}D")
+    # a point meets the blocks of a few cells, or of the few blocks left open before, so this window is bounded
+    best = f"min(at_most) OVER (PARTITION BY {', '.join(by)}, lat, lng) AS best"
+    near = bounded.selectExpr("*", best).filter(f"at_least <= best + {10.0 ** (1 - DISTANCE_DIGITS)}D")
+    return near.select(*by, "lat", "lng", "around_y", "around_x")
+
+
 def nearest_within(
     points: DataFrame,
     targets: DataFrame,
@@ -41,60 +82,30 @@ def nearest_within(
     ``targets`` has ``by``, ``target_id``, latitude, longitude. Distances that agree to six decimals of a mile are a
     tie, which the smaller id wins. Points with no target within reach have no row.
 
-    The work per point does not grow with the number of targets around it. Targets are summed up in small blocks (the
-    box around their positions and one of them), a point meets only the blocks of the few cells its search box touches,
-    and only blocks that can hold something nearer than the best block's known target are opened. Copies of a position
-    count once on both sides.
+    The work per point hardly grows with the number of targets around it. Targets are summed up in blocks within
+    blocks. A point meets the large blocks of the few cells its search box touches; of these, and then of the smaller
+    ones in them, only those are opened that can hold something nearer than the nearest target known from the
+    summaries. Copies of a position count once on both sides.
     """
     by = list(by)
-    key = ", ".join(by)
     spots = points.select(*by, "lat", "lng").filter("lat IS NOT NULL AND lng IS NOT NULL").distinct()
     sites = (
         targets.filter("latitude IS NOT NULL AND longitude IS NOT NULL")
         .groupBy(*by, "latitude", "longitude")
         .agg(F.min(target_id).alias(target_id))
-        .selectExpr("*", f"floor(latitude / {BLOCK}D) AS block_y", f"floor(longitude / {BLOCK}D) AS block_x")
-    )
-    blocks = (
-        sites.groupBy(*by, "block_y", "block_x")
-        .agg(
-            F.expr("min(latitude) AS south"),
-            F.expr("max(latitude) AS north"),
-            F.expr("min(longitude) AS west"),
-            F.expr("max(longitude) AS east"),
-            F.expr("min_by(longitude, latitude) AS known_lng"),
-        )
-        .selectExpr(
-            "*",
-            f"floor(block_y / {BLOCKS_PER_CELL}) AS cell_y",
-            f"pmod(floor(block_x / {BLOCKS_PER_CELL}), {CELLS_ROUND}L) AS cell_x",
-        )
+        .selectExpr("*", f"floor(latitude / {FINEST}D) AS fine_y", f"floor(longitude / {FINEST}D) AS fine_x")
     )
+    around = [*by, "around_y", "around_x"]
     rows, columns = _cells_around(miles)
-    reach = spots.selectExpr("*", f"explode({rows}) AS cell_y").selectExpr("*", f"explode({columns}) AS cell_x")
-    pairs = lookup_join(reach, blocks, [*by, "cell_y", "cell_x"])
-    # the point seen from the side of the earth the block lies on, and the spot of the block's box nearest to it
-    turned = pairs.selectExpr("*", "lng + 360 * round(((west + east) / 2 - lng) / 360) AS turned_lng")
-    beside = turned.selectExpr(
-        "*",
-        "least(greatest(lat, south), north) AS beside_lat",
-        "least(greatest(turned_lng, west), east) AS beside_lng",
-    )
-    bounded = beside.selectExpr(
-        *by,
-        "lat",
-        "lng",
-        "block_y",
-        "block_x",
-        f"{haversine_miles('lat', 'turned_lng', 'beside_lat', 'beside_lng')} / {MARGIN}D AS at_least",
-        f"{haversine_miles('lat', 'lng', 'south', 'known_lng')} AS at_most",
-    ).filter(f"at_least <= {miles}D")
-    # at most a few cells of blocks per point, so this window is bounded
-    opened = bounded.selectExpr("*", f"min(at_most) OVER (PARTITION BY {key}, lat, lng) AS best").filter(
-        f"at_least <= best + {10.0 ** (1 - DISTANCE_DIGITS)}D"
-    )
+    open_blocks = spots.selectExpr("*", f"explode({rows}) AS around_y").selectExpr("*", f"explode({columns}) AS around_x")
+    for division in range(1, DIVISIONS + 1):
+        blocks = _blocks(sites, by, PARTS ** (DIVISIONS - division))
+        if division == 1:  # columns of cells are numbered round the earth
+            blocks = blocks.withColumn("around_x", F.expr(f"pmod(around_x, {CELLS_ROUND}L)"))
+        open_blocks = _opened(lookup_join(open_blocks, blocks, around), by, miles)
+    in_block = sites.withColumnsRenamed({"fine_y": "around_y", "fine_x": "around_x"})
     measured = (
-        lookup_join(opened.select(*by, "lat", "lng", "block_y", "block_x"), sites, [*by, "block_y", "block_x"])
+        lookup_join(open_blocks, in_block, around)
         .selectExpr(*by, "lat", "lng", target_id, f"{haversine_miles('lat', 'lng', 'latitude', 'longitude')} AS miles")
         .filter(f"miles <= {miles}D")
     )
