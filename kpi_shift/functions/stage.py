@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -12,10 +13,14 @@ _own_folders: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; where none is named (single-machine runs), a fresh temporary one."""
-    folder = spark.conf.get(CHECKPOINT_DIR, None)
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, else the one given to
+    ``SparkContext.setCheckpointDir``; only a local master may fall back to a fresh temporary folder.
+    """
+    folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise RuntimeError(f"Set {CHECKPOINT_DIR} to a folder that the driver and all executors share.")
     application = spark.sparkContext.applicationId
     if application not in _own_folders:
         _own_folders[application] = tempfile.mkdtemp(prefix="kpi-shift-")
