@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kpi_shift.llm import decontaminate, packing
+from kpi_shift.llm import decontaminate, fingerprints, html_text, packing, quality, toxicity
 from kpi_shift.session import configure
 
 
@@ -19,17 +19,41 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, out = read(spark, sf_dir, "documents"), quality.held_out(5, 0)
+    model = quality.train(documents, read(spark, sf_dir, "labels"), ~out)
+    return quality.predictions(quality.score(documents, model), out)
+
+
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(read(spark, sf_dir, "pages"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, out = read(spark, sf_dir, "documents"), quality.held_out(4, 2)
+    model = toxicity.train(documents, read(spark, sf_dir, "labels"), ~out)
+    return quality.predictions(toxicity.score(documents, model), out)
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(read(spark, sf_dir, "documents"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return decontaminate.digest(report)
 
 
 LLM_QUERIES = {
+    "op1_quality_classifier": op1_quality_classifier,
+    "op2_html_extraction": op2_html_extraction,
+    "op3_toxicity": op3_toxicity,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_order_minhash": op5_order_minhash,
     "op6_decontamination": op6_decontamination,
 }
 
