@@ -11,6 +11,7 @@ is one group's work; so only the last few bins of the whole corpus stay partly e
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -26,19 +27,31 @@ from kpi_shift.llm.text import text_or_empty
 CAPACITY = 2048
 OPEN_BINS = 256
 GROUP_ROWS = 40_000
-CACHED_CHUNKS = 250_000
+CACHED_CHUNKS = 400_000
+CACHED_WORDS = 800_000
+# The vocabulary's pattern of words, for lower-case Latin text, and the characters it covers here.
+COMMON = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 _tokenizers: dict = {}
 
 
 class _Ids(dict):
-    """Token ids, as bytes, of runs of characters without blanks. Kept in a worker while there is room."""
+    """Token ids, as bytes, of runs of characters without blanks. Kept in a worker while there is room.
+
+    Runs of common Latin characters are cut into words as the vocabulary's own pre-tokenizer does, and each word is
+    encoded once; any other run is encoded as it stands.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         super().__init__({"": b""})
         self.tokenizer = Tokenizer.from_file(path)
+        self.words: dict[str, bytes] = {}
+        # the characters that stand for the bytes of other than ASCII characters
+        spell = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        self.bytes = {i: spell(chr(i))[0][0] for i in range(0xC0, 0x100)}
 
     def learn(self, chunks: set[str]) -> None:
         new = [c for c in chunks if c not in self]
@@ -46,9 +59,23 @@ class _Ids(dict):
             self.clear()
             self[""] = b""
             new = list(chunks - {""})
-        for c, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
+        cut = {c: WORDS.findall(c.lower()) for c in new if COMMON.fullmatch(c) and "<|" not in c}
+        self._learn_words(set().union(*cut.values()))
+        for c, parts in cut.items():
+            self[c] = b"".join([self.words[w] for w in parts])
+        rest = [c for c in new if c not in cut]
+        for c, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
             self[c] = np.array(e.ids, "<u4").tobytes()
 
+    def _learn_words(self, words: set[str]) -> None:
+        new = [w for w in words if w not in self.words]
+        if len(self.words) + len(new) > CACHED_WORDS:
+            self.words.clear()
+            new = list(words)
+        encode = self.tokenizer.model.tokenize
+        for w in new:
+            self.words[w] = np.array([t.id for t in encode(w.translate(self.bytes))], "<u4").tobytes()
+
 
 def _ids(path: str) -> _Ids:
     if path not in _tokenizers:
