@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kpi_shift.llm import decontaminate, fingerprints, html_text, packing, quality, toxicity
+from kpi_shift.llm import decontaminate, fingerprints, html_text, licenses, packing, pii, quality, toxicity
 from kpi_shift.session import configure
 
+#: In production a secret of the operator; here fixed, so that runs agree.
+SURROGATE_KEY = "surrogates-1"
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     configure(spark)
@@ -48,6 +52,16 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(report)
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.array_join("sentence_ids", "").alias("sentence_ids"), F.array_join("licenses", ",").alias("licenses"))
+
+
+def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    replaced = pii.replace_personal_data(read(spark, sf_dir, "documents"), SURROGATE_KEY)
+    return replaced.select("doc_id", "text", "n_mentions", F.array_join("kinds", ",").alias("kinds"))
+
+
 LLM_QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_html_extraction": op2_html_extraction,
@@ -55,6 +69,8 @@ LLM_QUERIES = {
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_order_minhash": op5_order_minhash,
     "op6_decontamination": op6_decontamination,
+    "op8_license_scan": op8_license_scan,
+    "op10_pii_surrogates": op10_pii_surrogates,
 }
 
 LLM_ORACLE: dict[str, str] = {}
