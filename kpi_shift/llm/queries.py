@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpi_shift.llm import decontaminate, fingerprints, html_text, licenses, packing, pii, quality, toxicity
+from kpi_shift.llm import decontaminate, fingerprints, html_text, jaccard, licenses, packing, pii, quality, substrings, toxicity
 from kpi_shift.session import configure
 
 #: In production a secret of the operator; here fixed, so that runs agree.
@@ -52,11 +52,19 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(report)
 
 
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan_licenses(read(spark, sf_dir, "documents"))
     return found.select("doc_id", F.array_join("sentence_ids", "").alias("sentence_ids"), F.array_join("licenses", ",").alias("licenses"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeats_removed(read(spark, sf_dir, "documents"))
+
+
 def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     replaced = pii.replace_personal_data(read(spark, sf_dir, "documents"), SURROGATE_KEY)
     return replaced.select("doc_id", "text", "n_mentions", F.array_join("kinds", ",").alias("kinds"))
@@ -69,7 +77,9 @@ LLM_QUERIES = {
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_order_minhash": op5_order_minhash,
     "op6_decontamination": op6_decontamination,
+    "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op8_license_scan": op8_license_scan,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_pii_surrogates": op10_pii_surrogates,
 }
 
