@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kpi_shift.functions.stage import stage
-from kpi_shift.llm.text import PLAIN, hashed_words, texts_of
+from kpi_shift.llm.text import PLAIN, hashed_words, packed, texts_of, unpacked
 
 WINDOW = 13
 SHARD_WORDS = 1_000_000
@@ -227,7 +227,7 @@ def benchmark_matches(
 
     A match is (item_id, item_start, doc_start, length), in words. An item shorter than a window matches as a whole. A
     null or empty text has no words and no matches; repeated rows, also of one id, are judged each for itself; an empty
-    table gives an empty result, an empty benchmark no matches. Further columns of either table are not looked at.
+    table gives an empty result, an empty benchmark no matches. An item without id hits words, but is not named. Further columns of either table are not looked at.
     """
     spark = documents.sparkSession
     rows = documents.select("doc_id", "text", F.lit(0).cast("long").alias("n_words"), F.lit(None).cast(MATCHES).alias("matches"))
@@ -275,8 +275,6 @@ def remove_contaminated(documents: DataFrame, benchmark: DataFrame, **options) -
 
     The rows travel through the scan beside their text, so none is joined back.
     """
-    names = [f"c{i}" for i in range(len(documents.columns))]
-    whole = F.struct(*[F.col(f"`{c}`").alias(n) for c, n in zip(documents.columns, names, strict=True)])
-    packed = documents.select(whole.alias("doc_id"), F.col("text"))
-    kept = contamination(packed, benchmark, **options).where(~F.col("contaminated"))
-    return kept.select(*[F.col(f"doc_id.{n}").alias(c) for c, n in zip(documents.columns, names, strict=True)])
+    rows = packed(documents).withColumnRenamed("row", "doc_id")
+    kept = contamination(rows, benchmark, **options).where(~F.col("contaminated"))
+    return kept.select(F.col("doc_id").alias("row")).select(*unpacked(documents.columns))

@@ -20,12 +20,12 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kpi_shift.functions.stage import stage
 from kpi_shift.llm.buckets import by_bucket, each_bucket
-from kpi_shift.llm.text import SPACED, hashed_words, mix, rolling, texts_of
+from kpi_shift.llm.text import SPACED, hashed_words, mix, packed, rolling, texts_of, unpacked
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -321,12 +321,10 @@ def keep_one_of_each(documents: DataFrame, similarity: float = SIMILARITY, leaf:
     """The documents, with all columns, without all but the first (least doc_id) of each group; texts without words stay."""
     _, told = similar_classes(documents, similarity, leaf)
     grouped = told.where("copies > 1 or n_links > 0").select("key", "root", "class_id")
-    names = [f"c{i}" for i in range(len(documents.columns))]
-    whole: Column = F.struct(*[F.col(f"`{c}`").alias(n) for c, n in zip(documents.columns, names, strict=True)])
-    packed = documents.select(whole.alias("row"), F.col("text"))
-    keyed = packed.mapInArrow(_describe(False), f"row {packed.schema['row'].dataType.simpleString()}, text string, key binary").select("row", "key")
-    id_name = names[documents.columns.index("doc_id")]
+    rows = packed(documents)
+    keyed = rows.mapInArrow(_describe(False), f"row {rows.schema['row'].dataType.simpleString()}, text string, key binary").select("row", "key")
     joined = keyed.join(grouped, "key", "left")
     single = joined.where("root is null").select("row")
-    first = joined.where(F.col("root").isNotNull() & F.col(f"row.{id_name}").eqNullSafe(F.col("class_id"))).dropDuplicates(["root"]).select("row")
-    return single.unionByName(first).select(*[F.col(f"row.{n}").alias(c) for c, n in zip(documents.columns, names, strict=True)])
+    same = F.col(f"row.c{documents.columns.index('doc_id')}").eqNullSafe(F.col("class_id"))
+    first = joined.where(F.col("root").isNotNull() & same).dropDuplicates(["root"]).select("row")
+    return single.unionByName(first).select(*unpacked(documents.columns))

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kpi_shift.functions.stage import stage
+from kpi_shift.llm.text import packed, unpacked
 
 ROUNDS = 30
 # Marks of names, and given names by gender and script.
@@ -331,26 +332,26 @@ def replace_personal_data(documents: DataFrame, key: str) -> DataFrame:
     """All columns of ``documents`` with mentions in ``text`` replaced, and ``n_mentions`` and ``kinds`` (sorted, each once).
 
     A null text stays null and has no mentions, an empty one stays empty. Repeated rows get equal results; an empty table
-    gives an empty one. ``documents`` must not have columns n_mentions and kinds; other columns are kept as they are.
+    gives an empty one. Other columns are kept as they are; any named n_mentions or kinds gives way to the new ones.
     """
     again = further_draws(entities(documents), key)
-    rows = documents.withColumn("__told", _told(mentions(F.col("text"))))
+    rows = packed(documents).withColumn("told", _told(mentions(F.col("text"))))
     if again is None:
         attempts = F.lit(None).cast("map<string,int>")
     else:
-        told = rows.where(F.size("__told") > 0).select("text", F.explode(_entities_of(F.col("__told"))).alias("entity"))
-        told = told.select(F.sha2("text", 256).alias("__hash"), "entity.kind", "entity.value")
+        told = rows.where(F.size("told") > 0).select(F.sha2("text", 256).alias("hash"), F.explode(_entities_of(F.col("told"))).alias("entity"))
         entry = F.struct(F.concat_ws("\x1f", "kind", "value").alias("key"), F.col("attempt").alias("value"))
         # by the text's hash: repeated ids cannot mix, and few texts are concerned
-        one = told.join(again, ["kind", "value"]).groupBy("__hash").agg(F.map_from_entries(F.collect_set(entry)).alias("__attempts"))
-        rows = rows.withColumn("__hash", F.when(F.size("__told") > 0, F.sha2("text", 256))).join(one, "__hash", "left")
-        attempts = F.col("__attempts")
+        one = told.select("hash", "entity.kind", "entity.value").join(again, ["kind", "value"])
+        one = one.groupBy("hash").agg(F.map_from_entries(F.collect_set(entry)).alias("attempts"))
+        rows = rows.withColumn("hash", F.when(F.size("told") > 0, F.sha2("text", 256))).join(one, "hash", "left")
+        attempts = F.col("attempts")
 
     def row(what: Column, value: Column) -> Column:
         attempt = F.coalesce(F.element_at(attempts, F.concat_ws("\x1f", what, value)), F.lit(0))
         return F.struct(what.alias("kind"), value.alias("value"), attempt.alias("attempt"))
 
-    told = F.col("__told")
+    told = F.col("told")
     cores = _drawn(key, F.transform(told, lambda r: row(r["kind"], r["value"])))
     given = _drawn(key, F.transform(told, lambda r: row(r["gender"], r["given"])))
     drawn = F.zip_with(cores, given, lambda c, g: F.struct(c["core"].alias("core"), g["core"].alias("given")))
@@ -358,8 +359,10 @@ def replace_personal_data(documents: DataFrame, key: str) -> DataFrame:
     pieces = F.split(F.col("text"), PATTERN, -1)
     replaced = F.array_join(F.zip_with(pieces, F.concat(surrogates, F.array(F.lit(""))), lambda p, s: F.concat(p, s)), "")
     kinds = F.array_sort(F.array_distinct(F.transform(told, lambda r: r["kind"])))
+    new_text = F.when(F.size("told") > 0, replaced).otherwise(F.col("text"))
+    values = zip(documents.columns, unpacked(documents.columns, text=new_text), strict=True)
     return rows.select(
-        *[F.when(F.size("__told") > 0, replaced).otherwise(F.col("text")).alias("text") if c == "text" else F.col(f"`{c}`") for c in documents.columns],
-        F.greatest(F.size("__told"), F.lit(0)).cast("long").alias("n_mentions"),
+        *[v for c, v in values if c not in ("n_mentions", "kinds")],
+        F.greatest(F.size("told"), F.lit(0)).cast("long").alias("n_mentions"),
         F.coalesce(kinds, F.array().cast("array<string>")).alias("kinds"),
     )

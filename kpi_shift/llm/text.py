@@ -9,7 +9,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CHUNK_BYTES = 1 << 20
@@ -118,3 +118,15 @@ def rolling(words: np.ndarray, size: int, odd: int = 0xD6E8FEB86659FD93) -> np.n
 
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
+
+
+def packed(documents: DataFrame, text: str = "text") -> DataFrame:
+    """The whole row as one column ``row``, beside its ``text``: further columns travel along, whatever their names."""
+    names = [f"c{i}" for i in range(len(documents.columns))]
+    whole = F.struct(*[F.col(f"`{c}`").alias(n) for c, n in zip(documents.columns, names, strict=True)])
+    return documents.select(whole.alias("row"), F.col(text).alias("text"))
+
+
+def unpacked(columns: list[str], **replaced: Column) -> list[Column]:
+    """The columns of a packed row again, those in ``replaced`` with another value."""
+    return [replaced.get(c, F.col(f"row.c{i}")).alias(c) for i, c in enumerate(columns)]

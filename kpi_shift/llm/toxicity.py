@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from kpi_shift.functions.stage import stage
 from kpi_shift.llm.quality import labelled_sample, logistic_curve
+from kpi_shift.llm.text import packed, unpacked
 
 SAMPLE = 20_000
 STEM = 4  # shortest beginning of a word that can be an entry
@@ -319,7 +320,5 @@ def score(documents: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",
 
 def reject_toxic(documents: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """The documents whose score is below ``threshold``, with all their columns."""
-    names = [f"c{i}" for i in range(len(documents.columns))]
-    whole = F.struct(*[F.col(f"`{c}`").alias(n) for c, n in zip(documents.columns, names, strict=True)])
-    scored = score(documents.select(whole.alias("row"), "text"), model, ("row",))
-    return scored.where(F.col("score") < threshold).select(*[F.col(f"row.{n}").alias(c) for c, n in zip(documents.columns, names, strict=True)])
+    scored = score(packed(documents), model, ("row",))
+    return scored.where(F.col("score") < threshold).select(*unpacked(documents.columns))
