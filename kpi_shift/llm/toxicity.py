@@ -28,7 +28,7 @@ from kpi_shift.functions.stage import stage
 from kpi_shift.llm.quality import labelled_sample, logistic_curve
 from kpi_shift.llm.text import packed, unpacked
 
-SAMPLE = 20_000
+SAMPLE = 10_000
 STEM = 4  # shortest beginning of a word that can be an entry
 LONGEST = 12  # longest beginning
 FUZZY = 5  # entries of so many letters may have an error
@@ -107,16 +107,44 @@ class Model:
 
 
 class _Finder(dict):
-    """Finds by word; kept while there is room."""
+    """Finds by word; kept while there is room.
+
+    One error leaves one half of an entry as it is: only words with a half in its place are made into automata.
+    """
 
     def __init__(self, entries: list[Entry]):
         super().__init__()
         self.entries, self.trie = entries, build_trie(entries)
+        self.parts: dict[int, list] = {}
+
+    def _parts(self, size: int) -> list[tuple[int, int, set]]:
+        """(place, length, halves) that a word of ``size`` letters shares with any entry in reach."""
+        found: dict[tuple[int, int], set] = defaultdict(set)
+        for e in self.entries:
+            errors = len(e.text) >= FUZZY
+            if size < len(e.text) - errors or not e.stem and size > len(e.text) + errors:
+                continue
+            half = len(e.text) // 2 if errors else len(e.text)
+            found[0, half].add(e.text[:half])
+            if errors:
+                rest = e.text[half:]
+                for place in (half - 1, half, half + 1) if e.stem else (size - len(rest),):
+                    found[place, len(rest)].add(rest)
+        return [(place, place + n, halves) for (place, n), halves in found.items()]
+
+    def possible(self, word: str) -> bool:
+        parts = self.parts.get(len(word))
+        if parts is None:
+            parts = self.parts[len(word)] = self._parts(len(word))
+        for a, b, halves in parts:
+            if word[a:b] in halves:
+                return True
+        return False
 
     def __missing__(self, word: str):
         if len(self) >= CACHE:
             self.clear()
-        self[word] = found = lookup(word, self.trie, self.entries)
+        self[word] = found = lookup(word, self.trie, self.entries) if self.possible(word) else None
         return found
 
 
