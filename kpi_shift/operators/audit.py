@@ -7,56 +7,43 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Days on which no load is expected, and length of the audited window.
-HOLIDAYS = (
-    "2023-11-14",
-    "2023-11-23",
-    "2023-11-24",
-    "2023-11-27",
-    "2023-12-25",
-    "2023-12-26",
-    "2024-01-01",
-    "2024-01-02",
-    "2024-01-15",
-)
+# Length of the audited window, and the delay of a table that names none.
 AUDIT_DAYS = 20
 EXPECTED_DELAY = 1
 
+EXPECTED_TABLES = "table_name string, delay_days int, weekdays_only boolean"
 
-def _expected(as_of: str, delay: int):
-    return F.date_sub(F.lit(as_of).cast("date"), delay)
 
+def _due(expected: DataFrame, as_of: str) -> DataFrame:
+    """Expected tables with the newest day that each should hold by now."""
+    delay = F.coalesce("delay_days", F.lit(EXPECTED_DELAY))
+    return expected.select("table_name", "weekdays_only", F.date_sub(F.lit(as_of).cast("date"), delay).alias("expected_day"))
 
-def table_freshness(loads: DataFrame, as_of: str, delay: int = EXPECTED_DELAY) -> DataFrame:
-    """Latest loaded day per table and by how many days it is behind the expected one."""
-    expected = _expected(as_of, delay)
-    return (
-        loads.groupBy("table_name")
-        .agg(F.max("day").alias("latest_day"))
-        .select("table_name", "latest_day", expected.alias("expected_day"), F.datediff(expected, "latest_day").alias("delayed_days"))
+
+def table_freshness(loads: DataFrame, expected: DataFrame, as_of: str) -> DataFrame:
+    """Latest loaded day of each expected table and by how many days it is behind; both null if it never loaded.
+
+    ``expected`` has (table_name, delay_days, weekdays_only), one row per table. Loads of other tables are not looked at.
+    """
+    latest = loads.groupBy("table_name").agg(F.max("day").alias("latest_day"))
+    return _due(expected, as_of).join(latest, "table_name", "left").select(
+        "table_name", "latest_day", "expected_day", F.datediff("expected_day", "latest_day").alias("delayed_days")
     )
 
 
-def missing_days(
-    loads: DataFrame,
-    as_of: str,
-    delay: int = EXPECTED_DELAY,
-    window: int = AUDIT_DAYS,
-    weekdays_only: Sequence[str] = (),
-    holidays: Sequence[str] = HOLIDAYS,
-) -> DataFrame:
-    """(table_name, day) of the ``window`` days up to the expected one that were not loaded.
+def missing_days(loads: DataFrame, expected: DataFrame, as_of: str, holidays: Sequence[str], window: int = AUDIT_DAYS) -> DataFrame:
+    """(table_name, day) of the ``window`` days up to a table's expected day that were not loaded.
 
-    Tables listed in ``weekdays_only`` are not expected at weekends and on ``holidays``.
+    Tables marked ``weekdays_only`` are not expected at weekends and on ``holidays``.
     """
-    expected = _expected(as_of, delay)
-    wanted = loads.select("table_name").distinct().select(
-        "table_name", F.explode(F.sequence(F.date_sub(expected, window - 1), expected)).alias("day")
+    wanted = _due(expected, as_of).select(
+        "table_name", "weekdays_only", F.explode(F.sequence(F.date_sub("expected_day", window - 1), "expected_day")).alias("day")
     )
-    if weekdays_only:
-        working = (F.weekday("day") < 5) & ~F.col("day").isin(*[F.lit(h).cast("date") for h in holidays])
-        wanted = wanted.filter(~F.col("table_name").isin(*weekdays_only) | working)
-    in_window = loads.filter(F.col("day") >= F.date_sub(expected, window - 1)).select("table_name", "day").distinct()
+    working = (F.weekday("day") < 5) & ~F.col("day").cast("string").isin(*holidays)
+    wanted = wanted.filter(~F.coalesce("weekdays_only", F.lit(False)) | working).select("table_name", "day")
+    # what lies before every table's window cannot matter
+    oldest = _due(expected, as_of).agg(F.date_sub(F.min("expected_day"), window - 1)).scalar()
+    in_window = loads.filter(F.col("day") >= oldest).select("table_name", "day").distinct()
     return wanted.join(in_window, ["table_name", "day"], "left_anti")
 
 
@@ -70,25 +57,26 @@ def latest_days(df: DataFrame, day: str, newest: int = AUDIT_DAYS) -> DataFrame:
     return df.select(F.col(day).cast("date").alias("day")).distinct().orderBy(F.desc("day")).limit(newest)
 
 
-def completeness_report(
-    loads: DataFrame,
-    as_of: str,
-    delay: int = EXPECTED_DELAY,
-    window: int = AUDIT_DAYS,
-    weekdays_only: Sequence[str] = (),
-    holidays: Sequence[str] = HOLIDAYS,
-) -> DataFrame:
-    """One row per table: freshness, missing days of the window, and whether all tables are on time."""
-    fresh = table_freshness(loads, as_of, delay)
+def completeness_report(loads: DataFrame, expected: DataFrame, as_of: str, holidays: Sequence[str], window: int = AUDIT_DAYS) -> DataFrame:
+    """One row per expected table: freshness, missing days of the window, and whether all tables are on time.
+
+    A table that never loaded misses every day, and then not all are on time.
+    """
+    fresh = table_freshness(loads, expected, as_of)
     # at most `window` days per table
-    holes = (
-        missing_days(loads, as_of, delay, window, weekdays_only, holidays)
-        .groupBy("table_name")
-        .agg(F.sort_array(F.collect_list("day")).alias("missing_days"))
-    )
-    on_time = fresh.agg(F.bool_and(F.col("delayed_days") == 0)).scalar()
+    holes = missing_days(loads, expected, as_of, holidays, window).groupBy("table_name").agg(F.sort_array(F.collect_list("day")).alias("missing_days"))
+    on_time = fresh.agg(F.bool_and(F.coalesce(F.col("delayed_days") == 0, F.lit(False)))).scalar()
     return fresh.join(holes, "table_name", "left").select(
         *fresh.columns,
         F.coalesce("missing_days", F.array().cast("array<date>")).alias("missing_days"),
         on_time.alias("all_on_time"),
     )
+
+
+def combined_completeness(reports: dict[str, DataFrame]) -> DataFrame:
+    """Reports of several sides, such as tables in the store and dated files, next to each other in the column ``side``."""
+    sides = [report.select(F.lit(side).alias("side"), "*") for side, report in reports.items()]
+    merged = sides[0]
+    for other in sides[1:]:
+        merged = merged.unionByName(other)
+    return merged
