@@ -15,7 +15,3 @@ def haversine_miles(lat1: str, lng1: str, lat2: str, lng2: str) -> str:
     a = f"{half_lat} * {half_lat} + cos(radians({lat1})) * cos(radians({lat2})) * {half_lng} * {half_lng}"
     return f"{2 * EARTH_RADIUS_KM}D * asin(sqrt({a})) / {KM_PER_MILE}D"
 
-
-def degrees_of(miles: float) -> float:
-    """Latitude span of a distance along a meridian."""
-    return miles / EARTH_RADIUS_MILES * 57.29577951308232

@@ -2,72 +2,60 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpi_shift.functions.geo import degrees_of, haversine_miles
+from kpi_shift.functions.geo import EARTH_RADIUS_MILES, haversine_miles
 from kpi_shift.functions.lookup import lookup_join
 
-# Cells are CELL degrees wide, a whole number of them goes round the earth. Each is divided three times in ten by ten
-# blocks; the finest are some eight metres wide.
-CELL = 0.075
-CELLS_ROUND = round(360 / CELL)
+# Positions are points in space, seen from the earth's centre. Cells are cubes as wide as the radius searched; each is
+# divided three times in ten by ten by ten blocks. So the poles and the 180th meridian are places like any other.
+AXES = ("x", "y", "z")
 PARTS = 10
 DIVISIONS = 3
-FINEST = CELL / PARTS**DIVISIONS
-# Widens a search box, and shrinks a lower bound, to cover rounding and converging meridians (up to 85 degrees).
-MARGIN = 1.02
 DISTANCE_DIGITS = 6
+# Covers rounding of coordinates and of distances, in miles.
+SLACK = 10.0 ** (1 - DISTANCE_DIGITS)
 
 
-def _cells_around(miles: float) -> tuple[str, str]:
-    """Rows and columns of the cells that the box of half-width ``miles`` around (lat, lng) touches."""
-    dlat = degrees_of(miles) * MARGIN
-    dlng = f"{dlat}D / cos(radians(least(abs(lat) + {dlat}D, 85D)))"
-    rows = f"sequence(floor((lat - {dlat}D) / {CELL}D), floor((lat + {dlat}D) / {CELL}D))"
-    columns = f"sequence(floor((lng - {dlng}) / {CELL}D), floor((lng + {dlng}) / {CELL}D))"
-    return rows, f"array_distinct(transform({columns}, x -> pmod(x, {CELLS_ROUND}L)))"
+def _chord(miles: float) -> float:
+    """Straight distance through the earth of two places so many miles apart."""
+    return 2 * EARTH_RADIUS_MILES * math.sin(min(miles / (2 * EARTH_RADIUS_MILES), math.pi / 2))
+
+
+def _in_space(df: DataFrame, lat: str, lng: str) -> DataFrame:
+    """Add x, y, z in miles."""
+    r = f"{EARTH_RADIUS_MILES}D"
+    return df.selectExpr(
+        "*",
+        f"{r} * cos(radians({lat})) * cos(radians({lng})) AS x",
+        f"{r} * cos(radians({lat})) * sin(radians({lng})) AS y",
+        f"{r} * sin(radians({lat})) AS z",
+    )
 
 
 def _blocks(sites: DataFrame, by: Sequence[str], width: int) -> DataFrame:
     """Targets summed up in blocks, ``width`` finest blocks wide: their box, one position, and the block around."""
-    placed = sites.selectExpr(
-        *by, "latitude", "longitude", f"floor(fine_y / {width}) AS block_y", f"floor(fine_x / {width}) AS block_x"
-    )
-    boxes = placed.groupBy(*by, "block_y", "block_x").agg(
-        F.expr("min(latitude) AS south"),
-        F.expr("max(latitude) AS north"),
-        F.expr("min(longitude) AS west"),
-        F.expr("max(longitude) AS east"),
-        F.expr("min_by(longitude, latitude) AS known_lng"),
-    )
-    return boxes.selectExpr("*", f"floor(block_y / {PARTS}) AS around_y", f"floor(block_x / {PARTS}) AS around_x")
+    placed = sites.selectExpr(*by, *AXES, *[f"floor(fine_{a} / {width}) AS block_{a}" for a in AXES])
+    bounds = [F.expr(f"{f}({a}) AS {f}_{a}") for a in AXES for f in ("min", "max")]
+    boxes = placed.groupBy(*by, *[f"block_{a}" for a in AXES]).agg(*bounds, F.expr("min(struct(x, y, z)) AS known"))
+    return boxes.selectExpr("*", *[f"floor(block_{a} / {PARTS}) AS around_{a}" for a in AXES])
 
 
-def _opened(pairs: DataFrame, by: Sequence[str], miles: float) -> DataFrame:
+def _opened(pairs: DataFrame, by: Sequence[str], chord: float) -> DataFrame:
     """Of pairs of point and block, those whose block can hold the point's nearest target."""
-    # the point seen from the side of the earth the block lies on, and the spot of the block's box nearest to it
-    turned = pairs.selectExpr("*", "lng + 360 * round(((west + east) / 2 - lng) / 360) AS turned_lng")
-    beside = turned.selectExpr(
-        "*",
-        "least(greatest(lat, south), north) AS beside_lat",
-        "least(greatest(turned_lng, west), east) AS beside_lng",
-    )
-    bounded = beside.selectExpr(
-        *by,
-        "lat",
-        "lng",
-        "block_y AS around_y",
-        "block_x AS around_x",
-        f"{haversine_miles('lat', 'turned_lng', 'beside_lat', 'beside_lng')} / {MARGIN}D AS at_least",
-        f"{haversine_miles('lat', 'lng', 'south', 'known_lng')} AS at_most",
-    ).filter(f"at_least <= {miles}D")
+    beside = " + ".join(f"pow(greatest(min_{a} - {a}, {a} - max_{a}, 0D), 2)" for a in AXES)
+    known = " + ".join(f"pow(known.{a} - {a}, 2)" for a in AXES)
+    bounded = pairs.selectExpr(
+        *by, "lat", "lng", *AXES, *[f"block_{a} AS around_{a}" for a in AXES], f"sqrt({beside}) AS at_least", f"sqrt({known}) AS at_most"
+    ).filter(f"at_least <= {chord + SLACK}D")
     # a point meets the blocks of a few cells, or of the few blocks left open before, so this window is bounded
     best = f"min(at_most) OVER (PARTITION BY {', '.join(by)}, lat, lng) AS best"
-    near = bounded.selectExpr("*", best).filter(f"at_least <= best + {10.0 ** (1 - DISTANCE_DIGITS)}D")
-    return near.select(*by, "lat", "lng", "around_y", "around_x")
+    near = bounded.selectExpr("*", best).filter(f"at_least <= best + {SLACK}D")
+    return near.select(*by, "lat", "lng", *AXES, *[f"around_{a}" for a in AXES])
 
 
 def nearest_within(
@@ -80,30 +68,31 @@ def nearest_within(
     """For each distinct (``by``, lat, lng) of ``points``, the nearest target of the same ``by`` within ``miles``.
 
     ``targets`` has ``by``, ``target_id``, latitude, longitude. Distances that agree to six decimals of a mile are a
-    tie, which the smaller id wins. Points with no target within reach have no row.
+    tie, which the smaller id wins. Points with no target within reach have no row. Any place on earth will do.
 
     The work per point hardly grows with the number of targets around it. Targets are summed up in blocks within
-    blocks. A point meets the large blocks of the few cells its search box touches; of these, and then of the smaller
-    ones in them, only those are opened that can hold something nearer than the nearest target known from the
-    summaries. Copies of a position count once on both sides.
+    blocks. A point meets the large blocks of the cells around its own; of these, and then of the smaller ones in them,
+    only those are opened that can hold something nearer than the nearest target known from the summaries. Copies of a
+    position count once on both sides.
     """
-    by = list(by)
+    by, chord = list(by), _chord(miles)
+    finest = chord / PARTS**DIVISIONS
     spots = points.select(*by, "lat", "lng").filter("lat IS NOT NULL AND lng IS NOT NULL").distinct()
     sites = (
         targets.filter("latitude IS NOT NULL AND longitude IS NOT NULL")
         .groupBy(*by, "latitude", "longitude")
         .agg(F.min(target_id).alias(target_id))
-        .selectExpr("*", f"floor(latitude / {FINEST}D) AS fine_y", f"floor(longitude / {FINEST}D) AS fine_x")
     )
-    around = [*by, "around_y", "around_x"]
-    rows, columns = _cells_around(miles)
-    open_blocks = spots.selectExpr("*", f"explode({rows}) AS around_y").selectExpr("*", f"explode({columns}) AS around_x")
+    sites = _in_space(sites, "latitude", "longitude").selectExpr("*", *[f"floor({a} / {finest}D) AS fine_{a}" for a in AXES])
+    around = [*by, *[f"around_{a}" for a in AXES]]
+    open_blocks = _in_space(spots, "lat", "lng")
+    for a in AXES:
+        cell = f"floor({a} / {finest * PARTS**DIVISIONS}D)"
+        open_blocks = open_blocks.selectExpr("*", f"explode(sequence({cell} - 1, {cell} + 1)) AS around_{a}")
     for division in range(1, DIVISIONS + 1):
         blocks = _blocks(sites, by, PARTS ** (DIVISIONS - division))
-        if division == 1:  # columns of cells are numbered round the earth
-            blocks = blocks.withColumn("around_x", F.expr(f"pmod(around_x, {CELLS_ROUND}L)"))
-        open_blocks = _opened(lookup_join(open_blocks, blocks, around), by, miles)
-    in_block = sites.withColumnsRenamed({"fine_y": "around_y", "fine_x": "around_x"})
+        open_blocks = _opened(lookup_join(open_blocks, blocks, around), by, chord)
+    in_block = sites.drop(*AXES).withColumnsRenamed({f"fine_{a}": f"around_{a}" for a in AXES})
     measured = (
         lookup_join(open_blocks, in_block, around)
         .selectExpr(*by, "lat", "lng", target_id, f"{haversine_miles('lat', 'lng', 'latitude', 'longitude')} AS miles")

@@ -56,7 +56,7 @@ def test_haversine(spark):
     assert unknown.m is None
 
 
-@pytest.mark.parametrize("centre", [(30.0, -97.0), (-41.3, 174.8), (64.0, 179.98), (0.01, -0.01), (78.0, 15.0)])
+@pytest.mark.parametrize("centre", [(30.0, -97.0), (-41.3, 174.8), (64.0, 179.98), (0.01, -0.01), (78.0, 15.0), (89.95, 40.0), (-89.99, -170.0)])
 def test_nearest_within_equals_comparing_all_pairs(spark, centre):
     rng = random.Random(repr(centre))
     lat0, lng0 = centre
@@ -64,7 +64,8 @@ def test_nearest_within_equals_comparing_all_pairs(spark, centre):
 
     def spot(spread):
         lng = lng0 + rng.uniform(-stretch, stretch) * spread
-        return round(lat0 + rng.uniform(-0.2, 0.2) * spread, 4), round((lng + 180) % 360 - 180, 4)
+        lat = lat0 + rng.uniform(-0.2, 0.2) * spread
+        return round(max(-90.0, min(90.0, lat)), 4), round((lng + 180) % 360 - 180, 4)
 
     points = [(g, *spot(1)) for g in ("a", "b") for _ in range(150)]
     # a third of the targets of group a crowd together, some at the very same place
