@@ -1,7 +1,8 @@
 """The recurring jobs: raw daily files to panel, pre-event tables, post-event scores, alert documents.
 
 Every job covers the run days from ``start`` until ``end`` (exclusive; one day apart for a daily run) in one plan and
-replaces exactly the partitions it computes, so running a job again, or over a longer range, gives the same tables.
+replaces the partitions of its range, those that become empty included, so running a job again, after a correction, or over
+a longer range, gives the same tables. ``sinks.read_partitions`` reads a table, also before the first event.
 """
 
 from __future__ import annotations
@@ -76,13 +77,13 @@ def pre_event_job(
     last = _shift(end, -1)
     if events is None:
         found = stage(detect_events(panel, level, monitor, start, last), "events")
-        write_partitions(event_rows(panel, found, level, monitor), f"{out}/{EVENTS}", ["event_date"])
+        write_partitions(event_rows(panel, found, level, monitor), f"{out}/{EVENTS}", ["event_date"], ("event_date", start, end))
     else:
         found = stage(_between(cohort(events, level), "event_date", start, end), "events")
     around = stage(rows_around(panel, found, level, -monitor.baseline_days, -1), "cohort_rows")
     pre_panel = pre_event_rows(around, level, monitor)
-    write_partitions(pre_panel, f"{out}/{PRE_PANEL}", ["event_date"])
-    write_partitions(baseline_stats(pre_panel, level, monitor), f"{out}/{BASELINE}", ["event_date"])
+    write_partitions(pre_panel, f"{out}/{PRE_PANEL}", ["event_date"], ("event_date", start, end))
+    write_partitions(baseline_stats(pre_panel, level, monitor), f"{out}/{BASELINE}", ["event_date"], ("event_date", start, end))
     return event_list_check(found, start, last)
 
 
@@ -109,7 +110,7 @@ def post_event_job(
     known = _between(baseline, "event_date", first_cohort, end)
     post_panel = post_event_rows(around, level, monitor, start, end)
     scored = zero_override(score_post_event(post_panel, known, level, monitor, summarised=False), monitor)
-    write_partitions(report(scored, cohorts) if report else scored, f"{out}/{SCORES}")
+    write_partitions(report(scored, cohorts) if report else scored, f"{out}/{SCORES}", between=("day", start, end))
 
 
 def alert_job(

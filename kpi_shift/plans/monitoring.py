@@ -69,10 +69,11 @@ def score_range(
     end: str,
     events: DataFrame | None = None,
 ) -> DataFrame:
-    """Backfill: score all run days from ``start`` until ``end`` (exclusive) in one plan and replace their partitions.
+    """Backfill: score all run days from ``start`` until ``end`` (exclusive) in one plan, replace their partitions, return them.
 
     All cohorts of all run days come out of the same joins. Partitions outside the range stay as they are.
     """
     run = monitor_panel(panel, level, monitor, events, start, end)
-    write_partitions(run.scored, path)
-    return panel.sparkSession.read.schema(run.scored.schema).parquet(path)
+    write_partitions(run.scored, path, between=("day", start, end))
+    written = panel.sparkSession.read.schema(run.scored.schema).parquet(path)
+    return written.filter(f"day >= DATE'{start}' AND day < DATE'{end}'")

@@ -4,23 +4,57 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
+from kpi_shift.functions.stage import stage
 
-def write_partitions(df: DataFrame, path: str, by: Sequence[str] = ("event_date", "day"), fmt: str = "parquet") -> None:
-    """Replace exactly the partitions that ``df`` holds; a repeated run gives the same table.
 
-    Rows are spread by partition and a hash of nothing else than what the plan produced: adaptive execution rebalances,
-    splitting large partitions and merging small ones, so files stay of useful size.
+SCHEMA_FOLDER = "_schema"  # readers of the table skip names that begin so
+
+
+def write_partitions(
+    df: DataFrame, path: str, by: Sequence[str] = ("event_date", "day"), between: tuple[str, str, str] | None = None
+) -> None:
+    """Replace the partitions of a range: those that ``df`` holds, and no others are left in it.
+
+    ``between`` is (column of ``by``, first value, end value, exclusive): partitions in it that ``df`` does not hold are
+    removed once the new ones are written. So a repeated or corrected run gives the same table as a first one. Without
+    it, only the partitions of ``df`` are replaced. Rows are rebalanced by adaptive execution, so files stay of useful
+    size. The schema is kept beside the data, so that a table without rows can be read.
     """
+    spark = df.sparkSession
+    if between is not None:
+        df = stage(df, "result")
+    df.limit(0).write.mode("overwrite").parquet(f"{path}/{SCHEMA_FOLDER}")
     (
         df.hint("rebalance", *by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*by)
-        .format(fmt)
-        .save(path)
+        .parquet(path)
     )
+    if between is None:
+        return
+    column, first, end = between
+    # a few partitions per calendar day
+    held = {tuple(str(v) for v in row) for row in df.select(*by).distinct().collect()}
+    place = list(by).index(column)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(path + "".join(f"/{c}=*" for c in by))) or []:
+        found, node = [], status.getPath()
+        for _ in by:
+            found.insert(0, node.getName().partition("=")[2])
+            node = node.getParent()
+        if first <= found[place] < end and tuple(found) not in held:
+            files.delete(status.getPath(), True)
+    spark.catalog.refreshByPath(path)
+
+
+def read_partitions(spark: SparkSession, path: str) -> DataFrame:
+    """A table written by ``write_partitions``; without rows if no partition is left."""
+    schema = spark.read.parquet(f"{path}/{SCHEMA_FOLDER}").schema
+    return spark.read.schema(schema).parquet(path)
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
@@ -34,8 +68,8 @@ def export_csv(df: DataFrame, path: str, files: int | None = None) -> None:
 
 
 def write_documents(df: DataFrame, path: str) -> None:
-    """JSON lines."""
-    df.write.mode("overwrite").json(path)
+    """JSON lines; null fields are written too, so every document has all fields."""
+    df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
 def publish(messages: DataFrame, fmt: str, options: Mapping[str, str], mode: str = "append") -> None:

@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from kpi_shift.functions.columns import row_sum
 from kpi_shift.operators.score import score_rows
+from kpi_shift.sources.sinks import read_partitions, write_partitions
 from kpi_shift.spec import Level, Monitor
 
+BATCH = "batch"
+
 
-def score_stream(rows: DataFrame, baseline: DataFrame, level: Level, monitor: Monitor, delay: str = "2 days") -> DataFrame:
-    """Alerts of a stream of KPI rows against a static baseline, each (entity, event, day) once.
+def alerts_of(rows: DataFrame, baseline: DataFrame, level: Level, monitor: Monitor) -> DataFrame:
+    """Abnormal rows of a batch of KPI rows against the baselines of their entities, however old their days are.
 
-    Rows need ``level.ids``, ``day`` and the panel columns. The silent test looks at each row alone: what already went
-    out cannot be withdrawn when a silent row of the same key follows. State is one key per alert, dropped once the
-    watermark, ``delay`` behind the newest day, has passed it.
+    The silent test looks at each row alone: what already went out cannot be withdrawn when a silent row of the same key
+    follows.
     """
     silent = f"coalesce({row_sum(monitor.new_columns)} = 0, false)"
     heard = rows.selectExpr(
@@ -26,10 +31,40 @@ def score_stream(rows: DataFrame, baseline: DataFrame, level: Level, monitor: Mo
     )
     in_time = F.datediff("day", "event_date").between(0, monitor.follow_days)
     scored = score_rows(heard.join(baseline, list(level.ids)).filter(in_time), monitor)
-    return (
-        scored.filter(F.col("has_abnormal_kpi") == 1)
-        .withColumn("day_start", F.col("day").cast("timestamp"))
-        .withWatermark("day_start", delay)
-        .dropDuplicatesWithinWatermark([*level.ids, "event_date", "day"])
-        .drop("day_start")
-    )
+    return scored.filter(F.col("has_abnormal_kpi") == 1)
+
+
+def score_stream(
+    rows: DataFrame, baseline: Callable[[], DataFrame], out: str, progress: str, level: Level, monitor: Monitor, once: bool = False
+) -> StreamingQuery:
+    """Append the alerts of a stream of KPI rows to the table ``out``, each (entity, event, day) once.
+
+    ``baseline`` is called for every micro-batch, so events found meanwhile count for the rows that follow. Rows may be
+    of any age: what has been raised is known from ``out`` itself, pruned to the days of the batch, not from a window of
+    state. Each batch writes its own partition, so a batch that is repeated after a failure replaces what it wrote.
+    ``read_alerts`` reads the table.
+    """
+    keys = [*level.ids, "event_date", "day"]
+
+    def score(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        found = alerts_of(batch, baseline(), level, monitor).dropDuplicates(keys).withColumn(BATCH, F.lit(number).cast("long"))
+        if _exists(spark, out):
+            # the days of one batch are few
+            days = [r.day for r in batch.select("day").distinct().collect() if r.day is not None]
+            known = read_partitions(spark, out).filter((F.col(BATCH) != number) & F.col("day").isin(days))
+            found = found.join(known.select(*keys), keys, "left_anti")
+        write_partitions(found, out, ["day", BATCH])
+
+    writer = rows.writeStream.foreachBatch(score).option("checkpointLocation", progress)
+    return (writer.trigger(availableNow=True) if once else writer).start()
+
+
+def read_alerts(spark: SparkSession, out: str) -> DataFrame:
+    """The alerts raised so far."""
+    return read_partitions(spark, out).drop(BATCH)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)

@@ -91,6 +91,26 @@ def test_repeated_partition_write_replaces_only_its_partitions(spark, tmp_path):
     assert as_set(spark.read.parquet(path), "id", "v") == [("a", 1), ("b", 7)]
 
 
+def test_range_write_removes_what_the_new_result_lacks(spark, tmp_path):
+    path = str(tmp_path / "scores")
+    schema = "id string, v int, event_date date, day date"
+    first = [("a", n, date(2024, 1, 1), date(2024, 1, n)) for n in (1, 2, 3, 4)]
+    sinks.write_partitions(spark.createDataFrame(first, schema), path)
+    corrected = spark.createDataFrame([("b", 7, date(2024, 1, 1), date(2024, 1, 2))], schema)
+    sinks.write_partitions(corrected, path, between=("day", "2024-01-02", "2024-01-04"))
+    assert as_set(sinks.read_partitions(spark, path), "id", "v") == [("a", 1), ("a", 4), ("b", 7)]
+    sinks.write_partitions(corrected.limit(0), path, between=("day", "2024-01-01", "2024-02-01"))
+    assert as_set(sinks.read_partitions(spark, path)) == []
+
+
+def test_file_of_another_header_fails(spark, tmp_path):
+    (tmp_path / "2024-01-01").mkdir()
+    (tmp_path / "2024-01-01" / "a.csv").write_text("x,y\n1,2\n3,4\n")
+    (tmp_path / "2024-01-01" / "b.csv").write_text("y,x\n2,1\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        daily.read_daily_csv(spark, str(tmp_path / "{}"), ["2024-01-01"], ["x", "y"]).collect()
+
+
 def test_exports(spark, tmp_path):
     df = spark.createDataFrame([("a", 1), ("b", 2)], "id string, v int").repartition(2)
     sinks.export_csv(df, str(tmp_path / "csv"), files=1)
@@ -98,6 +118,8 @@ def test_exports(spark, tmp_path):
     assert as_set(daily.read_csv(spark, str(tmp_path / "csv"))) == [("a", "1"), ("b", "2")]
     sinks.write_documents(df, str(tmp_path / "json"))
     assert as_set(spark.read.json(str(tmp_path / "json")), "id", "v") == [("a", 1), ("b", 2)]
+    sinks.write_documents(spark.createDataFrame([("a", None)], "id string, v int"), str(tmp_path / "null"))
+    assert json.loads(spark.read.text(str(tmp_path / "null")).first().value) == {"id": "a", "v": None}
     sinks.write_parquet(df, str(tmp_path / "parquet"))
     sinks.write_parquet(df, str(tmp_path / "parquet"))
     assert spark.read.parquet(str(tmp_path / "parquet")).count() == 2

@@ -7,7 +7,7 @@ from kpi_shift.operators.panels import baseline_stats, post_event_panel, pre_eve
 from kpi_shift.operators.score import score_post_event
 from kpi_shift.spec import TOWER
 from kpi_shift.streaming.messages import append_to_files, parse_messages
-from kpi_shift.streaming.scoring import score_stream
+from kpi_shift.streaming.scoring import read_alerts, score_stream
 from tests.helpers import MONITOR, as_set, day, panel, panel_row
 
 
@@ -38,25 +38,35 @@ def test_file_stream_equals_batch(spark, tmp_path):
     assert list((tmp_path / "out" / "date=2024-01-03" / "hour=9").glob("*.json.gz"))
 
 
-def test_scores_each_alert_once(spark, tmp_path):
-    history = [panel_row("a", n, old=10.0) for n in range(6, 20)] + [panel_row("b", n, old=10.0) for n in range(6, 20)]
-    after = [panel_row("a", n, new=20.0) for n in (20, 21, 22)] + [panel_row("b", 20, new=10.0), panel_row("b", 21, new=0.0)]
+def test_scores_each_alert_once_however_late(spark, tmp_path):
+    history = [panel_row(t, n, old=10.0) for t in "abc" for n in range(6, 20)]
+    after = [panel_row("a", n, new=20.0) for n in (28, 21, 20)] + [panel_row("b", 20, new=10.0), panel_row("b", 21, new=0.0)]
     everything = panel(spark, history + after)
-    events = spark.createDataFrame([("a", day(20)), ("b", day(20))], "tower string, event_date date")
-    baseline = baseline_stats(pre_event_panel(everything, events, TOWER, MONITOR), TOWER, MONITOR)
+    events = [("a", day(20)), ("b", day(20))]
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
-    everything.write.parquet(source)
 
-    def run():
+    def baseline():
+        found = spark.createDataFrame(events, "tower string, event_date date")
+        return baseline_stats(pre_event_panel(everything, found, TOWER, MONITOR), TOWER, MONITOR)
+
+    def arrive(*rows):
+        panel(spark, list(rows)).write.mode("append").parquet(source)
         arriving = spark.readStream.schema(everything.schema).parquet(source)
-        found = score_stream(arriving, baseline, TOWER, MONITOR)
-        writer = found.writeStream.format("parquet").option("path", out).trigger(availableNow=True)
-        writer.option("checkpointLocation", str(tmp_path / "progress")).start().awaitTermination()
-        return spark.read.schema(found.schema).parquet(out)
-
-    post = post_event_panel(everything, events, TOWER, MONITOR)
-    batch = score_post_event(post, baseline, TOWER, MONITOR).filter(F.col("has_abnormal_kpi") == 1)
-    assert as_set(run().select(batch.columns)) == as_set(batch)
+        score_stream(arriving, baseline, out, str(tmp_path / "progress"), TOWER, MONITOR, once=True).awaitTermination()
+        return read_alerts(spark, out)
+
+    def batch(rows):
+        found = spark.createDataFrame(events, "tower string, event_date date")
+        post = post_event_panel(rows, found, TOWER, MONITOR)
+        return score_post_event(post, baseline(), TOWER, MONITOR).filter(F.col("has_abnormal_kpi") == 1)
+
+    columns = batch(everything).columns
+    arrive(*history, after[0])
+    assert as_set(arrive(*after[1:]).select(columns)) == as_set(batch(everything))
     # a row that is published again raises no second alert
-    panel(spark, after[2:3]).write.mode("append").parquet(source)
-    assert as_set(run().select(batch.columns)) == as_set(batch)
+    assert as_set(arrive(after[2], after[2]).select(columns)) == as_set(batch(everything))
+    # an event found after the start counts for the rows that follow
+    events.append(("c", day(20)))
+    late = panel_row("c", 22, new=20.0)
+    everything = panel(spark, history + after + [late])
+    assert as_set(arrive(late).select(columns)) == as_set(batch(everything))
