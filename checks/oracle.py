@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 from checks.fixtures import sql
-from checks.queries import AS_OF, LINK, PROBLEM_TYPES, RANGE, SCAN_DAYS, SNAPSHOT_DAY, TICKET_DAY, WEEKDAY_TABLES
-from kpi_shift.operators.audit import HOLIDAYS
+from checks.queries import AS_OF, DELAYS, HOLIDAYS, LINK, PROBLEM_TYPES, RANGE, SCAN_DAYS, SNAPSHOT_DAY, TICKET_DAY, WEEKDAY_TABLES
 from kpi_shift.operators.impact import CAUSE_CODES, CAUSES_OF_ALERT
 from kpi_shift.spec import RISING, Monitor
 
@@ -205,16 +204,16 @@ where s.has_abnormal_kpi = 1 and s.{alert} = 1 and f.cause_code = '{code}'"""
     for code in codes
 )
 
-EXPECTED = f"(date '{AS_OF}' - 1)"
+EXPECTED = f"date '{AS_OF}' - x.delay"
+EXPECTED_TABLES = " union all ".join(f"select '{t}' as table_name, {d} as delay" for t, d in DELAYS.items())
 FRESH = f"""
-select table_name, max(day) as latest_day, {EXPECTED} as expected_day,
-  cast({EXPECTED} - max(day) as int) as delayed_days from partition_days group by table_name"""
+select x.table_name, max(p.day) as latest_day, {EXPECTED} as expected_day, cast({EXPECTED} - max(p.day) as int) as delayed_days
+from ({EXPECTED_TABLES}) x left join partition_days p on p.table_name = x.table_name group by x.table_name, x.delay"""
 MISSING = f"""
-select t.table_name, c.day from (select distinct table_name from partition_days) t,
-  (select {EXPECTED} - cast(k as int) as day from range(20) r(k)) c
-where not exists (select 1 from partition_days p where p.table_name = t.table_name and p.day = c.day)
-  and (t.table_name not in ({listed(WEEKDAY_TABLES)})
-    or (isodow(c.day) < 6 and cast(c.day as varchar) not in ({listed(HOLIDAYS)})))"""
+select x.table_name, {EXPECTED} - cast(k as int) as day from ({EXPECTED_TABLES}) x, range(20) r(k)
+where not exists (select 1 from partition_days p where p.table_name = x.table_name and p.day = {EXPECTED} - cast(k as int))
+  and (x.table_name not in ({listed(WEEKDAY_TABLES)})
+    or (isodow({EXPECTED} - cast(k as int)) < 6 and cast({EXPECTED} - cast(k as int) as varchar) not in ({listed(HOLIDAYS)})))"""
 
 PARSED = """
 select cast(length(event_type) as int) as "eventType", epoch_us(ts) // 1000 as "timestamp", concat(event_type, '-', event_id) as data,
@@ -289,8 +288,8 @@ from sector_azimuth z join ev e on e.tower = z.tower""",
         "select * from orders_near", **base("work_orders"), **PANEL_EVENTS, **RUN_DAYS, **ORDERS
     ),
     "ticket_counts_json": """
-select lpad(cast(o_custkey % 150 as varchar), 6, '0') as tower, count(*) as nrb_ticket_counts
-from orders group by o_custkey % 150""",
+select lpad(cast(o_custkey % 150 as varchar), 6, '0') as tower, cast(o_orderdate as date) as day, count(*) as nrb_ticket_counts
+from orders group by o_custkey % 150, cast(o_orderdate as date)""",
     "alert_documents": chain(
         f"""select tower as enodeb, day as alert_day, event_day, site, region, abnormal_kpi as abnormal_kpi_count,
   nrb_ticket_counts, w360_ticket_counts, 'new' as vendor, concat('{LINK}', tower) as link, {DOCUMENT}
@@ -314,7 +313,7 @@ select cast(ts as date) as day, count(*) as row_count from events group by 1 ord
     "completeness_report": chain(
         """select f.*, coalesce((select string_agg(cast(m.day as varchar), ',' order by m.day) from missing m
   where m.table_name = f.table_name), '') as missing_days,
-  (select bool_and(delayed_days = 0) from fresh) as all_on_time
+  (select bool_and(coalesce(delayed_days = 0, false)) from fresh) as all_on_time
 from fresh f""",
         **base("partition_days"),
         fresh=FRESH,

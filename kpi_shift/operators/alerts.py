@@ -23,14 +23,14 @@ def alert_documents(
     constants: Mapping[str, str] | None = None,
     carried: tuple[str, ...] = ("site", "region"),
 ) -> DataFrame:
-    """One row per abnormal tower row, with two JSON texts.
+    """One row per abnormal tower row.
 
-    ``features`` holds the values of the alerting KPIs only, ``features_alert`` the flags of all KPIs. ``link`` is
-    prefixed to the id; ``constants`` adds fixed fields such as the vendor.
+    ``features`` maps the alerting KPIs, and only those, to their values; ``features_alert`` holds the flags of all KPIs.
+    ``link`` is prefixed to the id; ``constants`` adds fixed fields such as the vendor.
     """
     abnormal = report.filter(F.col("has_abnormal_kpi") == 1)
-    # to_json leaves null fields out
-    alerting = F.struct(*[F.when(F.col(k.alert) != 0, F.col(k.name)).alias(k.name) for k in monitor.kpis])
+    pairs = F.array(*[F.struct(F.lit(k.name).alias("key"), F.col(k.name).cast("double").alias("value"), F.col(k.alert).alias("flag")) for k in monitor.kpis])
+    alerting = F.map_from_entries(F.transform(F.filter(pairs, lambda p: p["flag"] != 0), lambda p: F.struct(p["key"], p["value"])))
     flags = F.struct(*[F.col(k.alert) for k in monitor.kpis])
 
     def named(column: str) -> Column:
@@ -40,8 +40,8 @@ def alert_documents(
     return abnormal.select(
         *[named(c) for c in plain],
         *[F.lit(v).alias(c) for c, v in (constants or {}).items()],
-        F.to_json(alerting).alias("features"),
-        F.to_json(flags).alias("features_alert"),
+        alerting.alias("features"),
+        flags.alias("features_alert"),
         F.concat(F.lit(link), F.col(level.tower)).alias("link"),
     )
 

@@ -250,7 +250,9 @@ def work_orders_per_tower(orders: DataFrame, events: DataFrame, level: Level, mo
 
 
 def ticket_counts(records: DataFrame, level: Level) -> DataFrame:
-    """Ready-made counts (enodeb_id, count) in the shape the reports join."""
-    return records.select(
-        pad_id(F.col("enodeb_id").cast("string")).alias(level.tower), F.col("count").cast("long").alias("nrb_ticket_counts")
+    """Ready-made counts (enodeb_id, count, day) in the shape the reports join: summed per tower and run day."""
+    return (
+        records.select(pad_id(F.col("enodeb_id").cast("string")).alias(level.tower), F.col("day").cast("date").alias("day"), "count")
+        .groupBy(level.tower, "day")
+        .agg(F.sum(F.col("count").cast("long")).alias("nrb_ticket_counts"))
     )

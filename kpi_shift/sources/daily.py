@@ -64,7 +64,8 @@ def read_daily_csv(
     scans = []
     for header, paths in layouts.items():
         schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
-        scan = read_csv(spark, paths, schema=schema)
+        # a file of another header than its path's fails instead of filling the wrong columns
+        scan = read_csv(spark, paths, schema=schema, enforceSchema=False)
         if source_day is not None:
             scan = scan.withColumn(source_day, F.regexp_extract("_metadata.file_path", f"({ISO_DAY})", 1).cast("date"))
         scans.append(transform(scan) if transform else scan)
@@ -111,5 +112,5 @@ def dated_partitions(table: DataFrame, start: str, end: str, date_column: str =
 
 
 def read_ticket_records(spark: SparkSession, path: str) -> DataFrame:
-    """JSON records (enodeb_id, count)."""
-    return spark.read.schema("enodeb_id string, count long").json(path)
+    """JSON records (enodeb_id, count, day): the day is the one asked for."""
+    return spark.read.schema("enodeb_id string, count long, day date").json(path)

@@ -61,8 +61,8 @@ def test_alert_documents(spark):
         "w360_ticket_counts", "vendor", "features", "features_alert", "link",
     ]
     (doc,) = docs.collect()
-    assert json.loads(doc.features) == {"sip_dc_rate": 1.5, "rtp_gap": 0.25}
-    assert json.loads(doc.features_alert) == dict(zip(flags, raised))
+    assert doc.features == {"sip_dc_rate": 1.5, "rtp_gap": 0.25}
+    assert doc.features_alert.asDict() == dict(zip(flags, raised))
     assert (doc.enodeb, doc.link, doc.vendor, doc.abnormal_kpi_count) == ("a", "https://x/?t=a", "new", 2)
 
 

@@ -1,5 +1,5 @@
 import random
-from datetime import timedelta
+from datetime import date, timedelta
 
 import pytest
 
@@ -168,5 +168,6 @@ def test_cell_suffix_goes_only_from_long_ids(spark):
 
 
 def test_ticket_counts_from_records(spark):
-    df = spark.createDataFrame([("77", 3)], "enodeb_id string, count long")
-    assert as_set(tickets.ticket_counts(df, TOWER), "tower", "nrb_ticket_counts") == [("000077", 3)]
+    rows = [("77", 3, "2024-01-02"), ("77", 1, "2024-01-02"), ("77", 5, "2024-01-03")]
+    counts = tickets.ticket_counts(spark.createDataFrame(rows, "enodeb_id string, count long, day string"), TOWER)
+    assert as_set(counts, "tower", "day", "nrb_ticket_counts") == [("000077", date(2024, 1, 2), 4), ("000077", date(2024, 1, 3), 5)]
