@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from checks.fixtures import sql
-from checks.queries import AS_OF, DELAYS, HOLIDAYS, LINK, PROBLEM_TYPES, RANGE, SCAN_DAYS, SNAPSHOT_DAY, TICKET_DAY, WEEKDAY_TABLES
+from checks.queries import AS_OF, DELAYS, HOLIDAYS, LINK, LISTED_AS_OF, PROBLEM_TYPES, RANGE, SCAN_DAYS, SNAPSHOT_DAY, TICKET_DAY, WEEKDAY_TABLES
 from kpi_shift.operators.impact import CAUSE_CODES, CAUSES_OF_ALERT
 from kpi_shift.spec import RISING, Monitor
 
@@ -325,6 +325,25 @@ from fresh f""",
 from kpi_raw where strptime(day, '%m/%d/%Y') between date '{SCAN_DAYS[0]}' and date '{SCAN_DAYS[1]}'""",
         **base("kpi_raw"),
     ),
+    "gzip_glob": chain("select * from kpi_raw where day like '01/0%/2024'", **base("kpi_raw")),
+    "csv_tree": chain('select tower as "ENODEB", day, site, market, kpi as "RTP" from kpi_raw', **base("kpi_raw")),
+    "csv_path_list": chain(
+        f"""select day, market, count(*) as n, count(*) filter (kpi = 'n/a') as unknown
+from kpi_raw where strptime(day, '%m/%d/%Y') between date '{SCAN_DAYS[0]}' and date '{SCAN_DAYS[1]}' group by day, market""",
+        **base("kpi_raw"),
+    ),
+    "dated_partitions": chain(
+        f"select * from snapshots where date between date '2024-01-01' and date '{SNAPSHOT_DAY}'", **base("tower_coords", "snapshots")
+    ),
+    "listed_days": chain(
+        f"""select t.table_name, date '{LISTED_AS_OF}' - 1 - cast(k as int) as day
+from (values ('raw files', false), ('other files', true)) t(table_name, weekdays), range(20) r(k)
+where not (t.table_name = 'raw files' and exists (
+    select 1 from kpi_raw p where cast(strptime(p.day, '%m/%d/%Y') as date) = date '{LISTED_AS_OF}' - 1 - cast(k as int)))
+  and (not weekdays or (isodow(date '{LISTED_AS_OF}' - 1 - cast(k as int)) < 6
+    and cast(date '{LISTED_AS_OF}' - 1 - cast(k as int) as varchar) not in ({listed(HOLIDAYS)})))""",
+        **base("kpi_raw"),
+    ),
     "latest_snapshot": chain(
         f"""select * from snapshots where date = (select max(date) from snapshots where date <= date '{SNAPSHOT_DAY}')""",
         **base("tower_coords", "snapshots"),

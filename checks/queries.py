@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.fixtures import derived, table
-from kpi_shift.functions import dates
+from kpi_shift.functions import columns, dates
 from kpi_shift.functions.stage import new_folder, stage
 from kpi_shift.operators import alerts, audit, clean, context, events, impact, panels, score, tickets
 from kpi_shift.plans.monitoring import Run, monitor_panel, score_range
@@ -25,6 +25,7 @@ AS_OF = "2024-01-31"
 RANGE = ("2024-01-18", "2024-01-28")
 SCAN_DAYS = ("2023-12-30", "2024-01-14")
 TICKET_DAY = "2024-01-20"
+LISTED_AS_OF = "2024-02-08"
 SNAPSHOT_DAY = "2024-01-16"
 WEEKDAY_TABLES = ("click", "view")
 # Days on which weekday tables are not expected.
@@ -193,7 +194,11 @@ def alert_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def low_score_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    messages = alerts.low_score_messages(table(spark, sf_dir, "events"), "value", 5)
+    report, bus = new_folder(spark, "scores"), new_folder(spark, "bus")
+    sinks.export_csv(table(spark, sf_dir, "events").select("event_id", "event_type", "value"), report)
+    scores = daily.read_csv(spark, report, inferSchema=True)
+    sinks.publish(alerts.low_score_messages(scores, "value", 5), "text", {"path": bus})
+    messages = spark.read.text(bus)
     return messages.select(
         F.get_json_object("value", "$.event_id").cast("long").alias("event_id"),
         F.get_json_object("value", "$.event_type").alias("event_type"),
@@ -221,7 +226,9 @@ def normalise_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def impacted_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return impact.impacted_users(normalise_failures(spark, sf_dir), _run(spark, sf_dir).scored, TOWER)
+    path = new_folder(spark, "users")
+    sinks.write_parquet(impact.impacted_users(normalise_failures(spark, sf_dir), _run(spark, sf_dir).scored, TOWER), path)
+    return spark.read.parquet(path)
 
 
 def _expected_tables(spark: SparkSession) -> DataFrame:
@@ -264,6 +271,51 @@ def dated_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily.read_daily_csv(spark, root + "/file_day={}", days, raw.columns, source_day="file_day")
 
 
+def _zipped_days(spark: SparkSession, sf_dir: str) -> str:
+    """Gzipped daily CSV files in dated folders."""
+    root = new_folder(spark, "zipped")
+    by_day = derived(spark, sf_dir, "kpi_raw").withColumn("file_day", F.to_date("day", "MM/dd/yyyy"))
+    by_day.write.partitionBy("file_day").options(header=True, compression="gzip").csv(root)
+    return root
+
+
+def gzip_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _zipped_days(spark, sf_dir)
+    return daily.read_csv(spark, f"{root}/file_day=2024-01-0*/*.csv.gz")
+
+
+def csv_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All files below a folder, their headers renamed."""
+    rows = daily.read_csv_tree(spark, _zipped_days(spark, sf_dir), "*.csv.gz")
+    return columns.rename_columns(rows, {"tower": "ENODEB", "kpi": "RTP"})
+
+
+def csv_path_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partitions of a range of days, added up per file day by a callback."""
+    root = new_folder(spark, "paths")
+    by_day = derived(spark, sf_dir, "kpi_raw").withColumn("file_day", F.to_date("day", "MM/dd/yyyy"))
+    by_day.write.partitionBy("file_day").option("header", True).csv(root)
+
+    def counted(day_rows: DataFrame) -> DataFrame:
+        return day_rows.groupBy("day", "market").agg(F.count("*").alias("n"), F.count_if(F.col("kpi") == "n/a").alias("unknown"))
+
+    days = dates.date_window(SCAN_DAYS[0], end=SCAN_DAYS[1])
+    return daily.read_daily_csv(spark, root + "/file_day={}", days, ["day", "market", "n", "unknown"], counted, distinct=False)
+
+
+def dated_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = new_folder(spark, "dated")
+    derived(spark, sf_dir, "snapshots").write.partitionBy("date").parquet(root)
+    return daily.dated_partitions(spark.read.parquet(root), "2024-01-01", SNAPSHOT_DAY)
+
+
+def listed_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audit of dated files: days of the window for which no file is there."""
+    loads = daily.list_dated_files(spark, _zipped_days(spark, sf_dir)).select(F.lit("raw files").alias("table_name"), "day")
+    expected = spark.createDataFrame([("raw files", 1, False), ("other files", 1, True)], audit.EXPECTED_TABLES)
+    return audit.missing_days(loads, expected, LISTED_AS_OF, HOLIDAYS)
+
+
 def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_folder(spark, "snapshots")
     derived(spark, sf_dir, "snapshots").write.partitionBy("date").parquet(root)
@@ -347,6 +399,11 @@ QUERIES = {
     "completeness_report": completeness_report,
     "score_range": score_range_query,
     "dated_scan": dated_scan,
+    "gzip_glob": gzip_glob,
+    "csv_tree": csv_tree,
+    "csv_path_list": csv_path_list,
+    "dated_partitions": dated_partitions,
+    "listed_days": listed_days,
     "latest_snapshot": latest_snapshot,
     "stream_parse": stream_parse,
     "stream_to_files": stream_to_files,
