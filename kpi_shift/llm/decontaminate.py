@@ -150,6 +150,8 @@ def _shard_matches(words: np.ndarray, doc_of: np.ndarray, doc_first: np.ndarray,
         own = words[near] * np.uint64(3) + words[np.minimum(near + 1, len(words) - 1)]
         at = np.minimum(np.searchsorted(pairs, own), len(pairs) - 1)
         near = near[pairs[at] == own]
+    if not len(near):
+        return found
     array = suffix_array(words, near, int(block.length.max()))
     query, low, high = _search(words, array, block)
     if not len(query):

@@ -210,13 +210,21 @@ def _split(rows: DataFrame, repeats: int) -> DataFrame:
             for b in range(repeats)
         ]
     )
-    made = rows.select("key", "places", F.col("bucket").alias("parent"), F.col("n").alias("parent_n"), F.explode(kids).alias("kid"))
-    return made.select("parent", "parent_n", "kid.bucket", F.lit(0).alias("side"), F.lit(False).alias("cross"), "kid.earlier", "key", "places")
+    made = rows.select("key", "places", F.explode(kids).alias("kid"))
+    return made.select("kid.bucket", F.lit(0).alias("side"), F.lit(False).alias("cross"), "kid.earlier", "key", "places")
+
+
+def _dense(rows: DataFrame) -> DataFrame:
+    """Large buckets whose members mostly agree: the share of pairs that agree in one more sampled place is high."""
+    place = F.pmod(F.xxhash64("bucket", F.lit(-1)), F.lit(PLACES)).cast("int")
+    same = rows.groupBy("bucket", F.element_at("places", place + 1).alias("token")).agg(F.count("*").alias("m"), F.first("n").alias("n"))
+    share = F.sum(F.col("m") * F.col("m")) / F.first(F.col("n") * F.col("n"))
+    return same.groupBy("bucket").agg(share.alias("share")).where(F.col("share") >= DENSE).select("bucket")
 
 
 def _blocks(rows: DataFrame, leaf: int) -> DataFrame:
-    """Members of a dense bucket in the buckets of all pairs of blocks of half a leaf."""
-    n_blocks = F.ceil(F.col("n") / (leaf // 2)).cast("int")
+    """Members of a dense bucket in the buckets of all pairs of blocks of the size of a leaf."""
+    n_blocks = F.ceil(F.col("n") / leaf).cast("int")
     own = F.pmod(F.xxhash64("key", F.lit(9)), F.col("n_blocks")).cast("int")
     out = rows.withColumn("n_blocks", n_blocks).withColumn("own", own)
     out = out.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
@@ -243,13 +251,10 @@ def leaves(classes: DataFrame, similarity: float = SIMILARITY, leaf: int = LEAF,
     for _ in range(DEPTH):
         if large.isEmpty():
             return done
-        kids = _counted(_split(large, repeats))
-        sizes = kids.select("parent", "parent_n", "bucket", "n").distinct()
-        # mean similarity of a bucket's members: the chance to meet in a sampled place
-        dense = sizes.groupBy("parent").agg((F.sum(F.col("n") * F.col("n")) / F.first(F.col("parent_n") * F.col("parent_n")) / repeats).alias("mean"))
-        dense = stage(dense.where(F.col("mean") >= DENSE).select("parent"), "dense")
-        done = done.unionByName(_blocks(large.join(dense, large.bucket == dense.parent, "left_semi"), leaf))
-        rows = stage(kids.join(dense, "parent", "left_anti").select(*columns, "n"), "buckets")
+        dense = stage(_dense(large), "dense")
+        done = done.unionByName(_blocks(large.join(dense, "bucket", "left_semi"), leaf))
+        kids = _counted(_split(large.join(dense, "bucket", "left_anti"), repeats))
+        rows = stage(kids.select(*columns, "n"), "buckets")
         done = done.unionByName(rows.where(F.col("n") <= leaf).select(*columns))
         large = rows.where(F.col("n") > leaf)
     return done.unionByName(_blocks(large, leaf))

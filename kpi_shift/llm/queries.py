@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kpi_shift.llm import decontaminate, fingerprints, html_text, jaccard, licenses, packing, pii, quality, substrings, toxicity
+from kpi_shift.llm.oracle import ORACLE
 from kpi_shift.session import configure
 
 #: In production a secret of the operator; here fixed, so that runs agree.
@@ -83,4 +84,4 @@ LLM_QUERIES = {
     "op10_pii_surrogates": op10_pii_surrogates,
 }
 
-LLM_ORACLE: dict[str, str] = {}
+LLM_ORACLE: dict[str, str] = dict(ORACLE)

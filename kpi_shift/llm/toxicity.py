@@ -263,7 +263,8 @@ def train(documents: DataFrame, labels: DataFrame, training: Column, label: str
 
     Only the sample's ids and labels are broadcast. Entries are chosen in rounds, each from the documents in which nothing
     is found yet, so that rare ones stand out too; only terms that pass the test of significance, at most ``ENTRIES`` a
-    round, come to the driver. With a single class there is no lexicon, and every score is its smoothed share.
+    round, come to the driver. With a single class, or no label, there is no lexicon: every score is
+    the share of toxic labels, drawn towards a tenth as by one more label.
     """
     spark = documents.sparkSession
     chosen = labelled_sample(labels, label, training, sample)
@@ -271,7 +272,7 @@ def train(documents: DataFrame, labels: DataFrame, training: Column, label: str
     sizes = dict(rows.groupBy("label").count().collect())
     n_clean, n_toxic = sizes.get(0, 0), sizes.get(1, 0)
     if not n_clean or not n_toxic:
-        return Model([], {}, 0.0, math.log((n_toxic + 1) / (n_clean + 1)))
+        return Model([], {}, 0.0, math.log((n_toxic + 0.1) / (n_clean + 0.9)))
     entries: list[Entry] = []
     for _ in range(ROUNDS):
         more = _next_entries(rows, entries)
@@ -300,7 +301,7 @@ def train(documents: DataFrame, labels: DataFrame, training: Column, label: str
         e.evidence[0] = _log_odds(toxic, clean, n[1], n[0])
         clean, toxic = by_find.get(f"{i}:1", (0, 0))
         # misspellings of an entry that labels say nothing about are judged as misspellings in general
-        e.evidence[1] = _log_odds(toxic, clean, n[1], n[0]) if clean + toxic >= 3 else min(e.evidence[0], max(general, 2.0 if not sum(fuzzy) else 0.0))
+        e.evidence[1] = _log_odds(toxic, clean, n[1], n[0]) if clean + toxic >= 3 else min(e.evidence[0], max(general, 0.0) if sum(fuzzy) else 0.8 * e.evidence[0])
     with_find = seen.where(F.size("found") > 0).groupBy("label").count().collect()
     finds_of = {0: 0, 1: 0} | dict(with_find)
     cues = dict(PRIOR)
