@@ -17,15 +17,19 @@ from kpi_shift.functions.columns import add_missing, rename_columns
 from kpi_shift.functions.dates import date_window
 from kpi_shift.functions.stage import stage
 from kpi_shift.operators.alerts import alert_documents
+from kpi_shift.operators.audit import combined_completeness, completeness_report
 from kpi_shift.operators.clean import clean_kpis
+from kpi_shift.operators.context import entity_report, sector_azimuth, tower_coords, tower_report
 from kpi_shift.operators.events import cohort, detect_events, event_list_check, event_rows, rows_around
+from kpi_shift.operators.impact import flatten_nested, impacted_users, normalise_failures
 from kpi_shift.operators.panels import baseline_stats, post_event_rows, pre_event_rows
 from kpi_shift.operators.score import score_post_event, zero_override
+from kpi_shift.operators.tickets import tickets_near_tower, work_orders_per_tower
 from kpi_shift.sources.daily import read_daily_csv
-from kpi_shift.sources.sinks import write_documents, write_partitions
+from kpi_shift.sources.sinks import read_partitions, write_documents, write_parquet, write_partitions
 from kpi_shift.spec import RAW_COLUMNS, Level, Monitor
 
-EVENTS, PRE_PANEL, BASELINE, SCORES = "events", "pre_panel", "baseline", "scores"
+PANEL, EVENTS, PRE_PANEL, BASELINE, SCORES, REPORT = "panel", "events", "pre_panel", "baseline", "scores", "report"
 
 
 def _shift(day: str, days: int) -> str:
@@ -36,6 +40,41 @@ def _between(df: DataFrame, column: str, start: str, end: str) -> DataFrame:
     return df.filter(f"{column} >= DATE'{start}' AND {column} < DATE'{end}'")
 
 
+def read_raw(
+    spark: SparkSession, pattern: str, level: Level, monitor: Monitor, days: list[str], names: Mapping[str, str] = RAW_COLUMNS
+) -> DataFrame:
+    """Clean KPI rows of the raw files of ``days``. A shared KPI that a file does not have yet counts as 0."""
+    wanted = {*level.ids, "day", *monitor.categorical, *monitor.panel_columns}
+    headers = [raw for raw, name in names.items() if name in wanted]
+    late = {raw: F.lit("0") for raw in headers if names[raw] in monitor.shared_columns}
+    # cleaning groups by whole rows, so the reader need not remove copies
+    raw = read_daily_csv(spark, pattern, days, headers, lambda df: add_missing(df, late), distinct=False)
+    return clean_kpis(rename_columns(raw.select(*[f"`{h}`" for h in headers]), names), level, monitor)
+
+
+def ingest_job(
+    spark: SparkSession,
+    pattern: str,
+    out: str,
+    level: Level,
+    monitor: Monitor,
+    start: str,
+    end: str,
+    names: Mapping[str, str] = RAW_COLUMNS,
+) -> DataFrame:
+    """Clean the files of the days from ``start`` until ``end`` once, into the panel table partitioned by day; return it.
+
+    The other jobs read the table and prune it by day. Rows without a day are of no use to them and stay out; a row of a
+    day outside the range fails the job, since it would replace a partition that was not asked for.
+    """
+    days = date_window(start, end=_shift(end, -1))
+    panel = read_raw(spark, pattern, level, monitor, days, names).filter("day IS NOT NULL")
+    astray = F.raise_error(F.concat(F.lit("row of another day: "), F.col("day").cast("string"))).cast("date")
+    checked = F.when(F.expr(f"day >= DATE'{start}' AND day < DATE'{end}'"), F.col("day")).otherwise(astray)
+    write_partitions(panel.withColumn("day", checked), f"{out}/{PANEL}", ["day"], ("day", start, end))
+    return read_partitions(spark, f"{out}/{PANEL}")
+
+
 def load_panel(
     spark: SparkSession,
     pattern: str,
@@ -50,13 +89,8 @@ def load_panel(
     ``names`` maps file headers to panel names. A shared KPI that a file does not have yet counts as 0. The panel is
     written to the shared folder, so the text is parsed and cleaned once, whatever is computed from it.
     """
-    wanted = {*level.ids, "day", *monitor.categorical, *monitor.panel_columns}
-    headers = [raw for raw, name in names.items() if name in wanted]
-    late = {raw: F.lit("0") for raw in headers if names[raw] in monitor.shared_columns}
     days = date_window(_shift(start, -monitor.baseline_days), end=_shift(end, -1))
-    # cleaning groups by whole rows, so the reader need not remove copies
-    raw = read_daily_csv(spark, pattern, days, headers, lambda df: add_missing(df, late), distinct=False)
-    panel = clean_kpis(rename_columns(raw.select(*[f"`{h}`" for h in headers]), names), level, monitor)
+    panel = read_raw(spark, pattern, level, monitor, days, names)
     return stage(panel, f"{level.name}_panel")
 
 
@@ -113,6 +147,53 @@ def post_event_job(
     write_partitions(report(scored, cohorts) if report else scored, f"{out}/{SCORES}", between=("day", start, end))
 
 
+def tower_report_job(
+    out: str,
+    inventory: DataFrame,
+    ticket_rows: DataFrame,
+    orders: DataFrame,
+    level: Level,
+    monitor: Monitor,
+    start: str,
+    end: str,
+    **options,
+) -> DataFrame:
+    """Write the report of the run days: scores with coordinates, near tickets and work orders; return it.
+
+    ``options`` go to the ticket search.
+    """
+    spark = inventory.sparkSession
+    scores = _between(read_partitions(spark, f"{out}/{SCORES}"), "day", start, end)
+    cohorts = _between(read_partitions(spark, f"{out}/{EVENTS}"), "event_date", _shift(start, -monitor.follow_days), end)
+    cohorts = stage(cohort(cohorts, level), "events")
+    coords = stage(tower_coords(inventory, level), "coords")
+    near = _between(tickets_near_tower(ticket_rows, cohorts, coords, level, monitor, **options), "day", start, end)
+    open_orders = _between(work_orders_per_tower(orders, cohorts, level, monitor), "day", start, end)
+    report = tower_report(scores, coords, near, open_orders, level)
+    write_partitions(report, f"{out}/{REPORT}", between=("day", start, end))
+    return _between(read_partitions(spark, f"{out}/{REPORT}"), "day", start, end)
+
+
+def entity_report_job(out: str, inventory: DataFrame, level: Level, start: str, end: str) -> DataFrame:
+    """Write the sector or carrier report of the run days: scores with azimuths; return it."""
+    spark = inventory.sparkSession
+    scores = _between(read_partitions(spark, f"{out}/{SCORES}"), "day", start, end)
+    write_partitions(entity_report(scores, sector_azimuth(inventory, level), level), f"{out}/{REPORT}", between=("day", start, end))
+    return _between(read_partitions(spark, f"{out}/{REPORT}"), "day", start, end)
+
+
+def impacted_users_job(failures: DataFrame, out: str, path: str, level: Level, run_day: str) -> None:
+    """Write the users whose failures of one run day belong to a tower's raised alerts; ``failures`` is nested and has ``day``."""
+    scores = read_partitions(failures.sparkSession, f"{out}/{SCORES}").filter(f"day = DATE'{run_day}'")
+    todays = normalise_failures(flatten_nested(failures.filter(f"day = DATE'{run_day}'")))
+    write_parquet(impacted_users(todays, scores, level), path)
+
+
+def audit_job(sides: dict[str, DataFrame], expected: DataFrame, path: str, as_of: str, holidays: list[str]) -> None:
+    """Write the completeness of the expected tables, one report for each side (loads of the store, dated files) by name."""
+    write_parquet(combined_completeness({side: completeness_report(loads, expected, as_of, holidays) for side, loads in sides.items()}), path)
+
+
 def alert_job(
     scores: DataFrame,
     path: str,

@@ -1,12 +1,16 @@
 """From raw files to alert documents, day by day and all at once."""
 
 import csv
+import re
 
+import pytest
 from pyspark.sql import functions as F
 
-from kpi_shift.operators import context
+from kpi_shift.operators import audit, context
+from kpi_shift.operators.impact import CAUSE_CODES
 from kpi_shift.plans import jobs
 from kpi_shift.plans.monitoring import monitor_panel
+from kpi_shift.sources import sinks
 from kpi_shift.spec import CATEGORICAL, RAW_COLUMNS, SECTOR, TOWER
 from tests.helpers import MONITOR, as_set, day
 
@@ -100,3 +104,47 @@ def test_sector_job_takes_tower_events(spark, tmp_path):
     assert as_set(baseline, "tower", "sector") == [("000002", "1"), ("000002", "2")]
     jobs.post_event_job(panel, events, baseline, out, SECTOR, MONITOR, start, end)
     assert spark.read.parquet(f"{out}/{jobs.SCORES}").count() == 4
+
+
+def test_whole_chain_from_files_to_documents_and_users(spark, tmp_path):
+    pattern, out = write_days(tmp_path), str(tmp_path / "chain")
+    inventory = spark.createDataFrame([("2", "30.0", "-97.0"), ("1", "30.5", "-97.5")], "tower string, latitude string, longitude string")
+    ticket = (1, "Open", day(19), day(19), "30.001", "-97.0", "type", "NRB")
+    tickets = spark.createDataFrame([ticket], "trouble_id long, status string, create_date date, modified_date date, lat string, lng string, problem_type string, assigned_group string")
+    order = (9, "OPEN", f"{day(18)} 06:30:00", None, "0000021234", "30", "-97", day(19))
+    orders = spark.createDataFrame([order], "noc_id long, status string, event_start string, event_end string, cell_id string, lat string, lng string, data_date date")
+    # the first days have no event yet: their tables are there, and empty
+    for n in (14, 16, 18, 19):
+        start, end = str(day(n)), str(day(n + 1))
+        first = day(0) if n == 14 else day(n - 1)
+        panel = jobs.ingest_job(spark, pattern, out, TOWER, MONITOR, str(first), end)
+        jobs.pre_event_job(panel, out, TOWER, MONITOR, start, end)
+        events, baseline = (sinks.read_partitions(spark, f"{out}/{t}") for t in (jobs.EVENTS, jobs.BASELINE))
+        assert n > 14 or events.count() == baseline.count() == 0
+        jobs.post_event_job(panel, events, baseline, out, TOWER, MONITOR, start, end)
+        report = jobs.tower_report_job(out, inventory, tickets, orders, TOWER, MONITOR, start, end)
+        assert n > 14 or report.count() == 0
+    assert re.search(r"PartitionFilters: \[[^]]*day", panel.filter(f"day = DATE'{day(3)}'")._jdf.queryExecution().toString())
+    docs = str(tmp_path / "documents")
+    jobs.alert_job(report, docs, TOWER, MONITOR, str(day(19)), "https://x/?t=", {"vendor": "new"})
+    (doc,) = spark.read.json(docs).collect()
+    assert (doc.enodeb, doc.nrb_ticket_counts, doc.w360_ticket_counts) == ("000002", 1, 1)
+    failures = spark.createDataFrame(
+        [(day(19), (f"{code}-x", "000002_1", "1" + "5" * 10, "tel:+1" + "6" * 10)) for code in CAUSE_CODES],
+        "day date, data struct<cause_code:string,enodeb:string,msisdn:string,from_uri:string>",
+    )
+    jobs.impacted_users_job(failures, out, str(tmp_path / "users"), TOWER, str(day(19)))
+    assert {r.tower for r in spark.read.parquet(str(tmp_path / "users")).collect()} == {"000002"}
+    loads = sinks.read_partitions(spark, f"{out}/{jobs.PANEL}").select(F.lit("panel").alias("table_name"), "day").distinct()
+    expected = spark.createDataFrame([("panel", 1, False)], audit.EXPECTED_TABLES)
+    jobs.audit_job({"store": loads}, expected, str(tmp_path / "audit"), str(day(20)), [])
+    (told,) = spark.read.parquet(str(tmp_path / "audit")).collect()
+    # day 7 has no file; the window of 20 days is that of days 0 to 19
+    assert (told.side, told.delayed_days, told.missing_days) == ("store", 0, [day(7)])
+
+
+def test_ingest_refuses_rows_of_other_days(spark, tmp_path):
+    pattern = write_days(tmp_path)
+    (tmp_path / f"kpi_{day(3)}.csv").write_text((tmp_path / f"kpi_{day(4)}.csv").read_text())
+    with pytest.raises(Exception, match="row of another day"):
+        jobs.ingest_job(spark, pattern, str(tmp_path / "out"), TOWER, MONITOR, str(day(3)), str(day(4)))
