@@ -50,11 +50,12 @@ PATTERNS = (
     ("phone", r"(?<![\p{L}\p{N}.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\p{N}-])"),
     ("phone", r"(?<![\p{L}\p{N}.-])\d{3}-\d{4}(?![\p{N}-])"),
     ("account", r"(?<![\p{L}\p{N}.-])\d(?:[ -]?\d){12,18}(?![\p{L}\p{N}])"),
-    ("name", rf"(?<!\p{{L}})(?:{_ALL_TITLES})\.? {_NAME}(?: {_NAME})?|(?<!\p{{L}})(?:{_GIVEN}) {_NAME}"),
+    ("name", rf"(?<!\p{{L}})(?=\p{{Lu}})(?:(?:{_ALL_TITLES})\.? {_NAME}(?: {_NAME})?|(?:{_GIVEN}) {_NAME})"),
 )
-PATTERN = "|".join(f"(?:{p})" for _, p in PATTERNS)
+#: Nothing begins inside a word: most places fail at the first test.
+PATTERN = r"(?<![\p{L}\p{N}])(?:" + "|".join(f"(?:{p})" for _, p in PATTERNS) + ")"
 #: Cheap test that every entity passes.
-SIGNS = rf"[0-9@=:]|(?:{_ALL_TITLES}|{_GIVEN})\.? \p{{Lu}}"
+SIGNS = rf"[0-9@]|(?<!\p{{L}})(?=\p{{Lu}})(?:{_ALL_TITLES}|{_GIVEN})\.? \p{{Lu}}|{_LABELS}\s{{0,3}}[=:]"
 
 
 def _digits(value: Column) -> Column:
