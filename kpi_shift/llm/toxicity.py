@@ -182,20 +182,30 @@ def evidence(text: str | None, finder: _Finder, cues: dict[str, float]) -> float
     return sum(best.values())
 
 
-def _term_counts(known):
-    """Documents of each class by term, of documents without a find so far; "word*" is a beginning of words."""
+def _terms(words: set[str]) -> set[str]:
+    """Words, and beginnings of words, marked by a star."""
+    return words | {w[:n] + "*" for w in words for n in range(STEM, min(len(w), LONGEST) + 1)}
+
+
+def _term_counts(known, wanted=None):
+    """Documents without a find so far, by term: those of toxic ones, or of all where a term is ``wanted``.
+
+    The term "" counts the documents themselves.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: tuple[Counter, Counter] = (Counter(), Counter())
-        finder = _Finder(known.value)
+        finder, chosen = _Finder(known.value), None if wanted is None else wanted.value
         for batch in batches:
             for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 words = {w for w in WORD.findall((text or "").lower()) if len(w) > 2}
                 if any(found is not None and not found[1] for found in map(finder.__getitem__, words)):
                     continue
-                counts[label].update(words)
-                counts[label].update({w[:n] + "*" for w in words for n in range(STEM, min(len(w), LONGEST) + 1)})
                 counts[label][""] += 1
+                if chosen is not None:
+                    counts[label].update(_terms(words) & chosen)
+                elif label:
+                    counts[label].update(_terms(words))
         terms = sorted(counts[0].keys() | counts[1].keys())
         for i in range(0, len(terms), 10_000):
             part = terms[i : i + 10_000]
@@ -239,18 +249,34 @@ def _labelled_evidence(chosen):
 
 
 def _next_entries(rows: DataFrame, known: list[Entry]) -> list[Entry]:
-    """Entries that stand out in the documents in which nothing was found so far."""
-    counts = rows.mapInArrow(_term_counts(rows.sparkSession.sparkContext.broadcast(known)), "term string, clean bigint, toxic bigint")
-    terms = stage(counts.groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")), "terms")
+    """Entries that stand out in the documents in which nothing was found so far.
+
+    Only terms of so many toxic documents that they could stand out are counted in the clean ones too; the sample bounds
+    their number.
+    """
+    context = rows.sparkSession.sparkContext
+    entries = context.broadcast(known)
+
+    def counted(wanted=None) -> DataFrame:
+        counts = rows.mapInArrow(_term_counts(entries, wanted), "term string, clean bigint, toxic bigint")
+        return counts.groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+
+    terms = stage(counted(), "terms")
     total = terms.where("term = ''").first()
     if total is None or not total.clean or not total.toxic:
         return known
     share = total.toxic / (total.clean + total.toxic)
-    rate = (F.col("toxic") + 0.5) / (F.col("clean") + F.col("toxic") + 1)
-    gain = F.col("toxic") * F.log(rate / share) + F.col("clean") * F.log((1 - rate) / (1 - share))
     # a term must stand out from all those that do so by chance, and there are about a few dozen per document
     least = 4.0 + math.log(total.clean + total.toxic)
-    strong = terms.where((F.col("term") != "") & (F.col("toxic") >= PURE * (F.col("toxic") + F.col("clean"))) & (gain > least))
+    enough = terms.where((F.col("term") != "") & (F.col("toxic") * -math.log(share) > least)).select("term")
+    wanted = frozenset(r.term for r in enough.collect())
+    if not wanted:
+        return known
+    rate = (F.col("toxic") + 0.5) / (F.col("clean") + F.col("toxic") + 1)
+    gain = F.col("toxic") * F.log(rate / share) + F.col("clean") * F.log((1 - rate) / (1 - share))
+    strong = counted(context.broadcast(wanted)).where(
+        (F.col("term") != "") & (F.col("toxic") >= PURE * (F.col("toxic") + F.col("clean"))) & (gain > least)
+    )
     return choose_entries([tuple(r) for r in strong.orderBy(F.desc("toxic"), "clean", "term").limit(ENTRIES).collect()], known)
 
 
