@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kpi_shift.functions.lookup import lookup_join
 from kpi_shift.functions.stage import stage
 from kpi_shift.llm.buckets import by_bucket, each_bucket
 from kpi_shift.llm.text import SPACED, hashed_words, mix, rolling, texts_of
@@ -58,6 +59,11 @@ def _whole(words: np.ndarray) -> bytes:
     return np.array([mix(words ^ place).sum(dtype=_U), mix(words + place).sum(dtype=_U) ^ _U(len(words))], "<u8").tobytes()
 
 
+def _tag(key: bytes) -> int:
+    """64 bits of a key: they tell the texts of one id apart, and texts that are no copies."""
+    return int.from_bytes(key[:8], "little", signed=True)
+
+
 def _documents(column: pa.Array) -> Iterator[tuple[int, np.ndarray, bytes, np.ndarray, np.ndarray]]:
     """Row, hashed words, text, and where its words start and end in it."""
     for first, end, data, offsets in texts_of(column):
@@ -72,25 +78,26 @@ def _documents(column: pa.Array) -> Iterator[tuple[int, np.ndarray, bytes, np.nd
 def _describe(window: int, run: int):
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[], [], [], [], []]
+            out: list[list] = [[], [], [], [], [], []]
             for _, words, text, _, _ in _documents(batch.column(1)):
                 at = anchors(words, window, run)
                 hashes = rolling(words, run)[at].view(np.int64) if len(at) else np.zeros(0, np.int64)
                 kept = hashlib.sha256(b" ".join(text.split())).hexdigest()
-                for column, v in zip(out, (_whole(words), len(words), kept, hashes, at.astype(np.int32)), strict=True):
+                key = _whole(words)
+                for column, v in zip(out, (key, _tag(key), len(words), kept, hashes, at.astype(np.int32)), strict=True):
                     column.append(v)
-            types = (pa.binary(), pa.int64(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int32()))
+            types = (pa.binary(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int32()))
             arrays = [batch.column(0), *(pa.array(c, t) for c, t in zip(out, types, strict=True))]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "key", "n_words", "kept_sha256", "anchors", "places"])
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "key", "tag", "n_words", "kept_sha256", "anchors", "places"])
 
     return describe
 
 
 def _same_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows whose text is the one that their key names; ids may repeat."""
+    """Rows whose text is the one that their tag names; ids may repeat."""
     for batch in batches:
-        keys = batch.column(batch.schema.get_field_index("key")).to_pylist()
-        same = [_whole(words) == keys[row] for row, words, _, _, _ in _documents(batch.column(batch.schema.get_field_index("text")))]
+        tags = batch.column(batch.schema.get_field_index("tag")).to_pylist()
+        same = [_tag(_whole(words)) == tags[row] for row, words, _, _, _ in _documents(batch.column(batch.schema.get_field_index("text")))]
         yield batch.filter(pa.array(same, pa.bool_()))
 
 
@@ -104,11 +111,11 @@ def _starts(places: np.ndarray, n_words: int, window: int, run: int) -> np.ndarr
 
 
 def _windows(window: int, run: int):
-    """(hash, doc_id, key, start) of each window around a repeated anchor."""
+    """(hash, doc_id, tag, start) of each window around a repeated anchor."""
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, keys = batch.column(0), batch.column(1)
+            ids, tags = batch.column(0), batch.column(1)
             places = batch.column(3).to_pylist()
             rows, starts, hashes = [], [], []
             for row, words, _, _, _ in _documents(batch.column(2)):
@@ -119,8 +126,8 @@ def _windows(window: int, run: int):
             if not rows:
                 continue
             row = pa.array(np.concatenate(rows), pa.int64())
-            columns = [pa.array(np.concatenate(hashes).view(np.int64)), ids.take(row), keys.take(row), pa.array(np.concatenate(starts).astype(np.int32))]
-            whole = pa.RecordBatch.from_arrays(columns, ["window", "doc_id", "key", "start"])
+            columns = [pa.array(np.concatenate(hashes).view(np.int64)), ids.take(row), tags.take(row), pa.array(np.concatenate(starts).astype(np.int32))]
+            whole = pa.RecordBatch.from_arrays(columns, ["window", "doc_id", "tag", "start"])
             for first in range(0, whole.num_rows, 50_000):
                 yield whole.slice(first, 50_000)
 
@@ -128,13 +135,13 @@ def _windows(window: int, run: int):
 
 
 def _passages(window: int, shards: int):
-    """Runs of windows with their words: a reference where the document is the first to hold them, else to be streamed."""
+    """Runs of windows with their text: a reference where the document is the first to hold them, else to be streamed."""
 
     def passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, keys, found = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3).to_pylist()
+            ids, tags, found = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3).to_pylist()
             out: list[list] = [[], [], [], [], [], []]
-            for row, words, _, _, _ in _documents(batch.column(2)):
+            for row, _, text, starts, ends in _documents(batch.column(2)):
                 pairs = sorted({(f["start"], f["first"]) for f in found[row]})
                 start, first = (np.array([p[i] for p in pairs], np.int64) for i in (0, 1))
                 shard = (mix(first.view(_U)) % _U(shards)).astype(np.int64)
@@ -142,11 +149,11 @@ def _passages(window: int, shards: int):
                 cut = (start[1:] != start[:-1] + 1) | (shard[1:] != shard[:-1]) | (own[1:] != own[:-1])
                 begins = np.flatnonzero(np.concatenate(([True], cut)))
                 for b, e in zip(begins.tolist(), [*(begins[1:] - 1).tolist(), len(start) - 1], strict=True):
-                    part = words[start[b] : start[e] + window]
-                    for column, v in zip(out, (int(shard[b]), not own[b], ids[row], keys[row], int(start[b]), part.astype("<u8").tobytes()), strict=True):
+                    part = text[starts[start[b]] : ends[start[e] + window - 1]]
+                    for column, v in zip(out, (int(shard[b]), not own[b], ids[row], tags[row], int(start[b]), part), strict=True):
                         column.append(v)
-            types = (pa.int64(), pa.bool_(), batch.column(0).type, pa.binary(), pa.int64(), pa.binary())
-            names = ["shard", "streamed", "doc_id", "key", "start", "words"]
+            types = (pa.int64(), pa.bool_(), batch.column(0).type, pa.int64(), pa.int64(), pa.binary())
+            names = ["shard", "streamed", "doc_id", "tag", "start", "words"]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names)
 
     return passages
@@ -220,15 +227,15 @@ class SuffixAutomaton:
 def _stream(window: int):
     def stream(rows: pa.Table) -> pa.Table | None:
         automaton = SuffixAutomaton()
-        ids, keys, starts = (rows.column(c).to_pylist() for c in ("doc_id", "key", "start"))
-        words = [np.frombuffer(b, "<u8").tolist() for b in rows.column("words").to_pylist()]
+        ids, tags, starts = (rows.column(c).to_pylist() for c in ("doc_id", "tag", "start"))
+        words = [w.tolist() for _, w, _, _, _ in _documents(rows.column("words"))]
         streamed = rows.column("streamed").to_pylist()
         for doc, own, later in zip(ids, words, streamed, strict=True):
             if not later:
                 automaton.add(own, doc)
         automaton.finish()
         out: list[list] = [[], [], [], []]
-        for doc, key, start, own, later in zip(ids, keys, starts, words, streamed, strict=True):
+        for doc, tag, start, own, later in zip(ids, tags, starts, words, streamed, strict=True):
             if not later:
                 continue
             begin = end = -1
@@ -237,13 +244,13 @@ def _stream(window: int):
                     continue
                 if at > end:  # no word in common with the span so far
                     if end >= 0:
-                        out[0].append(doc), out[1].append(key), out[2].append(start + begin), out[3].append(start + end)
+                        out[0].append(doc), out[1].append(tag), out[2].append(start + begin), out[3].append(start + end)
                     begin = at
                 end = at + window
             if end >= 0:
-                out[0].append(doc), out[1].append(key), out[2].append(start + begin), out[3].append(start + end)
-        types = (rows.column("doc_id").type, pa.binary(), pa.int64(), pa.int64())
-        return pa.table([pa.array(c, t) for c, t in zip(out, types, strict=True)], ["doc_id", "key", "start", "end"])
+                out[0].append(doc), out[1].append(tag), out[2].append(start + begin), out[3].append(start + end)
+        types = (rows.column("doc_id").type, pa.int64(), pa.int64(), pa.int64())
+        return pa.table([pa.array(c, t) for c, t in zip(out, types, strict=True)], ["doc_id", "tag", "start", "end"])
 
     return stream
 
@@ -271,35 +278,38 @@ def _parts(documents: DataFrame, window: int, run: int) -> tuple[DataFrame, Data
     kind = documents.schema["doc_id"].dataType.simpleString()
     rows = documents.select("doc_id", F.col("text"))
     described = rows.mapInArrow(
-        _describe(window, run), f"doc_id {kind}, key binary, n_words bigint, kept_sha256 string, anchors array<bigint>, places array<int>"
+        _describe(window, run), f"doc_id {kind}, key binary, tag bigint, n_words bigint, kept_sha256 string, anchors array<bigint>, places array<int>"
     )
     described = stage(described, "anchors")
     first = described.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("key", "first")
-    copies = stage(described.where(F.col("n_words") >= window).select("doc_id", "key").join(first, "key").where("doc_id > first").select("doc_id", "key").distinct(), "copies")
-    originals = described.where(F.col("doc_id").isNotNull() & (F.size("anchors") > 0)).join(copies, ["doc_id", "key"], "left_anti")
-    at = originals.select("doc_id", "key", F.explode(F.arrays_zip("anchors", "places")).alias("at")).select("doc_id", "key", "at.anchors", "at.places")
+    long = described.where(F.col("n_words") >= window).select("doc_id", "key", "tag")
+    copies = stage(lookup_join(long, first, ["key"], summarised=True).where("doc_id > first").select("doc_id", "tag").distinct(), "copies")
+    originals = described.where(F.col("doc_id").isNotNull() & (F.size("anchors") > 0)).join(copies, ["doc_id", "tag"], "left_anti")
+    # without the copies, a tag is one text of one document
+    at = originals.select("doc_id", "tag", F.explode(F.arrays_zip("anchors", "places")).alias("at")).select("doc_id", "tag", "at.anchors", "at.places")
     repeated = at.groupBy("anchors").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("anchors")
-    near = at.join(repeated, "anchors").groupBy("doc_id", "key").agg(F.collect_set("places").alias("places"))
-    texts = rows.join(near, "doc_id").select("doc_id", "key", "text", "places")
+    near = lookup_join(at, repeated, ["anchors"], summarised=True).groupBy("tag").agg(F.min("doc_id").alias("doc_id"), F.collect_set("places").alias("places"))
+    texts = rows.join(near, "doc_id").select("doc_id", "tag", "text", "places")
     texts = stage(texts.mapInArrow(_same_text, texts.schema), "candidates")
-    windows = texts.mapInArrow(_windows(window, run), f"window bigint, doc_id {kind}, key binary, start int")
+    windows = texts.mapInArrow(_windows(window, run), f"window bigint, doc_id {kind}, tag bigint, start int")
     firsts = windows.groupBy("window").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("window", "first")
     firsts = stage(firsts, "windows")
     shards = max(1, -(-firsts.count() // SHARD_WINDOWS))
-    found = windows.join(firsts, "window").groupBy("doc_id", "key").agg(F.collect_list(F.struct("start", "first")).alias("found"))
-    joined = texts.select("doc_id", "key", "text").join(found, ["doc_id", "key"]).dropDuplicates(["doc_id", "key"])
+    found = windows.select("window", "tag", "start").join(firsts, "window").groupBy("tag").agg(F.collect_list(F.struct("start", "first")).alias("found"))
+    joined = texts.select("doc_id", "tag", "text").dropDuplicates(["doc_id", "tag"]).join(found, "tag").select("doc_id", "tag", "text", "found")
     passages = joined.mapInArrow(
-        _passages(window, shards), f"shard bigint, streamed boolean, doc_id {kind}, key binary, start bigint, words binary"
+        _passages(window, shards), f"shard bigint, streamed boolean, doc_id {kind}, tag bigint, start bigint, words binary"
     )
     passages = stage(passages, "passages")
-    words = F.sum(F.octet_length("words") / 8)
-    loads = passages.where("streamed").groupBy("shard").agg(F.ceil(words / STREAM_WORDS).cast("int").alias("tasks"))
+    # a word has some six bytes and a blank
+    size = F.sum(F.octet_length("words") / 7)
+    loads = passages.where("streamed").groupBy("shard").agg(F.ceil(size / STREAM_WORDS).cast("int").alias("tasks"))
     loads = stage(loads, "loads")
     dealt = passages.join(loads, "shard")
     task = F.when(F.col("streamed"), F.array(F.pmod(F.xxhash64("doc_id", "start"), F.col("tasks")).cast("int"))).otherwise(F.sequence(F.lit(0), F.col("tasks") - 1))
-    dealt = dealt.withColumn("task", F.explode(task)).select(F.xxhash64("shard", "task").alias("bucket"), "streamed", "doc_id", "key", "start", "words")
-    spans = by_bucket(dealt).mapInArrow(each_bucket(_stream(window)), f"doc_id {kind}, key binary, start bigint, end bigint")
-    spans = spans.groupBy("doc_id", "key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    dealt = dealt.withColumn("task", F.explode(task)).select(F.xxhash64("shard", "task").alias("bucket"), "streamed", "doc_id", "tag", "start", "words")
+    spans = by_bucket(dealt).mapInArrow(each_bucket(_stream(window)), f"doc_id {kind}, tag bigint, start bigint, end bigint")
+    spans = spans.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     return described, copies, texts, stage(spans, "spans")
 
 
@@ -311,8 +321,8 @@ def repeats_removed(documents: DataFrame, window: int = WINDOW, run: int = RUN)
     each other, and equal rows get equal results. An empty table gives an empty result; further columns are not read.
     """
     described, copies, texts, spans = _parts(documents, window, run)
-    small = described.select("doc_id", "key", "n_words", "kept_sha256")
-    pairs = ["doc_id", "key"]
+    small = described.select("doc_id", "tag", "n_words", "kept_sha256")
+    pairs = ["doc_id", "tag"]
     nothing = hashlib.sha256(b"").hexdigest()
     gone = small.join(copies, pairs).select("doc_id", "n_words", F.col("n_words").alias("n_removed"), F.lit(nothing).alias("kept_sha256"))
     changed = texts.join(spans, pairs).select("doc_id", "text", "spans").mapInArrow(_keep, _kept_schema(documents))
@@ -329,5 +339,5 @@ def _kept_schema(documents: DataFrame) -> str:
 def shortened_texts(documents: DataFrame, window: int = WINDOW, run: int = RUN) -> DataFrame:
     """``doc_id`` and the text that is left of every document that loses words."""
     _, copies, texts, spans = _parts(documents, window, run)
-    changed = texts.join(spans, ["doc_id", "key"]).select("doc_id", "text", "spans").mapInArrow(_keep, _kept_schema(documents))
+    changed = texts.join(spans, ["doc_id", "tag"]).select("doc_id", "text", "spans").mapInArrow(_keep, _kept_schema(documents))
     return changed.select("doc_id", "text").unionByName(copies.select("doc_id", F.lit("").alias("text")))
