@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kpi_shift.functions.lookup import lookup_join
 from kpi_shift.functions.stage import stage
 from kpi_shift.llm.buckets import by_bucket, each_bucket
 from kpi_shift.llm.text import SPACED, hashed_words, mix, packed, rolling, texts_of, unpacked
@@ -195,7 +196,7 @@ def _with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _counted(rows: DataFrame) -> DataFrame:
     """Memberships of buckets with at least two members, with the number ``n``."""
     sizes = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    return rows.join(sizes, "bucket")
+    return lookup_join(rows, sizes, ["bucket"], summarised=True)
 
 
 def _split(rows: DataFrame, repeats: int) -> DataFrame:
