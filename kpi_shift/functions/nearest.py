@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from kpi_shift.functions.geo import EARTH_RADIUS_MILES, haversine_miles
 from kpi_shift.functions.lookup import lookup_join
 
-# Positions are points in space, seen from the earth's centre. Cells are cubes as wide as the radius searched; each is
-# divided three times in ten by ten by ten blocks. So the poles and the 180th meridian are places like any other.
+# Positions are points in space, seen from the earth's centre. Cells are cubes some times as wide as the radius, so that a search
+# sphere mostly lies in one or two; each is divided three times in ten by ten by ten blocks. The poles and the 180th meridian
+# are places like any other.
+CELL_RADII = 8
 AXES = ("x", "y", "z")
 PARTS = 10
 DIVISIONS = 3
@@ -71,12 +73,12 @@ def nearest_within(
     tie, which the smaller id wins. Points with no target within reach have no row. Any place on earth will do.
 
     The work per point hardly grows with the number of targets around it. Targets are summed up in blocks within
-    blocks. A point meets the large blocks of the cells around its own; of these, and then of the smaller ones in them,
+    blocks. A point meets the large blocks of the cells its search sphere touches; of these, and then of the smaller ones in them,
     only those are opened that can hold something nearer than the nearest target known from the summaries. Copies of a
     position count once on both sides.
     """
     by, chord = list(by), _chord(miles)
-    finest = chord / PARTS**DIVISIONS
+    finest = CELL_RADII * chord / PARTS**DIVISIONS
     spots = points.select(*by, "lat", "lng").filter("lat IS NOT NULL AND lng IS NOT NULL").distinct()
     sites = (
         targets.filter("latitude IS NOT NULL AND longitude IS NOT NULL")
@@ -87,8 +89,8 @@ def nearest_within(
     around = [*by, *[f"around_{a}" for a in AXES]]
     open_blocks = _in_space(spots, "lat", "lng")
     for a in AXES:
-        cell = f"floor({a} / {finest * PARTS**DIVISIONS}D)"
-        open_blocks = open_blocks.selectExpr("*", f"explode(sequence({cell} - 1, {cell} + 1)) AS around_{a}")
+        low, high = (f"floor(({a} {sign} {chord + SLACK}D) / {CELL_RADII * chord}D)" for sign in "-+")
+        open_blocks = open_blocks.selectExpr("*", f"explode(sequence({low}, {high})) AS around_{a}")
     for division in range(1, DIVISIONS + 1):
         blocks = _blocks(sites, by, PARTS ** (DIVISIONS - division))
         open_blocks = _opened(lookup_join(open_blocks, blocks, around), by, chord)

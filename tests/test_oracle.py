@@ -16,7 +16,8 @@ def test_agrees(spark, name):
 
 
 def test_contract():
-    assert set(__spark_entry__.queries()) == set(__spark_entry__.oracle_sql()) == set(QUERIES)
+    # the training-data operators may be absent, and not all of them can be said in SQL
+    assert set(QUERIES) <= set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
 
 
 def test_flagship(spark):
