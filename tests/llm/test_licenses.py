@@ -44,3 +44,58 @@ def test_rules(spark):
 @pytest.mark.parametrize("text", [t for t, found in CASES.items() if found])
 def test_hints_cover_the_known_sentences(text):
     assert any(h in text.lower() for h in licenses.HINTS)
+
+
+CC = "Released under CC {}."
+EXAMPLES = {
+    "apache2": ["Licensed under the Apache License, Version 2.0.", "Apache License, Version 2.0, January 2004."],
+    "apacheUse": ["You may not use this file except in compliance with the License."],
+    "apacheCopy": ["You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"],
+    "apacheAsIs": ['Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS.'],
+    "mitGrant": ["Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files."],
+    "mitNotice": ["The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."],
+    "softwareAsIs": ['The software is provided "as is", without warranty of any kind.'],
+    "noLiability": ["In no event shall the authors be liable."],
+    "mitName": ["Available under the MIT License."],
+    "bsdGrant": ["Redistribution and use in source and binary forms, with or without modification, are permitted."],
+    "bsdSource": ["Redistributions of source code must retain the above copyright notice."],
+    "bsdBinary": ["Redistributions in binary form must reproduce the above copyright notice."],
+    "bsdAdvert": ["All advertising materials mentioning features or use of this software must say so."],
+    "bsdName": ["Neither the name of X nor others may be used to endorse or promote products."],
+    "bsdAsIs": ['This software is provided by the authors "as is" and any express or implied warranties are disclaimed.'],
+    "bsd3Name": ["Released under the 3-Clause BSD License."],
+    "bsd2Name": ["Released under the 2-Clause BSD License."],
+    "iscGrant": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted."],
+    "gpl3Plus": ["Under the GNU General Public License, version 3 or any later version."],
+    "gpl2Plus": ["Under the GNU General Public License, version 2 or any later version."],
+    "agpl3": ["Under the GNU Affero General Public License, version 3."],
+    "lgpl3": ["Under the GNU Lesser General Public License, version 3."],
+    "lgpl21": ["Under the GNU Lesser General Public License, version 2.1."],
+    "gpl3": ["Under the GNU General Public License, version 3."],
+    "gpl2": ["Under the GNU General Public License, version 2."],
+    "gplNoWarranty": ["This program is distributed in the hope that it will be useful, but without any warranty."],
+    "gplDetails": ["See the GNU General Public License for more details."],
+    "mpl2": ["This Source Code Form is subject to the terms of the Mozilla Public License, v2.0."],
+    "epl2": ["Under the terms of the Eclipse Public License v2.0."],
+    "unlicense": ["This is free and unencumbered software released into the public domain."],
+    "cc0": ["This work is dedicated under Creative Commons Zero."],
+    "ccByNcSa": [CC.format("BY-NC-SA 4.0")],
+    "ccByNcNd": [CC.format("BY-NC-ND 4.0")],
+    "ccByNc": [CC.format("BY-NC 4.0")],
+    "ccBySa": [CC.format("BY-SA 4.0"), "Texts are available under Creative Commons Attribution-ShareAlike 3.0."],
+    "ccByNd": [CC.format("BY-ND 4.0")],
+    "ccBy": [CC.format("BY 4.0")],
+    "allRights": ["All rights reserved.", "Copyright 2020 X. All Rights Reserved", "ALL\n\tRIGHTS RESERVED!"],
+    "spdx": ["SPDX-License-Identifier: MIT"],
+}
+
+
+def test_every_known_sentence_is_found(spark):
+    assert list(EXAMPLES) == list(dict.fromkeys(name for name, _ in licenses.SENTENCES))
+    pairs = [(name, text) for name, texts in EXAMPLES.items() for text in texts]
+    docs = documents(spark, [f"Some words before it.\n\n{text}\n\nSome words behind it." for _, text in pairs])
+    rows = {r.doc_id: r for r in licenses.scan_licenses(docs).collect()}
+    for i, (name, text) in enumerate(pairs):
+        assert [s.strip("<>").split(" ")[0] for s in rows[i].sentence_ids] == [name], text
+    told = {text: rows[i].licenses for i, (_, text) in enumerate(pairs)}
+    assert told["All rights reserved."] == ["proprietary"] and told[CC.format("BY-SA 4.0")] == ["CC-BY-SA-4.0"]
