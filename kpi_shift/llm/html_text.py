@@ -208,7 +208,13 @@ def main_text(source: str | None) -> str:
     outer = [i for i in articles if not any(a in articles for a in _path(page, page.parent[i]))]
     mains = [i for i, t in enumerate(page.tag) if t == "main" and size[i] and not gone[i]]
     bodies = [i for i, t in enumerate(page.tag) if t == "body"]
-    root = outer[0] if len(outer) == 1 else mains[0] if len(mains) == 1 else bodies[0] if bodies else 0
+    body = bodies[0] if bodies else 0
+    # a mark is evidence only: it must hold most of the text or the node of greatest sum
+    _, sums = densities(page, gone, body)
+    best = max((i for i in range(body + 1, len(page.tag)) if size[i] and not gone[i]), key=lambda i: (sums[i], -i), default=body)
+    marks = [m[0] for m in (outer, mains) if len(m) == 1]
+    marked = next((m for m in marks if 2 * size[m] > size[0] or m in _path(page, best)), None)
+    root = body if marked is None else marked
     density, sums = densities(page, gone, root)
     below = [False] * len(page.tag)
     below[root] = True
@@ -225,7 +231,7 @@ def main_text(source: str | None) -> str:
     for i in range(root, len(page.tag)):
         if below[i] and (i == root or density[i] >= threshold > 0):
             chosen[top[i] if sums[top[i]] > 0 else i] = True
-    if len(outer) == 1 or len(mains) == 1:  # the page says itself where its article is; nothing in it is dropped
+    if marked is not None:  # the page says itself where its article is, and its text agrees; nothing in it is dropped
         chosen[root] = True
     for i in range(root + 1, len(page.tag)):
         chosen[i] |= chosen[page.parent[i]]

@@ -28,6 +28,15 @@ def test_awkward_pages():
     assert main_text("<article><p>" + "word " * 50_000 + "</p></article>") == ("word " * 50_000).strip()
 
 
+def test_an_article_that_is_a_teaser_is_not_the_page():
+    teaser = "<div><article><h3>Other</h3><p>A teaser.</p></article></div>"
+    text = "\n".join([(LONG * 3).strip(), (LONG * 2).strip()])
+    paragraphs = f"<p>{LONG * 3}</p><p>{LONG * 2}</p>"
+    assert main_text(f"<body><main>{paragraphs}</main>{teaser}</body>") == text
+    assert main_text(f"<body><div>{paragraphs}</div>{teaser}</body>").startswith(text)
+    assert main_text(f"<body><div>{teaser}</div><article>{paragraphs}</article></body>").startswith(text)
+
+
 def test_rows(spark):
     rows = [(1, "u", "<p>x y</p>"), (1, "u", "<p>x y</p>"), (2, None, None), (None, "v", "")]
     pages = clashing(spark.createDataFrame(rows, "page_id bigint, url string, html string"))
