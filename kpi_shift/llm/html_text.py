@@ -37,6 +37,13 @@ CUT_NAMES = frozenset(
     "consent gdpr popup modal newsletter subscribe subscription signup login share sharing social related recommended recommendations "
     "widget toolbar pagination pager skip disclaimer alert".split()
 )
+#: Names that content has too: they cut only where links confirm it.
+WEAK_NAMES = frozenset(
+    "discussion menu related recommended recommendations notice notices alert disclaimer aside social share sharing promotion "
+    "navigation skip foot banner widget".split()
+)
+COMMENT_NAMES = frozenset("comment comments disqus replies".split())
+LINKED = 1 / 3  # share of a node's characters in links that confirms a weak name
 OUTER_NAMES = frozenset("header head topbar".split())
 KEPT_TAGS = frozenset("html body main article h1".split())
 CLOSED_BY = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
@@ -53,25 +60,31 @@ class Page:
 
     def __init__(self) -> None:
         self.tag, self.parent, self.cut, self.named = ["html"], [-1], [False], [False]
+        self.weak, self.comments = [False], [False]
         self.text: list[tuple[int, int, str]] = []  # block, node, text
         self.block_node: list[int] = [0]
 
     def add(self, tag: str, parent: int, attributes: str) -> int:
         self.tag.append(tag)
         self.parent.append(parent)
-        cut, named = tag in CUT_TAGS, False
+        cut, named, weak, comments = tag in CUT_TAGS, False, False, False
         if attributes and attributes.strip(" /"):
             found = {k.lower(): v.strip("\"'") for k, v in ATTRIBUTE.findall(attributes)}
             names = {n.lower() for n in NAME.findall(f"{found.get('class', '')} {found.get('id', '')}")}
             cut |= found.get("role", "").lower() in CUT_ROLES or "hidden" in found or found.get("aria-hidden") == "true"
             cut |= bool(HIDDEN.search(found.get("style", "")))
             named = bool(names & CUT_NAMES) and tag not in KEPT_TAGS
+            weak = named and not names & (CUT_NAMES - WEAK_NAMES)
+            comments = bool(names & COMMENT_NAMES)
             self.outer = bool(names & OUTER_NAMES) and tag not in KEPT_TAGS
-            named |= self.outer and not self.inside_article(parent)
-        if tag == "header":
-            named |= not self.inside_article(parent)
+            if self.outer and not self.inside_article(parent):
+                named, weak = True, False
+        if tag == "header" and not self.inside_article(parent):
+            named, weak = True, False
         self.cut.append(cut and tag not in ("html", "body"))
         self.named.append(named)
+        self.weak.append(weak)
+        self.comments.append(comments)
         return len(self.tag) - 1
 
     def inside_article(self, node: int) -> bool:
@@ -145,15 +158,35 @@ def parse(source: str) -> Page:
     return page
 
 
-def _drop(page: Page, size: list[int]) -> list[bool]:
-    """Nodes in or below furniture. A name alone cuts no node that holds the article or most of the text."""
-    holds = [t in ("article", "main", "h1", "body") for t in page.tag]
-    for n in range(len(page.tag) - 1, 0, -1):
-        holds[page.parent[n]] |= holds[n]
-    gone = [False] * len(page.tag)
-    for n in range(1, len(page.tag)):
-        by_name = page.named[n] and not (holds[n] and 2 * size[n] > size[0])
-        gone[n] = gone[page.parent[n]] or page.cut[n] and page.tag[n] not in ("article", "main") or by_name
+def _drop(page: Page) -> list[bool]:
+    """Nodes in or below furniture.
+
+    A name alone cuts no node that holds the article or most of the text that tags and roles leave; comments may hold most
+    of it, or articles, beside the page's own. A name that content has too cuts only where links are ``LINKED`` of the text.
+    """
+    count = len(page.tag)
+    by_tag = [False] * count
+    linked = [False] * count
+    for n in range(1, count):
+        by_tag[n] = by_tag[page.parent[n]] or page.cut[n] and page.tag[n] not in ("article", "main")
+        linked[n] = page.tag[n] == "a" or linked[page.parent[n]]
+    size = _sizes(page, by_tag)
+    links = _sizes(page, [by_tag[n] or not linked[n] for n in range(count)])
+    marks = [t in ("article", "main") and bool(size[n]) for n, t in enumerate(page.tag)]
+    heads = [m or t == "h1" and bool(size[n]) for n, (m, t) in enumerate(zip(marks, page.tag, strict=True))]
+    holds, headed = [int(m) for m in marks], [int(h) for h in heads]
+    for n in range(count - 1, 0, -1):
+        holds[page.parent[n]] += holds[n]
+        headed[page.parent[n]] += headed[n]
+    gone = [False] * count
+    for n in range(1, count):
+        by_name = page.named[n] and size[n] > 0
+        if by_name and page.comments[n]:
+            only = holds[n] and holds[n] == holds[0] or 2 * size[n] > size[0] and headed[n] == headed[0]
+            by_name = not only
+        elif by_name:
+            by_name = not holds[n] and 2 * size[n] <= size[0] and (not page.weak[n] or links[n] >= LINKED * size[n])
+        gone[n] = gone[page.parent[n]] or by_tag[n] or by_name
     return gone
 
 
@@ -200,7 +233,7 @@ def main_text(source: str | None) -> str:
     if not source:
         return ""
     page = parse(source)
-    gone = _drop(page, _sizes(page, None))
+    gone = _drop(page)
     size = _sizes(page, gone)
     if not size[0]:
         return ""

@@ -37,6 +37,18 @@ def test_an_article_that_is_a_teaser_is_not_the_page():
     assert main_text(f"<body><div>{teaser}</div><article>{paragraphs}</article></body>").startswith(text)
 
 
+def test_a_name_cuts_no_text_of_the_page():
+    text = "\n".join([(LONG * 3).strip(), (LONG * 2).strip()])
+    paragraphs = f"<p>{LONG * 3}</p><p>{LONG * 2}</p>"
+    for name in ("with-sidebar", "content-header-fixed"):
+        assert main_text(f"<body><div id='page' class='{name}'><h2>Head</h2>{paragraphs}</div></body>") == f"Head\n{text}"
+        # the wrapper has the article, but less than half of the characters
+        assert main_text(f"<body><div class='{name}'><article>{paragraphs}</article></div><div class='comments'>{paragraphs * 2}</div></body>") == text
+    links = "".join(f"<li><a href=/{i}>Another page of the site</a></li>" for i in range(5))
+    inside = f"<section id='discussion'><p>{LONG}</p></section><div class='menu'><p>Soup, then fish.</p></div><div class='related'><ul>{links}</ul></div>"
+    assert main_text(f"<article>{paragraphs}{inside}</article>") == f"{text}\n{LONG.strip()}\nSoup, then fish."
+
+
 def test_rows(spark):
     rows = [(1, "u", "<p>x y</p>"), (1, "u", "<p>x y</p>"), (2, None, None), (None, "v", "")]
     pages = clashing(spark.createDataFrame(rows, "page_id bigint, url string, html string"))
