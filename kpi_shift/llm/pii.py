@@ -40,11 +40,11 @@ _LABELS = r"(?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)"
 PATTERNS = (
     ("email", r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}"),
     ("key", r"(?<![\p{L}\p{N}])(?:AKIA|ASIA)[A-Z0-9]{16}(?![\p{L}\p{N}])"),
-    ("secret", rf"(?<=\b{_LABELS}\s{{0,3}}[=:]\s{{0,3}}[\"']?)[^\s\"'=:,;<>]{{6,200}}"),
+    ("secret", rf"(?<=\b{_LABELS}\s{{0,3}}[=:]\s{{0,3}}[\"']?)[^\s\"'=:,;<>]{{6,}}+"),
     ("iban", r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])"),
     ("ip", rf"(?<![\p{{N}}.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\p{{N}})"),
     ("ssn", r"(?<![\p{N}-])\d{3}-\d{2}-\d{4}(?![\p{N}-])"),
-    ("secret", r"(?<![\p{L}\p{N}])(?=[A-F]*\d|[a-f]*\d)(?:[0-9a-f]{32,200}|[0-9A-F]{32,200})(?![\p{L}\p{N}])"),
+    ("secret", r"(?<![\p{L}\p{N}])(?=[A-F]*\d|[a-f]*\d)(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+)(?![\p{L}\p{N}])"),
     ("phone", rf"(?<![\p{{L}}\p{{N}}])(?:\+\d{{1,3}}{_GAP})?\(\d{{2,4}}\){_GAP}\d{{3,4}}[ .-]\d{{3,4}}(?!\p{{N}})"),
     ("phone", r"(?<![\p{L}\p{N}+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\p{N})"),
     ("phone", r"(?<![\p{L}\p{N}.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\p{N}-])"),
@@ -87,8 +87,14 @@ def _stream(key: str, what: Column, value: Column, attempt: Column) -> Column:
 
 
 def _number(stream: Column, place: Column) -> Column:
-    """A number below 4096 for each of 126 places; beyond, they come round again, shifted."""
-    return F.conv(F.substring(stream, (place % F.lit(126)) + 1, F.lit(3)), 16, 10).cast("int") + F.floor(place / 126).cast("int")
+    """A number below 4096 for each of 126 places."""
+    return F.conv(F.substring(stream, (place % F.lit(126)) + 1, F.lit(3)), 16, 10).cast("int")
+
+
+def _far_number(stream: Column, place: Column) -> Column:
+    """A number below 4096 for each place: 126 from the stream, as many from each further block hashed from it."""
+    block = F.floor(place / 126).cast("string")
+    return _number(F.when(place < 126, stream).otherwise(F.sha2(F.concat_ws("\x1f", stream, block), 512)), place)
 
 
 def _letters(alphabet: str, at: Column) -> Column:
@@ -98,8 +104,7 @@ def _letters(alphabet: str, at: Column) -> Column:
 def _scrambled(stream: Column, value: Column, hexadecimal: Column) -> Column:
     """Each digit and letter replaced by one of its kind; hexadecimal text stays so."""
 
-    def one(c: Column, i: Column) -> Column:
-        n = _number(stream, i)
+    def one(c: Column, n: Column) -> Column:
         return (
             F.when(hexadecimal & c.rlike("[a-f]"), _letters("abcdef", n))
             .when(hexadecimal & c.rlike("[A-F]"), _letters("ABCDEF", n))
@@ -112,7 +117,8 @@ def _scrambled(stream: Column, value: Column, hexadecimal: Column) -> Column:
             .otherwise(c)
         )
 
-    return F.array_join(F.transform(F.split(value, ""), one), "")
+    places = F.split(value, "")
+    return F.array_join(F.zip_with(places, F.transform(places, lambda c, i: _far_number(stream, i)), one), "")
 
 
 def _luhn(digits: Column) -> Column:

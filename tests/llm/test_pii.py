@@ -71,3 +71,13 @@ def test_collisions_are_drawn_again(spark, monkeypatch):
     drawn = [a for a, _ in new]
     assert len(set(drawn)) == len(values) and not set(drawn) & set(values)
     assert rows[len(values)].split() == drawn == rows[len(values) + 1].split()
+
+
+def test_long_secrets_are_replaced_whole(spark):
+    token, other = ("".join(f"{i * 7919 % 9973:04d}{a}" for i, a in enumerate("abcdef" * 34))[:n] for n in (1000, 999))
+    docs = documents(spark, [f"token={token} end", f"key {other} end", f"token={'a' * 1000} end"])
+    rows = [r.text for r in pii.replace_personal_data(docs, "key").orderBy("doc_id").collect()]
+    one, two, three = re.fullmatch(r"token=(\S{1000}) end", rows[0])[1], re.fullmatch(r"key (\S{999}) end", rows[1])[1], rows[2][6:1006]
+    assert not any(token[i : i + 12] in one for i in range(988)) and not any(other[i : i + 12] in two for i in range(987))
+    # places beyond the first block are drawn by themselves
+    assert not any(three[i : i + 10] == three[j : j + 10] for i in range(0, 126, 9) for j in range(126, 990))
