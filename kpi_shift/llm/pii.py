@@ -54,6 +54,8 @@ PATTERNS = (
 )
 #: Nothing begins inside a word: most places fail at the first test.
 PATTERN = r"(?<![\p{L}\p{N}])(?:" + "|".join(f"(?:{p})" for _, p in PATTERNS) + ")"
+#: A capitalised word between mentions, which may be a surname found elsewhere in the text.
+BARE = r"(?<![\p{L}\p{N}])\p{Lu}(?:['’]\p{Lu})?\p{L}+(?:-\p{Lu}\p{L}+)*(?![\p{L}\p{N}])"
 #: Cheap test that every entity passes.
 SIGNS = rf"[0-9@]|(?<!\p{{L}})(?=\p{{Lu}})(?:{_ALL_TITLES}|{_GIVEN})\.? \p{{Lu}}|{_LABELS}\s{{0,3}}[=:]"
 
@@ -273,6 +275,33 @@ def _told(found: Column) -> Column:
     return F.transform(kinds, tell)
 
 
+def _bare(pieces: Column, names: Column) -> Column:
+    """Structs of a piece with bare mentions of ``names`` (structs of value and core) replaced, and their number.
+
+    A name's possessive ending is not part of it, and parts of a hyphenated word are looked up too.
+    """
+    keys = F.transform(names, lambda r: r["value"])
+    keys = F.concat(keys, F.transform(keys, lambda k: F.regexp_replace(k, "['’]s$", "")))
+    cores = F.transform(F.concat(names, names), lambda r: r["core"])
+
+    def swapped(word: Column) -> Column:
+        place = F.array_position(keys, F.lower(word))
+        return F.when(place > 0, _cased(F.element_at(cores, F.greatest(place, F.lit(1)).cast("int")), word)).otherwise(word)
+
+    def whole(word: Column) -> Column:
+        known = F.array_contains(keys, F.lower(word)) | ~word.contains("-")
+        return F.when(known, swapped(word)).otherwise(F.array_join(F.transform(F.split(word, "-"), swapped), "-"))
+
+    def one(piece: Column) -> Column:
+        words = F.regexp_extract_all(piece, F.lit(BARE), F.lit(0))
+        new = F.transform(words, whole)
+        text = F.array_join(F.zip_with(F.split(piece, BARE, -1), F.concat(new, F.array(F.lit(""))), lambda g, w: F.concat(g, w)), "")
+        n = F.size(F.filter(F.zip_with(words, new, lambda w, v: w != v), lambda changed: changed))
+        return F.struct(text.alias("text"), n.alias("n"))
+
+    return F.transform(pieces, one)
+
+
 def _entities_of(told: Column) -> Column:
     pairs = F.transform(told, lambda r: F.struct(r["kind"].alias("kind"), r["value"].alias("value")))
     given = F.transform(told, lambda r: F.struct(r["gender"].alias("kind"), r["given"].alias("value")))
@@ -338,6 +367,8 @@ def _attempts(rows: DataFrame, attempt: int) -> DataFrame:
 def replace_personal_data(documents: DataFrame, key: str) -> DataFrame:
     """All columns of ``documents`` with mentions in ``text`` replaced, and ``n_mentions`` and ``kinds`` (sorted, each once).
 
+    A surname found in a text is replaced, and counted, also where it stands there alone as a capitalised word.
+
     A null text stays null and has no mentions, an empty one stays empty. Repeated rows get equal results; an empty table
     gives an empty one. Other columns are kept as they are; any named n_mentions or kinds gives way to the new ones.
     """
@@ -362,14 +393,22 @@ def replace_personal_data(documents: DataFrame, key: str) -> DataFrame:
     cores = _drawn(key, F.transform(told, lambda r: row(r["kind"], r["value"])))
     given = _drawn(key, F.transform(told, lambda r: row(r["gender"], r["given"])))
     drawn = F.zip_with(cores, given, lambda c, g: F.struct(c["core"].alias("core"), g["core"].alias("given")))
+    # columns of their own, so that each is made once
+    rows = rows.withColumn("drawn", drawn).withColumn("pieces", F.split(F.col("text"), PATTERN, -1))
+    drawn = F.col("drawn")
     surrogates = F.zip_with(told, drawn, lambda r, d: rendered(r["kind"], r["mention"], d["core"], d["given"]))
-    pieces = F.split(F.col("text"), PATTERN, -1)
-    replaced = F.array_join(F.zip_with(pieces, F.concat(surrogates, F.array(F.lit(""))), lambda p, s: F.concat(p, s)), "")
+    named = F.zip_with(told, drawn, lambda r, d: F.struct(r["kind"].alias("kind"), r["value"].alias("value"), d["core"].alias("core")))
+    names = F.array_distinct(F.filter(named, lambda r: r["kind"] == "name"))
+    unchanged = F.transform("pieces", lambda p: F.struct(p.alias("text"), F.lit(0).alias("n")))
+    rows = rows.withColumn("names", names)
+    rows = rows.withColumn("between", F.when(F.size("names") > 0, _bare(F.col("pieces"), F.col("names"))).otherwise(unchanged))
+    replaced = F.array_join(F.zip_with("between", F.concat(surrogates, F.array(F.lit(""))), lambda p, s: F.concat(p["text"], s)), "")
+    n_bare = F.when(F.size("told") > 0, F.aggregate("between", F.lit(0), lambda n, p: n + p["n"])).otherwise(0)
     kinds = F.array_sort(F.array_distinct(F.transform(told, lambda r: r["kind"])))
     new_text = F.when(F.size("told") > 0, replaced).otherwise(F.col("text"))
     values = zip(documents.columns, unpacked(documents.columns, text=new_text), strict=True)
     return rows.select(
         *[v for c, v in values if c not in ("n_mentions", "kinds")],
-        F.greatest(F.size("told"), F.lit(0)).cast("long").alias("n_mentions"),
+        (F.greatest(F.size("told"), F.lit(0)) + n_bare).cast("long").alias("n_mentions"),
         F.coalesce(kinds, F.array().cast("array<string>")).alias("kinds"),
     )

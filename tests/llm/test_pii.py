@@ -81,3 +81,12 @@ def test_long_secrets_are_replaced_whole(spark):
     assert not any(token[i : i + 12] in one for i in range(988)) and not any(other[i : i + 12] in two for i in range(987))
     # places beyond the first block are drawn by themselves
     assert not any(three[i : i + 10] == three[j : j + 10] for i in range(0, 126, 9) for j in range(126, 990))
+
+
+def test_bare_surnames_are_replaced(spark):
+    texts = ["Smith came. Mr Smith spoke; Smith said SMITH's and Smith-Jones, a smith.", "Smith alone", "Dr. O'Neil's word: O'Neil left. Smithson too"]
+    rows = pii.replace_personal_data(documents(spark, texts), "key").orderBy("doc_id").collect()
+    new = re.fullmatch(r"(\w+) came\. Mr (\w+) spoke; (\w+) said (\w+)'s and (\w+)-Jones, a smith\.", rows[0].text).groups()
+    assert "Smith" not in new and {w.lower() for w in new} == {new[0].lower()} and new[3].isupper()
+    assert (rows[0].n_mentions, rows[1].text, rows[1].n_mentions) == (5, "Smith alone", 0)
+    assert "O'Neil" not in rows[2].text and rows[2].text.endswith(" left. Smithson too") and rows[2].n_mentions == 2
