@@ -35,7 +35,6 @@ FUZZY = 5  # entries of so many letters may have an error
 WINDOW = 6
 ENTRIES = 5_000
 ROUNDS = 5
-PURE = 0.8
 CACHE = 300_000
 THRESHOLD = 0.3
 WORD = re.compile(r"\w+|[\"“”„«»‹›]")
@@ -215,11 +214,11 @@ def _term_counts(known, wanted=None):
     return run
 
 
-def choose_entries(rows: list[tuple[str, int, int]], known: list[Entry]) -> list[Entry]:
-    """Further entries from (term, clean, toxic), best first; none lies inside another's reach."""
+def choose_entries(rows: list[tuple[str, int, int, float]], known: list[Entry]) -> list[Entry]:
+    """Further entries from (term, clean, toxic, gain), greatest gain first; none lies inside another's reach."""
     chosen = list(known)
     stems, taken = {e.text for e in known if e.stem}, {e.text for e in known}
-    for term, _, _ in sorted(rows, key=lambda r: (-r[2], r[1], r[0].endswith("*"), -len(r[0]), r[0])):
+    for term, *_ in sorted(rows, key=lambda r: (-r[3], -r[2], r[1], r[0].endswith("*"), -len(r[0]), r[0])):
         text, stem = term.rstrip("*"), term.endswith("*")
         if text in taken or stems & {text[:n] for n in range(1, len(text))} or stem and any(t.startswith(text) for t in taken):
             continue
@@ -275,9 +274,9 @@ def _next_entries(rows: DataFrame, known: list[Entry]) -> list[Entry]:
     rate = (F.col("toxic") + 0.5) / (F.col("clean") + F.col("toxic") + 1)
     gain = F.col("toxic") * F.log(rate / share) + F.col("clean") * F.log((1 - rate) / (1 - share))
     strong = counted(context.broadcast(wanted)).where(
-        (F.col("term") != "") & (F.col("toxic") >= PURE * (F.col("toxic") + F.col("clean"))) & (gain > least)
-    )
-    return choose_entries([tuple(r) for r in strong.orderBy(F.desc("toxic"), "clean", "term").limit(ENTRIES).collect()], known)
+        (F.col("term") != "") & (rate > share) & (gain > least)
+    ).withColumn("gain", F.round(gain, 6))
+    return choose_entries([tuple(r) for r in strong.select("term", "clean", "toxic", "gain").orderBy(F.desc("gain"), F.desc("toxic"), "clean", "term").limit(ENTRIES).collect()], known)
 
 
 def _log_odds(toxic: float, clean: float, all_toxic: int, all_clean: int) -> float:

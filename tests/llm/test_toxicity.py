@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 from kpi_shift.llm import quality, toxicity
 from kpi_shift.llm.toxicity import Entry
 from tests.llm.helpers import clashing, documents, prose
@@ -65,3 +67,22 @@ def test_learned_terms_stems_and_misspellings(spark):
     assert kept.columns == docs.columns
     assert {r.doc_id for r in kept.collect()} == {i for i, s in rows.items() if s < 0.3}
     assert toxicity.reject_toxic(docs.limit(0), model).count() == 0
+
+
+def test_a_term_that_is_often_quoted_is_an_entry(spark):
+    rng = random.Random(2)
+    texts, known = [], []
+    for i in range(400):
+        words = prose(30, i, 300).split()
+        bad = i % 8 == 0
+        at = rng.randrange(8, 22)
+        if bad:
+            words[at] = "idiot"
+        elif i % 12 == 1:  # 33 of 83 documents with the term only quote it
+            words[at : at + 1] = ["wrote", '"', "idiot", '"']
+        texts.append(" ".join(words))
+        known.append((i, 1, int(bad)))
+    model = toxicity.train(documents(spark, texts), labels(spark, known), F.lit(True))
+    assert "idiot" in {e.text for e in model.entries}
+    rows = {r.doc_id: r.score for r in toxicity.score(documents(spark, [*texts, "w1 w2 idiot w3", 'he wrote " idiot " w4']), model).collect()}
+    assert rows[400] > 0.3 > rows[401]
