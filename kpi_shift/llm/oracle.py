@@ -65,6 +65,81 @@ select d.doc_id, len(w) as n_words, len(w) - coalesce(n, 0) as n_removed, sha256
 from d left join kept using (doc_id)"""
 
 
+_BLANKS = r"[\x20\x09-\x0D]"
+
+LINES = rf"""
+with cut as (select doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents),
+each_line as (select doc_id, unnest(lines) as line, generate_subscripts(lines, 1) as i from cut),
+keyed as (
+  select doc_id, i, line, translate(regexp_replace(line, '^{_BLANKS}+|{_BLANKS}+$', '', 'g'), '{_CAPITALS}', '{_SMALL}') as key
+  from each_line),
+shared as (select key, max(doc_id) as last_id from keyed where length(key) >= 20 group by key having count(distinct doc_id) >= 3),
+judged as (select k.doc_id, i, line, coalesce(k.doc_id < last_id, false) as gone from keyed k left join shared using (key))
+select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by i) filter (not gone), '')) as kept_sha256
+from judged group by doc_id"""
+
+INFILL = r"""
+with d as (
+  select doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') as units,
+    sha256('7:' || cast(doc_id as varchar)) as h from documents),
+drawn as (
+  select *, len(units) as n, [('0x' || substr(h, 8 * k + 1, 8))::ubigint for k in range(4)] as x,
+    t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') as plain from d),
+cut as (
+  select *, least(x[1] % (n + 1), x[2] % (n + 1)) as low, greatest(x[1] % (n + 1), x[2] % (n + 1)) as high,
+    case when plain then 'plain' when x[4] % 100 < 50 then 'spm' else 'psm' end as form from drawn),
+parts as (
+  select doc_id, t, n, form, array_to_string(units[1 : low], '') as p, array_to_string(units[low + 1 : high], '') as m,
+    array_to_string(units[high + 1 :], '') as s from cut),
+made as (
+  select *, case form when 'plain' then t when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m
+    else '<S>' || s || '<P>' || p || '<M>' || m end as made from parts),
+read as (select *, instr(made, '<P>') as at_p, instr(made, '<S>') as at_s, instr(made, '<M>') as at_m from made)
+select doc_id, n, form, case when form <> 'plain' then length(p) end as prefix_chars,
+  case when form <> 'plain' then length(m) end as middle_chars, sha256(made) as output_sha256,
+  sha256(case form when 'plain' then made
+    when 'psm' then substr(made, 4, at_s - 4) || substr(made, at_m + 3) || substr(made, at_s + 3, at_m - at_s - 3)
+    else substr(made, at_p + 3, at_m - at_p - 3) || substr(made, at_m + 3) || substr(made, 4, at_p - 4) end) as restored_sha256
+from read"""
+
+SPELLING = rf"""
+with recursive crc as (
+  select list(v order by i) as entries from (
+    select i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda v, x: case when v % 2 = 1 then xor(v >> 1, 3988292384) else v >> 1 end) as v
+    from (select unnest(range(256)) as i))),
+runs as (
+  select doc_id, run, count(*) as n from (
+    select doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{_CAPITALS}', '{_SMALL}'), '[a-z\x{{00C0}}-\x{{00FF}}]+')) as run
+    from documents) where length(run) >= 5 group by all),
+named as (
+  select run, n, flatten(list_transform(string_split(cast(doc_id as varchar) || ':' || run, ''), lambda c:
+    case when unicode(c) < 128 then [cast(unicode(c) as bigint)] else [192 + (unicode(c) >> 6), 128 + (unicode(c) & 63)] end)) as bytes from runs),
+hashed as (
+  select run, n, xor(4294967295, list_reduce(list_concat([4294967295], bytes),
+    lambda c, b: xor(c >> 8, entries[(xor(c, b) & 255) + 1]))) as h from named, crc),
+words as (
+  select word, cast(sum(n) as bigint) as n from (
+    select n, case when h % 97 = 0 then left(run, h % length(run)) || substr(run, h % length(run) + 2) else run end as word from hashed)
+  where length(word) >= 5 group by word having sum(n) >= 3),
+less as (
+  select word, i, left(word, i - 1) || substr(word, i + 1) as rest from (select word, unnest(range(1, length(word) + 1)) as i from words)),
+near as (
+  select l.word as a, w.word as b from less l join words w on l.rest = w.word
+  union select w.word, l.word from less l join words w on l.rest = w.word
+  union select x.word, y.word from less x join less y on x.i = y.i and x.rest = y.rest and x.word <> y.word),
+best as (
+  select a, count(*) as n_near, max(n) as most, arg_min(b, (-n, b)) as b from near join words on word = b group by a),
+forms as (
+  select w.word, w.n, coalesce(n_near, 0) as n_near, case when most >= 2 * w.n then b end as form, case when most >= 2 * w.n then most end as form_n
+  from words w left join best on a = w.word),
+steps as (
+  select word as start, word as at_word from forms
+  union select s.start, f.form from steps s join forms f on f.word = s.at_word where f.form is not null)
+select f.word, f.form, r.at_word as root, f.n, f.n_near, f.form_n
+from forms f join steps r on r.start = f.word join forms e on e.word = r.at_word where e.form is null"""
+
+
 def _text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
@@ -114,4 +189,7 @@ ORACLE = {
     "op6_decontamination": CONTAMINATION,
     "op7_ngram_jaccard_join": NEAR_DUPLICATES,
     "op9_substring_dedup": REPEATS,
+    "op11_line_dedup": LINES,
+    "op12_fill_in_middle": INFILL,
+    "op13_spelling_variants": SPELLING,
 }

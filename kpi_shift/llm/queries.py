@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpi_shift.llm import decontaminate, fingerprints, html_text, jaccard, licenses, packing, pii, quality, substrings, toxicity
+from kpi_shift.llm import decontaminate, fingerprints, html_text, infill, jaccard, licenses, lines, packing, pii, quality, spelling, substrings, toxicity
 from kpi_shift.llm.oracle import ORACLE
 from kpi_shift.session import configure
 
@@ -71,6 +71,18 @@ def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replaced.select("doc_id", "text", "n_mentions", F.array_join("kinds", ",").alias("kinds"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_report(read(spark, sf_dir, "documents"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.infill_report(read(spark, sf_dir, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants_of_texts(read(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_html_extraction": op2_html_extraction,
@@ -82,6 +94,9 @@ LLM_QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_pii_surrogates": op10_pii_surrogates,
+    "op11_line_dedup": op11_line_dedup,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 LLM_ORACLE: dict[str, str] = dict(ORACLE)
