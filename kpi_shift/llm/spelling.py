@@ -6,16 +6,16 @@ words' vectors is searched for it; boxes farther away than the edit allows are p
 by letter.
 
 The trees are dealt: for each length the upper levels, fitted to a sample of at most ``SAMPLE`` words, cut the space into
-cells. Each word is indexed in the one cell that holds it and asks all cells that its ball touches. A task builds the lower levels
-of one cell from its words and streams the questions through it. Pairs never leave a cell: a word gets its number of near words
-there and the best of them, and these are combined by word.
+cells. Each word is held by one cell and visits those that its ball touches. A task builds the lower levels of one cell from its words and
+streams the visitors through it. Pairs never leave a cell: a word gets its number of near words there and the best of them, and
+these are combined by word.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -37,10 +37,14 @@ SAMPLE = 50_000
 CELL = 8_192
 #: A cell of the sample is not cut below this size.
 CELL_SAMPLE = 24
-LEAF = 32
+LEAF = 64
+#: Cuts between two levels whose boxes are tested.
+STRIDE = 4
 QUESTIONS = 4_096
+#: From this length on cells hold fewer words.
+LONG = 64
 LETTERS = 26 + 64
-INDEX, ASK = 0, 1
+OWN, INSIDER, VISITOR = 0, 1, 2
 
 
 def word_counts(documents: DataFrame, min_chars: int = MIN_CHARS, min_count: int = MIN_COUNT, spoilt: int | None = SPOILT) -> DataFrame:
@@ -90,69 +94,81 @@ def best_cut(points: np.ndarray) -> tuple[int, int] | None:
 
 
 @dataclass
+class Node:
+    """A box of a k-d tree: its parts some cuts below it, or the points in it. Boxes of parts are kept together, as unary rows."""
+
+    rows: np.ndarray
+    parts: list[Node]
+    low: np.ndarray | None = None
+    high: np.ndarray | None = None
+
+
 class Tree:
-    """A k-d tree; ``cells`` says that its boxes are the half-spaces of the cuts, not the least boxes around the points."""
-
-    cuts: list[tuple[int, int, int, int]] = field(default_factory=list)  # letter, count, node below, node above; letter -1: leaf
-    low: list[np.ndarray] = field(default_factory=list)
-    high: list[np.ndarray] = field(default_factory=list)
-    members: list[np.ndarray | None] = field(default_factory=list)
-
-    @classmethod
-    def build(cls, points: np.ndarray, leaf: int, cells: bool = False) -> Tree:
-        tree = cls()
-        open_low, open_high = np.zeros(LETTERS, np.int32), np.full(LETTERS, np.iinfo(np.int32).max // 256, np.int32)
-
-        def grow(rows: np.ndarray, low: np.ndarray, high: np.ndarray) -> int:
-            node = len(tree.cuts)
-            own = points[rows]
-            if not cells and len(rows):
-                low, high = own.min(axis=0), own.max(axis=0)
-            for column, value in zip((tree.cuts, tree.low, tree.high, tree.members), ((-1, 0, 0, 0), low, high, rows), strict=True):
-                column.append(value)
-            cut = best_cut(own) if len(rows) > leaf else None
-            if cut is None:
-                return node
-            letter, count = cut
-            under = own[:, letter] <= count
-            under_high, over_low = high.copy(), low.copy()
-            under_high[letter], over_low[letter] = count, count + 1
-            tree.members[node] = None
-            tree.cuts[node] = (letter, count, grow(rows[under], low, under_high), grow(rows[~under], over_low, high))
-            return node
-
-        grow(np.arange(len(points)), open_low, open_high)
-        return tree
-
-    def place(self, points: np.ndarray) -> np.ndarray:
-        """The leaf that holds each point."""
-        out = np.zeros(len(points), np.int64)
-        waiting = [(0, np.arange(len(points)))]
+    """A k-d tree over letter counts.
+
+    Counts are written in unary, up to the greatest that matters for a letter (``caps``), so that the product of two rows is
+    the number of letters they share. With it a box tells for many points at once how many letters a word in it has too many
+    (``lack``) or too few (``over``) at least. ``cells`` says that boxes are the half-spaces of the cuts, not the least boxes around the points.
+    """
+
+    def __init__(self, points: np.ndarray, leaf: int, cells: bool = False):
+        self.cells, self.leaves = cells, 0
+        self.caps = np.zeros(LETTERS, np.int32) if cells else points.max(axis=0)
+        everywhere = np.zeros(LETTERS, np.int32), np.full(LETTERS, np.iinfo(np.int32).max, np.int32)
+        self.root, boxes = self._grow(points, np.arange(len(points)), *everywhere, leaf), []
+        self.columns = [(letter, k) for letter in range(LETTERS) for k in range(1, int(self.caps[letter]) + 1)]
+        waiting = [self.root]
         while waiting:
-            node, rows = waiting.pop()
-            letter, count, under, over = self.cuts[node]
-            if letter < 0:
-                out[rows] = node
-            elif len(rows):
-                below = points[rows, letter] <= count
-                waiting += [(under, rows[below]), (over, rows[~below])]
-        return out
-
-    def near(self, points: np.ndarray, reach: int) -> Iterator[tuple[int, np.ndarray]]:
-        """Leaves with the points whose L1 distance to the leaf's box is at most ``reach``."""
-        waiting = [(0, np.arange(len(points)))]
+            node = waiting.pop()
+            if node.parts:
+                boxes = node.low, node.high
+                node.low, node.high = (self.unary(np.array(side)) for side in boxes)
+                waiting += node.parts
+
+    def _grow(self, points: np.ndarray, rows: np.ndarray, low: np.ndarray, high: np.ndarray, leaf: int) -> Node:
+        pieces = [(rows, low, high)]
+        for _ in range(STRIDE):
+            cut_further = []
+            for rows_, low_, high_ in pieces:
+                cut = best_cut(points[rows_]) if len(rows_) > leaf else None
+                if cut is None:
+                    cut_further.append((rows_, low_, high_))
+                    continue
+                letter, count = cut
+                if self.cells:
+                    self.caps[letter] = max(self.caps[letter], count + 1)
+                under, under_high, over_low = points[rows_, letter] <= count, high_.copy(), low_.copy()
+                under_high[letter], over_low[letter] = count, count + 1
+                cut_further += [(rows_[under], low_, under_high), (rows_[~under], over_low, high_)]
+            pieces = cut_further
+        if len(pieces) == 1:
+            self.leaves += 1
+            return Node(rows if not self.cells else np.array([self.leaves - 1]), [])
+        parts = [self._grow(points, *piece, leaf) for piece in pieces]
+        if self.cells:
+            return Node(rows, parts, [low_ for _, low_, _ in pieces], [high_ for _, _, high_ in pieces])
+        own = [points[rows_] for rows_, _, _ in pieces]
+        return Node(rows, parts, [o.min(axis=0) for o in own], [o.max(axis=0) for o in own])
+
+    def unary(self, points: np.ndarray) -> np.ndarray:
+        letter = np.array([c for c, _ in self.columns], np.int64)
+        return (points[:, letter] >= np.array([k for _, k in self.columns], np.int64)).astype(np.float32)
+
+    def near(self, points: np.ndarray, lack: int, over: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Members of leaves, with the rows (and their unary form) that have at most ``lack`` letters too few and ``over`` too many for a word in the leaf's box."""
+        written = self.unary(points)
+        size = written.sum(axis=1) if self.cells else points.sum(axis=1)
+        waiting = [(self.root, np.arange(len(points)))]
         while waiting:
             node, rows = waiting.pop()
-            own = points[rows]
-            away = np.maximum(self.low[node] - own, 0).sum(axis=1) + np.maximum(own - self.high[node], 0).sum(axis=1)
-            rows = rows[away <= reach]
-            if not len(rows):
+            own = written[rows]
+            if not node.parts:
+                yield node.rows, rows, own
                 continue
-            letter, _, under, over = self.cuts[node]
-            if letter < 0:
-                yield node, rows
-            else:
-                waiting += [(under, rows), (over, rows)]
+            short = node.low.sum(axis=1) - own @ node.low.T
+            spare = size[rows][:, None] - own @ node.high.T
+            open_ = (short <= lack) & (spare <= over)
+            waiting += [(part, rows[open_[:, i]]) for i, part in enumerate(node.parts) if open_[:, i].any()]
 
 
 def one_edit(short: np.ndarray, long: np.ndarray) -> np.ndarray:
@@ -171,27 +187,27 @@ class Cell:
     def __init__(self, words: list[str], counts: np.ndarray):
         self.words, self.counts, self.codes = np.array(words, object), counts, codes_of(words)
         self.points = vectors(self.codes)
-        self.tree = Tree.build(self.points, LEAF)
-        # larger counts first, then the smaller word
-        self.rank = np.empty(len(words), np.int64)
-        self.rank[np.lexsort((np.argsort(np.argsort(self.words)), -counts))] = np.arange(len(words))
+        self.tree = Tree(self.points, LEAF)
+        self.written = self.tree.unary(self.points)
+        self.rank = ranks(self.words, counts)
 
     def pairs(self, codes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(rows of ``codes``, own rows) that are one edit apart, leaf by leaf."""
-        longer = self.codes.shape[1] - codes.shape[1]
-        points = vectors(codes)
-        for leaf, asked in self.tree.near(points, 1 if longer else 2):
-            held = self.tree.members[leaf]
-            for at in range(0, len(asked), 1024):
-                some = asked[at : at + 1024]
-                distance = np.zeros((len(some), len(held)), np.int32)
-                for letter in np.flatnonzero(points[some].any(axis=0) | self.points[held].any(axis=0)):
-                    distance += np.abs(points[some, letter][:, None] - self.points[held, letter][None, :])
-                a, b = np.nonzero(distance == (1 if longer else 2))
-                a, b = some[a], held[b]
-                right = one_edit(codes[a], self.codes[b])
-                if right.any():
-                    yield a[right], b[right]
+        """(rows of ``codes``, own rows) that are one edit apart, leaf by leaf: they share all letters but the one replaced, or all of the shorter word."""
+        replaced = int(self.codes.shape[1] == codes.shape[1])
+        for held, asked, written in self.tree.near(vectors(codes), 1, replaced):
+            shared = written @ self.written[held].T
+            a, b = np.nonzero(shared == codes.shape[1] - replaced)
+            a, b = asked[a], held[b]
+            right = one_edit(codes[a], self.codes[b])
+            if right.any():
+                yield a[right], b[right]
+
+
+def ranks(words: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Places in the order of descending count, equal ones by word."""
+    out = np.empty(len(words), np.int64)
+    out[np.lexsort((np.argsort(np.argsort(words)), -counts))] = np.arange(len(words))
+    return out
 
 
 class Tally:
@@ -225,13 +241,13 @@ class Tally:
 
 
 def _searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (cell, side, size): a cell's own words, then the questions of the words one letter shorter, then its own again."""
+    """Rows sorted by (cell, side, size): a cell's own words, then those that ask there, the shorter ones first."""
     current, held, counts = None, [], []
     cell: Cell | None = None
     owed: Tally | None = None
     for batch in batches:
-        names, side, word, n = (batch.column(i) for i in range(4))
-        names, side, size = names.to_numpy(), side.to_numpy(), batch.column(4).to_numpy()
+        names, side, size = (batch.column(c).to_numpy() for c in ("cell", "side", "size"))
+        word, n = batch.column("word"), batch.column("n")
         cuts = np.flatnonzero((names[1:] != names[:-1]) | (side[1:] != side[:-1]) | (size[1:] != size[:-1])) + 1
         for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(names)], strict=True):
             if a == b:
@@ -240,34 +256,33 @@ def _searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if owed is not None and (told := owed.told(cell.words.tolist())) is not None:
                     yield told
                 current, held, counts, cell, owed = names[a], [], [], None, None
-            if side[a] == INDEX:
+            if side[a] == OWN:
                 held += word[a:b].to_pylist()
                 counts += n[a:b].to_pylist()
                 continue
             if not held:
                 continue  # nothing to find
             if cell is None:
-                cell = Cell(held, np.array(counts, np.int64))
-                owed = Tally(len(held))
+                cell, owed = Cell(held, np.array(counts, np.int64)), Tally(len(held))
             for at in range(a, b, QUESTIONS):
-                asking = word[at : min(b, at + QUESTIONS)].to_pylist()
+                asking = np.array(word[at : min(b, at + QUESTIONS)].to_pylist(), object)
                 asked = n[at : min(b, at + QUESTIONS)].to_numpy()
-                tally, codes = Tally(len(asking)), codes_of(asking)
-                rank = np.empty(len(asking), np.int64)
-                names_, shorter = np.array(asking, object), codes.shape[1] < cell.codes.shape[1]
-                rank[np.lexsort((np.argsort(np.argsort(names_)), -asked))] = np.arange(len(asking))
-                for own, theirs in cell.pairs(codes):
-                    tally.add(own, cell.rank[theirs], cell.words[theirs], cell.counts[theirs])
-                    if shorter:  # of equal length both ask
-                        owed.add(theirs, rank[own], names_[own], asked[own])
-                if (told := tally.told(asking)) is not None:
+                tally, rank = Tally(len(asking)), ranks(asking, asked)
+                for theirs, own in cell.pairs(codes_of(asking.tolist())):
+                    tally.add(theirs, cell.rank[own], cell.words[own], cell.counts[own])
+                    if side[a] == VISITOR:  # a cell's own words ask each other both ways
+                        owed.add(own, rank[theirs], asking[theirs], asked[theirs])
+                if (told := tally.told(asking.tolist())) is not None:
                     yield told
     if owed is not None and (told := owed.told(cell.words.tolist())) is not None:
         yield told
 
 
 def _dealt(trees: dict[int, Tree]):
-    """Each word to the cell that holds it and to the cells of its own and the next length that its ball touches."""
+    """Each word to the cell that holds it, to hold and to ask, and to cells it visits: of the next length, and those of its own that come after its own.
+
+    A pair of equal lengths in two cells meets in the later one only.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -276,38 +291,36 @@ def _dealt(trees: dict[int, Tree]):
             for size in np.unique(sizes).tolist():
                 rows = np.flatnonzero(sizes == size)
                 points = vectors(codes_of(words[rows].tolist()))
-                made = []
-                for length, reach in ((size, 2), (size + 1, 1)):
-                    tree = trees.get(length)
-                    if tree is None:  # one cell for the whole length
-                        made.append((rows, np.full(len(rows), length << 24), ASK))
-                        if length == size:
-                            made.append((rows, np.full(len(rows), length << 24), INDEX))
-                        continue
-                    made += [(rows[asked], np.full(len(asked), (length << 24) + leaf), ASK) for leaf, asked in tree.near(points, reach)]
-                    if length == size:
-                        made.append((rows, (length << 24) + tree.place(points), INDEX))
-                at = np.concatenate([m[0] for m in made])
-                columns = [
-                    pa.array(np.concatenate([m[1] for m in made]).astype(np.int64)),
-                    pa.array(np.concatenate([np.full(len(m[0]), m[2], np.int8) for m in made])),
-                    pa.array(words[at], pa.string()),
-                    pa.array(n[at]),
-                    pa.array(sizes[at]),
-                ]
+                home, made = np.zeros(len(rows), np.int64), []
+                if size in trees:
+                    for number, inside, _ in trees[size].near(points, 0, 0):
+                        home[inside] = number[0]
+                    for number, asked, _ in trees[size].near(points, 1, 1):
+                        asked = asked[number[0] > home[asked]]
+                        made.append((asked, size, number[0], VISITOR))
+                every = np.arange(len(rows))
+                made += [(every, size, home, OWN), (every, size, home, INSIDER)]
+                if size + 1 in trees:
+                    made += [(asked, size + 1, number[0], VISITOR) for number, asked, _ in trees[size + 1].near(points, 1, 0)]
+                else:
+                    made.append((every, size + 1, 0, VISITOR))
+                at = rows[np.concatenate([m[0] for m in made])]
+                cell = np.concatenate([np.broadcast_to((length << 24) + np.asarray(number, np.int64), len(some)) for some, length, number, _ in made])
+                side = np.concatenate([np.full(len(some), side, np.int8) for some, _, _, side in made])
+                columns = [pa.array(cell), pa.array(side), pa.array(words[at], pa.string()), pa.array(n[at]), pa.array(sizes[at])]
                 yield pa.RecordBatch.from_arrays(columns, ["cell", "side", "word", "n", "size"])
 
     return run
 
 
 def fit_cells(words: DataFrame, cell: int = CELL, sample: int = SAMPLE) -> dict[int, Tree]:
-    """Trees of cells of about ``cell`` words, for the lengths with more than that, from a sample of at most ``sample`` words.
+    """Trees of cells of about ``cell`` words (fewer very long ones), for the lengths with more than that, from a sample of at most ``sample`` words.
 
     The sample bounds the trees: a cell holds ``CELL_SAMPLE`` of it at least. In a vocabulary of over ``sample * cell / CELL_SAMPLE``
     words the cells grow instead.
     """
     total = words.count()
-    if total <= cell:
+    if not total:
         return {}
     chosen = [r.word for r in words.select("word").orderBy(F.xxhash64("word"), "word").limit(sample).collect()]
     by_length: dict[int, list[str]] = {}
@@ -316,9 +329,9 @@ def fit_cells(words: DataFrame, cell: int = CELL, sample: int = SAMPLE) -> dict[
     trees = {}
     for length, some in by_length.items():
         expected = len(some) * total / len(chosen)
-        if expected > cell and len(some) > CELL_SAMPLE:
-            trees[length] = Tree.build(vectors(codes_of(some)), max(CELL_SAMPLE, math.ceil(cell * len(some) / expected)), cells=True)
-            trees[length].members = []
+        size = min(cell, math.ceil(cell * LONG / length))
+        if expected > size and len(some) > CELL_SAMPLE:
+            trees[length] = Tree(vectors(codes_of(some)), max(CELL_SAMPLE, math.ceil(size * len(some) / expected)), cells=True)
     return trees
 
 

@@ -95,13 +95,15 @@ def test_chains_of_forms(spark):
 def test_trees_hold_every_point_and_prune():
     rng = np.random.default_rng(4)
     points = rng.poisson(0.3, (3000, spelling.LETTERS)).astype(np.int32)
-    for cells in (False, True):
-        tree = spelling.Tree.build(points, 50, cells)
-        leaf = tree.place(points)
-        assert all((leaf[rows] == node).all() for node, rows in enumerate(tree.members) if rows is not None)
-        asked = points[:200]
-        met = {(node, q) for node, rows in tree.near(asked, 2) for q in rows.tolist()}
-        for q in range(200):
-            inside = np.flatnonzero(np.abs(points - asked[q]).sum(axis=1) <= 2)
-            assert {(node, q) for node in leaf[inside].tolist()} <= met
-        assert len(met) < 0.5 * 200 * sum(m is not None for m in tree.members)
+    asked = points[:200]
+    tree = spelling.Tree(points, 50)
+    met = {(q, int(p)) for held, rows, _ in tree.near(asked, 1, 1) for q in rows.tolist() for p in held}
+    lack, over = (np.maximum(s * (points[None] - asked[:, None]), 0).sum(axis=2) for s in (1, -1))
+    assert set(zip(*map(np.ndarray.tolist, np.nonzero((lack <= 1) & (over <= 1))))) <= met
+    assert len(met) < 0.2 * 200 * 3000
+    cells = spelling.Tree(points[:500], 50, cells=True)
+    home = [(int(number[0]), q) for number, rows, _ in cells.near(points, 0, 0) for q in rows.tolist()]
+    assert sorted(q for _, q in home) == list(range(3000)) and len({c for c, _ in home}) == cells.leaves > 8
+    home = {q: c for c, q in home}
+    visited = {(q, int(number[0])) for number, rows, _ in cells.near(asked, 1, 0) for q in rows.tolist()}
+    assert {(q, home[p]) for q, p in zip(*map(np.ndarray.tolist, np.nonzero((lack <= 1) & (over <= 0))))} <= visited
