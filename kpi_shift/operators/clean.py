@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -61,16 +61,21 @@ def silent_to_null(
     rows: DataFrame,
     kpis: Sequence[str],
     keys: Sequence[str],
+    spread: Callable[[DataFrame], DataFrame] | None = None,
+    within: Sequence[str] = (),
 ) -> DataFrame:
     """Null the ``kpis`` of rows where they sum to zero; drop the other rows under the key of such a row.
 
     The keys of silent rows are few and are aggregated before they meet the rows, so no task ever holds a key's rows
     as a group. ``rows`` is evaluated twice for that: have it written (``stage``) where it is costly. A null key equals
-    no other, so rows under it are judged one by one.
+    no other, so rows under it are judged one by one. ``spread`` may copy the silent keys to every value of the columns ``within`` that
+    the rows are stored by; the join is then by those too.
     """
     silent = f"coalesce({row_sum(kpis)} = 0, false)"
     silent_keys = rows.filter(silent).select(*keys).distinct().selectExpr("*", "true AS key_silent")
-    marked = lookup_join(rows, silent_keys, keys, "left", summarised=True)
+    if spread is not None:
+        silent_keys = spread(silent_keys)
+    marked = lookup_join(rows, silent_keys, [*keys, *within], "left", summarised=not within)
     return marked.filter(f"key_silent IS NULL OR {silent}").selectExpr(
         *[f"if({silent}, NULL, `{c}`) AS `{c}`" if c in kpis else f"`{c}`" for c in rows.columns]
     )

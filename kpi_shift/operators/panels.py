@@ -19,9 +19,14 @@ def _cohort_panel(rows: DataFrame, level: Level, monitor: Monitor, side: str, fi
     ).selectExpr(*level.ids, "day", *carried, *kpis, "event_date")
 
 
+def pre_event_columns(cohort_rows: DataFrame, level: Level, monitor: Monitor) -> DataFrame:
+    """Old-set KPI rows of the days before the event, silent rows as they are."""
+    return _cohort_panel(cohort_rows, level, monitor, "old", -monitor.baseline_days, -1)
+
+
 def pre_event_rows(cohort_rows: DataFrame, level: Level, monitor: Monitor) -> DataFrame:
     """``pre_event_panel`` from rows that already carry their ``event_date``."""
-    rows = _cohort_panel(cohort_rows, level, monitor, "old", -monitor.baseline_days, -1)
+    rows = pre_event_columns(cohort_rows, level, monitor)
     return silent_to_null(rows, monitor.names, ["event_date", "day", *level.ids])
 
 
@@ -42,6 +47,17 @@ def baseline_stats(pre_panel: DataFrame, level: Level, monitor: Monitor) -> Data
     )
 
 
+def post_event_columns(
+    cohort_rows: DataFrame,
+    level: Level,
+    monitor: Monitor,
+    start: str | None = None,
+    end: str | None = None,
+) -> DataFrame:
+    """New-set KPI rows from the event day on, silent rows as they are."""
+    return _cohort_panel(_run_days(cohort_rows, start, end), level, monitor, "new", 0, monitor.follow_days)
+
+
 def post_event_rows(
     cohort_rows: DataFrame,
     level: Level,
@@ -50,7 +66,7 @@ def post_event_rows(
     end: str | None = None,
 ) -> DataFrame:
     """``post_event_panel`` from rows that already carry their ``event_date``."""
-    rows = _cohort_panel(_run_days(cohort_rows, start, end), level, monitor, "new", 0, monitor.follow_days)
+    rows = post_event_columns(cohort_rows, level, monitor, start, end)
     unshared = [k.name for k in monitor.kpis if not k.shared]
     return silent_to_null(rows, unshared, ["event_date", "day", *level.ids])
 
