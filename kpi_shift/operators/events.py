@@ -33,8 +33,13 @@ def detect_events(
         source = source.filter(f"day >= date_sub(DATE'{start}', {days})")
     if end is not None:
         source = source.filter(f"day <= DATE'{end}'")
-    daily = (
-        vendor_activity(source, monitor)
+    return judge_days(daily_activity(source, level, monitor), level, monitor, start)
+
+
+def daily_activity(panel: DataFrame, level: Level, monitor: Monitor) -> DataFrame:
+    """(tower, day, old_sum, new_sum, hit): what the detection needs of a tower's day; ``hit`` is 1 if a row has positive new activity, else null."""
+    return (
+        vendor_activity(panel, monitor)
         .groupBy(level.tower, "day")
         .agg(
             F.sum("old_activity").alias("old_sum"),
@@ -42,7 +47,11 @@ def detect_events(
             F.expr("max(if(NOT isnan(new_activity) AND new_activity > 0, 1, NULL))").alias("hit"),
         )
     )
-    by_day = f"PARTITION BY {level.tower} ORDER BY unix_date(day) RANGE BETWEEN {days} PRECEDING AND"
+
+
+def judge_days(daily: DataFrame, level: Level, monitor: Monitor, start: str | None = None) -> DataFrame:
+    """The events from ``start`` on among the days of ``daily_activity``, which reaches back ``baseline_days`` further."""
+    by_day = f"PARTITION BY {level.tower} ORDER BY unix_date(day) RANGE BETWEEN {monitor.baseline_days} PRECEDING AND"
     judged = daily.selectExpr(
         level.tower,
         "day AS event_date",
