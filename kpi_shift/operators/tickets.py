@@ -100,26 +100,40 @@ def open_spans(
     ``last_day`` is null where no later version or closing ends the span. Versions that become known on one day are
     reduced to the newest first, so both windows hold at most one row per status and calendar day of a ticket.
     """
-    daily = (
+    return counting_spans(version_spans(known_versions(tickets)), problem_types, group)
+
+
+def known_versions(tickets: DataFrame) -> DataFrame:
+    """Newest version of each (ticket, status) among those that become known on one day: (trouble_id, status, first_day, v)."""
+    return (
         _versions(tickets)
         .filter("create_date IS NOT NULL AND modified_date IS NOT NULL")
         .selectExpr("*", "greatest(create_date, modified_date) AS first_day")
         .groupBy(*_KEY, "first_day")
         .agg(F.expr(_NEWEST))
     )
+
+
+def version_spans(known: DataFrame) -> DataFrame:
+    """The days on which each version is the newest of its (ticket, status), until the ticket is closed.
+
+    (trouble_id, status, version columns, first_day, last_day, closed_day); ``last_day`` may lie before ``first_day`` where a version never holds.
+    """
     ordered = "PARTITION BY trouble_id, status ORDER BY first_day"
-    spans = daily.selectExpr(
+    spans = known.selectExpr(
         *_KEY,
         f"max(v) OVER ({ordered} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS v",
         "first_day",
         f"lead(first_day) OVER ({ordered}) AS next_day",
         f"min(if(lower(status) <> '{OPEN}', first_day, NULL)) OVER (PARTITION BY trouble_id) AS closed_day",
     )
-    return (
-        spans.selectExpr(*_KEY, "v.*", "first_day", "date_sub(least(next_day, closed_day), 1) AS last_day")
-        .filter(_counts_as_open(problem_types, group))
-        .filter("last_day IS NULL OR first_day <= last_day")
-    )
+    return spans.selectExpr(*_KEY, "v.*", "first_day", "date_sub(least(next_day, closed_day), 1) AS last_day", "closed_day")
+
+
+def counting_spans(spans: DataFrame, problem_types: Sequence[str] = PROBLEM_TYPES, group: str = ASSIGNED_GROUP) -> DataFrame:
+    """The spans of versions that count as open, without empty ones."""
+    held = spans.filter(_counts_as_open(problem_types, group)).filter("last_day IS NULL OR first_day <= last_day")
+    return held.select(*_KEY, *_VERSION, "first_day", "last_day")
 
 
 def tickets_near_tower(
@@ -137,9 +151,14 @@ def tickets_near_tower(
     Only tickets created on or after the event day count. Which tower of a cohort is nearest does not depend on the
     run day, so that search runs once per ticket position and cohort.
     """
+    return spans_near_tower(open_spans(tickets, problem_types, group), events, coords, level, monitor, miles)
+
+
+def spans_near_tower(spans: DataFrame, events: DataFrame, coords: DataFrame, level: Level, monitor: Monitor, miles: float = NEAR_MILES) -> DataFrame:
+    """``tickets_near_tower`` from the spans in which tickets are open."""
     follow = monitor.follow_days
     spans = (
-        open_spans(tickets, problem_types, group)
+        spans
         .groupBy("create_date", "lat", "lng", "first_day", "last_day")
         .agg(F.expr("count(*) AS n"))
     )

@@ -51,6 +51,22 @@ def write_partitions(
     spark.catalog.refreshByPath(path)
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``write_partitions`` has written there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{SCHEMA_FOLDER}")
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
+def drop_partitions(spark: SparkSession, path: str, column: str, first: str) -> None:
+    """Remove the partitions of the leading partition column from the value ``first`` on."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}=*")) or []:
+        if status.getPath().getName().partition("=")[2] >= first:
+            files.delete(status.getPath(), True)
+    spark.catalog.refreshByPath(path)
+
+
 def read_partitions(spark: SparkSession, path: str) -> DataFrame:
     """A table written by ``write_partitions``; without rows if no partition is left."""
     schema = spark.read.parquet(f"{path}/{SCHEMA_FOLDER}").schema
