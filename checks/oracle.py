@@ -351,4 +351,18 @@ where not (t.table_name = 'raw files' and exists (
     "stream_parse": PARSED,
     "stream_to_files": PARSED,
     "stream_score": chain("select * from scored where has_abnormal_kpi = 1", **RUN),
+    "colocated_scores": chain("select * from scored", **RUN),
+    "kept_events": chain("select * from ev", **PANEL_EVENTS),
+    "kept_baselines": chain("select * from baseline", **RUN),
+    "ticket_history": chain(
+        """select day, trouble_id, status, create_date, modified_date, problem_type, assigned_group from open_then""",
+        pairs=f"select cast(date '{RANGE[0]}' + cast(k as int) as date) as day from range(date '{RANGE[1]}' - date '{RANGE[0]}') r(k)",
+        **base("tickets"),
+        as_of=NEAR["as_of"],
+        open_then=NEAR["open_then"],
+    ),
+    "kept_tickets_near": chain(
+        f"select * from near where day >= date '{RANGE[0]}' and day < date '{RANGE[1]}'",
+        **base("tower_coords", "tickets"), **PANEL_EVENTS, **COORDS, **RUN_DAYS, **NEAR
+    ),
 }

@@ -11,6 +11,7 @@ from checks.fixtures import derived, table
 from kpi_shift.functions import columns, dates
 from kpi_shift.functions.stage import new_folder, stage
 from kpi_shift.operators import alerts, audit, clean, context, events, impact, panels, score, tickets
+from kpi_shift.plans import colocated, history, incremental
 from kpi_shift.plans.monitoring import Run, monitor_panel, score_range
 from kpi_shift.session import configure
 from kpi_shift.sources import daily, sinks
@@ -25,6 +26,9 @@ AS_OF = "2024-01-31"
 RANGE = ("2024-01-18", "2024-01-28")
 SCAN_DAYS = ("2023-12-30", "2024-01-14")
 TICKET_DAY = "2024-01-20"
+# first days of the runs that keep the ticket history, and its end
+HISTORY_RUNS = ("2024-01-01", "2024-01-18", "2024-01-19", "2024-02-20")
+BUCKETS = 8
 LISTED_AS_OF = "2024-02-08"
 SNAPSHOT_DAY = "2024-01-16"
 WEEKDAY_TABLES = ("click", "view")
@@ -363,6 +367,55 @@ def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_alerts(spark, out)
 
 
+def colocated_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole run on a panel in catalog buckets."""
+    configure(spark)
+    path = new_folder(spark, "colocated_panel")
+    stored = colocated.write_colocated(derived(spark, sf_dir, "kpi_panel"), path.rsplit("/", 1)[-1].replace("-", "_"), path, TOWER, BUCKETS)
+    return colocated.monitor_colocated(stored, MONITOR).scored
+
+
+def _kept_days(spark: SparkSession, sf_dir: str) -> str:
+    """Event and baseline states, the newest days taken in first, one run after a correction."""
+    panel, path = _panel(spark, sf_dir), new_folder(spark, "states")
+    for start, end in (("2024-01-20", "2024-12-31"), ("2000-01-01", "2024-01-20"), ("2024-01-16", "2024-01-18")):
+        incremental.advance(panel, path, TOWER, MONITOR, start, end)
+    return path
+
+
+def kept_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return incremental.kept_events(spark, _kept_days(spark, sf_dir))
+
+
+def kept_baselines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return incremental.kept_baselines(spark, _kept_days(spark, sf_dir))
+
+
+def _kept_tickets(spark: SparkSession, sf_dir: str) -> str:
+    rows, path = stage(derived(spark, sf_dir, "tickets"), "tickets"), new_folder(spark, "history")
+    for start, end in zip(HISTORY_RUNS, HISTORY_RUNS[1:]):
+        history.advance_tickets(rows, path, start, end)
+    return path
+
+
+def ticket_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The open tickets of each run day, from the kept history."""
+    configure(spark)
+    spans = history.kept_spans(spark, _kept_tickets(spark, sf_dir), RANGE[0], problem_types=PROBLEM_TYPES)
+    last = F.date_sub(F.lit(RANGE[1]).cast("date"), 1)
+    days = F.sequence(F.greatest("first_day", F.lit(RANGE[0]).cast("date")), F.least("last_day", last))
+    held = spans.filter((F.col("first_day") <= last)).withColumn("day", F.explode(days))
+    return held.select("day", "trouble_id", "status", "create_date", "modified_date", "problem_type", "assigned_group")
+
+
+def kept_tickets_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near tickets of a range of run days, from the kept history."""
+    configure(spark)
+    spans = history.kept_spans(spark, _kept_tickets(spark, sf_dir), RANGE[0], problem_types=PROBLEM_TYPES)
+    near = tickets.spans_near_tower(spans, _events(_panel(spark, sf_dir)), tower_coords(spark, sf_dir), TOWER, MONITOR)
+    return near.filter(f"day >= DATE'{RANGE[0]}' AND day < DATE'{RANGE[1]}'")
+
+
 QUERIES = {
     "date_window": date_window,
     "clean_kpis": clean_kpis,
@@ -408,4 +461,9 @@ QUERIES = {
     "stream_parse": stream_parse,
     "stream_to_files": stream_to_files,
     "stream_score": stream_score,
+    "colocated_scores": colocated_scores,
+    "kept_events": kept_events,
+    "kept_baselines": kept_baselines,
+    "ticket_history": ticket_history,
+    "kept_tickets_near": kept_tickets_near,
 }
