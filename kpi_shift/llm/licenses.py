@@ -4,7 +4,9 @@ A text is cut into sentences; each is normalised and mapped to the identifier of
 identifiers, in text order, are matched against licence rules, the longest first; what a rule matches is taken out of the
 sequence, so a sentence counts for one licence only.
 
-Every text is cut, and every sentence is tried against all known ones at once before it is told which. Nothing is shuffled.
+Each pattern comes with a part that no sentence can do without (``NEEDS``; a test proves it from the patterns). These are of one word, so neither
+line breaks nor normalisation can hide them: a text, and then a sentence, without any of them is known to hold no licence sentence before it
+is cut or normalised. Nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -12,9 +14,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Read by the SQL in ``oracle`` only. They do not cover all known sentences ("all rights reserved" has none).
-HINTS = ("licen", "permission", "redistribut", "copyright", "warrant", "software is provided", "endorse", "in no event", "unencumbered", "advertising")
-
 # Sentences of well-known licence texts and notices, as patterns of their normalised form.
 _CC = r"(?:a |the )?(?:creative commons|cc)"
 SENTENCES = (
@@ -28,6 +27,7 @@ SENTENCES = (
     ("softwareAsIs", r"the software is provided as is,? without warranty of any kind.*"),
     ("noLiability", r"in no event shall the (?:authors?|copyright holders?|copyright owners?).* be liable.*"),
     ("mitName", r"(?:this .{0,60} is )?(?:licensed|released|distributed|available) under (?:the )?(?:terms of the )?mit licen[sc]e\b.*"),
+    ("mitName", r"(?:this .{0,60} is )?mit licen[sc]ed\b.*"),
     ("bsdGrant", r"redistribution and use in source and binary forms,? with or without modification,? are permitted.*"),
     ("bsdSource", r"(?:\W*\d?\W*)?redistributions of source code must retain the above copyright notice.*"),
     ("bsdBinary", r"(?:\W*\d?\W*)?redistributions in binary form must reproduce the above copyright notice.*"),
@@ -37,6 +37,9 @@ SENTENCES = (
     ("bsd3Name", r"(?:this .{0,60} is )?(?:licensed|released|distributed) under (?:the |a )?(?:terms of the )?(?:bsd 3 clause|3 clause bsd|new bsd|modified bsd) licen[sc]e.*"),
     ("bsd2Name", r"(?:this .{0,60} is )?(?:licensed|released|distributed) under (?:the |a )?(?:terms of the )?(?:bsd 2 clause|2 clause bsd|simplified bsd) licen[sc]e.*"),
     ("iscGrant", r"permission to use,? copy,? modify,? and(?: or)? distribute this software for any purpose with or without fee is hereby granted.*"),
+    ("agpl3Plus", r".*gnu affero general public licen[sc]e.*(?:version 3|v3).*(?:any later version|or later).*"),
+    ("lgpl3Plus", r".*gnu lesser general public licen[sc]e.*(?:version 3|v3).*(?:any later version|or later).*"),
+    ("lgpl21Plus", r".*gnu lesser general public licen[sc]e.*(?:version 2\.1|v2\.1).*(?:any later version|or later).*"),
     ("gpl3Plus", r".*gnu general public licen[sc]e.*(?:version 3|v3).*(?:any later version|or later).*"),
     ("gpl2Plus", r".*gnu general public licen[sc]e.*(?:version 2|v2).*(?:any later version|or later).*"),
     ("agpl3", r".*(?:under|of) the gnu affero general public licen[sc]e.*(?:version 3|v3).*"),
@@ -47,7 +50,7 @@ SENTENCES = (
     ("gplNoWarranty", r"this (?:program|software|library) is distributed in the hope that it will be useful,? but without any warranty.*"),
     ("gplDetails", r"see the gnu (?:lesser |affero )?general public licen[sc]e for more details"),
     ("mpl2", r"this source code form is subject to the terms of the mozilla public licen[sc]e,? v ?\.? ?2\.0"),
-    ("epl2", r".*under the terms of the eclipse public licen[sc]e (?:v|version )? ?2\.0.*"),
+    ("epl2", r".*under the terms of the eclipse public licen[sc]e,? (?:v\.?|version )? ?2\.0.*"),
     ("unlicense", r"this is free and unencumbered software released into the public domain"),
     ("cc0", rf".*(?:licensed|released|dedicated|available).* under {_CC} ?(?:0|zero)\b.*"),
     ("ccByNcSa", rf".*(?:licensed|released|available|distributed) under {_CC} (?:by nc sa|attribution non ?commercial share ?alike) (\d\.\d).*"),
@@ -59,6 +62,23 @@ SENTENCES = (
     ("allRights", r"(?:copyright .*)?all rights reserved"),
     ("spdx", r"spdx licen[sc]e identifier ([a-z0-9.+ ]+)"),
 )
+# Parts of which every known sentence has one.
+NEEDS = (
+    "licen[sc]e",
+    "permission",
+    "portions",
+    "warrant",
+    "liable",
+    "redistribution",
+    "advertising",
+    "endorse",
+    "unencumbered",
+    "creative",
+    "cc",
+    "reserved",
+)
+#: "cc" begins a word; what stands before it in a text is no letter.
+NEEDED = "(?i)" + "|".join(rf"(?<!\p{{L}}){n}" if n == "cc" else n for n in NEEDS)
 #: A sentence matches this if and only if it matches one of the patterns.
 KNOWN = "^(?:" + "|".join(f"(?:{p})" for _, p in SENTENCES) + ")$"
 # Rules in the order in which they are tried. "<id>" is a sentence, with its version where it has one.
@@ -69,6 +89,9 @@ RULES = (
     ("MIT", "<mitGrant><mitNotice>(?:<softwareAsIs>)?(?:<noLiability>)?"),
     ("ISC", "<iscGrant>(?:<softwareAsIs>)?(?:<noLiability>)?"),
     ("Apache-2.0", "<apache2>(?:<apacheUse>)?(?:<apacheCopy>)?(?:<apacheAsIs>)?"),
+    ("AGPL-3.0-or-later", "<agpl3Plus>(?:<gplNoWarranty>)?(?:<gplDetails>)?"),
+    ("LGPL-3.0-or-later", "<lgpl3Plus>(?:<gplNoWarranty>)?(?:<gplDetails>)?"),
+    ("LGPL-2.1-or-later", "<lgpl21Plus>(?:<gplNoWarranty>)?(?:<gplDetails>)?"),
     ("GPL-3.0-or-later", "<gpl3Plus>(?:<gplNoWarranty>)?(?:<gplDetails>)?"),
     ("GPL-2.0-or-later", "<gpl2Plus>(?:<gplNoWarranty>)?(?:<gplDetails>)?"),
     ("AGPL-3.0", "<agpl3>(?:<gplNoWarranty>)?(?:<gplDetails>)?"),
@@ -101,12 +124,17 @@ def _normal(sentence: Column) -> Column:
 
 
 def sentences(text: Column, lines: bool) -> Column:
-    """Normalised sentences: up to a stop before a blank, and to a line's end too if ``lines``."""
+    """Normalised sentences that may be known ones: up to a stop before a blank, and to a line's end too if ``lines``.
+
+    A semicolon ends none, nor does the stop of "v." before a number.
+    """
     gap = r"\s*\n\s*" if lines else r"\n\s*\n\s*"
     # a licence identifier with its mark is a sentence
     kept = F.regexp_replace(text, r"(?i)spdx-license-identifier\s*:\s*([a-z0-9.+-]+)", "\x01spdx license identifier $1\x01")
-    cut = F.regexp_replace(F.regexp_replace(kept, gap, "\x01"), r"([.!?;:])\s+", "$1\x01")
-    return F.filter(F.transform(F.split(cut, "\x01"), _normal), lambda s: s != "")
+    kept = F.regexp_replace(kept, r"(?i)\bv\.[ \t\n\r]+([0-9])", "v.$1")
+    cut = F.regexp_replace(F.regexp_replace(kept, gap, "\x01"), r"([.!?:])\s+", "$1\x01")
+    maybe = F.filter(F.split(cut, "\x01"), lambda s: s.rlike(NEEDED))
+    return F.filter(F.transform(maybe, _normal), lambda s: s != "")
 
 
 def identifier(sentence: Column) -> Column:
@@ -146,7 +174,8 @@ def scan_licenses(documents: DataFrame, keep: tuple[str, ...] = ("doc_id",)) ->
     ``sentence_ids`` is the reading that knows more sentences. A null or empty text has none; repeated rows are scanned each for itself; an empty
     table gives an empty result; columns other than ``keep`` and ``text`` are not read.
     """
-    text = F.coalesce(F.col("text"), F.lit(""))
+    # what lacks every needed part is as good as empty
+    text = F.when(F.col("text").rlike(NEEDED), F.col("text")).otherwise(F.lit(""))
     none = F.array().cast("array<string>")
 
     def ids(lines: bool) -> Column:

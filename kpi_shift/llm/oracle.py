@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from kpi_shift.llm.licenses import HINTS, RULES, SENTENCES
+from kpi_shift.llm.licenses import RULES, SENTENCES
 
 _CAPITALS, _SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -147,7 +147,8 @@ def _text(value: str) -> str:
 def _reading(name: str, gap: str) -> str:
     """Common table expressions: sentences of one reading with their identifiers, and what each rule finds."""
     kept = rf"regexp_replace(text, 'spdx-license-identifier\s*:\s*([a-z0-9.+-]+)', chr(1) || 'spdx license identifier \1' || chr(1), 'gi')"
-    cut = rf"regexp_replace(regexp_replace({kept}, '{gap}', chr(1), 'g'), '([.!?;:])\s+', '\1' || chr(1), 'g')"
+    kept = rf"regexp_replace({kept}, '\bv\.[ \t\n\r]+([0-9])', 'v.\1', 'gi')"
+    cut = rf"regexp_replace(regexp_replace({kept}, '{gap}', chr(1), 'g'), '([.!?:])\s+', '\1' || chr(1), 'g')"
     words = r"regexp_replace(regexp_replace(lower(raw), '[^\p{L}\p{N}.,+]+', ' ', 'g'), ' +([.,])', '\1', 'g')"
     cases = []
     for identifier, pattern in SENTENCES:
@@ -156,7 +157,7 @@ def _reading(name: str, gap: str) -> str:
             value = f"'<{identifier} ' || replace(trim(regexp_extract(s, {_text(f'^(?:{pattern})$')}, 1)), ' ', '-') || '>'"
         cases.append(f"when regexp_full_match(s, {_text(pattern)}) then {value}")
     steps = [
-        f"{name}_cut as (select doc_id, string_split({cut}, chr(1)) as parts from hinted)",
+        f"{name}_cut as (select doc_id, string_split({cut}, chr(1)) as parts from texts)",
         f"{name}_raw as (select doc_id, unnest(parts) as raw, generate_subscripts(parts, 1) as i from {name}_cut)",
         rf"{name}_s as (select doc_id, i, regexp_replace({words}, '^[ .,]+|[ .,]+$', '', 'g') as s from {name}_raw)",
         f"{name}_told as (select doc_id, i, case {' '.join(cases)} end as id from {name}_s where s <> '')",
@@ -172,10 +173,9 @@ def _reading(name: str, gap: str) -> str:
 
 
 def license_scan() -> str:
-    hints = " or ".join(f"contains(lower(text), '{h}')" for h in HINTS)
     hits = " union ".join(f"select doc_id, licence from {r}_hit{k}" for r in ("line", "across") for k in range(len(RULES)))
     return rf"""
-with hinted as (select doc_id, text from documents where {hints}),
+with texts as (select doc_id, coalesce(text, '') as text from documents),
 {_reading("line", r"\s*\n\s*")},
 {_reading("across", r"\n\s*\n\s*")},
 found as (select doc_id, string_agg(licence, ',' order by licence) as licenses from ({hits}) group by doc_id)

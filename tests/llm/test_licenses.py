@@ -1,3 +1,5 @@
+from re import _parser as parser
+
 import pytest
 
 from kpi_shift.llm import licenses
@@ -41,9 +43,74 @@ def test_rules(spark):
     assert "Python" not in docs.sparkSession._jvm.PythonSQLUtils.explainString(licenses.scan_licenses(docs)._jdf.queryExecution(), "simple")
 
 
-@pytest.mark.parametrize("text", [t for t, found in CASES.items() if found])
-def test_hints_cover_the_known_sentences(text):
-    assert any(h in text.lower() for h in licenses.HINTS)
+def needs(items, wanted):
+    """Whether everything that a parsed pattern matches has one of ``wanted``, as a run of letters and letter classes."""
+    run = []
+    for op, value in [*items, (None, None)]:
+        if str(op) in ("LITERAL", "IN"):
+            run.append((op, value))
+            continue
+        named = [(str(o), str(v)) for o, v in run]
+        if any(w == named[i : i + len(w)] for w in wanted for i in range(len(named))):
+            return True
+        # the parser takes what alternatives begin with out of them
+        if str(op) == "BRANCH" and all(needs([*run, *part], wanted) for part in value[1]):
+            return True
+        if str(op) == "SUBPATTERN" and needs(value[3], wanted):
+            return True
+        run = []
+    return False
+
+
+@pytest.mark.parametrize("name, pattern", licenses.SENTENCES)
+def test_no_known_sentence_can_do_without_its_needs(name, pattern):
+    assert not any(c in "k " for n in licenses.NEEDS for c in n)  # the only letter that another one is lower-cased to
+    wanted = [[(str(op), str(value)) for op, value in parser.parse(n)] for n in licenses.NEEDS]
+    assert needs(parser.parse(pattern), wanted)
+
+
+HEADERS = {
+    "GPL-2.0-or-later": """    This program is free software; you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation; either version 2 of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+    GNU General Public License for more details.""",
+    "LGPL-2.1-or-later": """ * This library is free software; you can redistribute it and/or
+ * modify it under the terms of the GNU Lesser General Public
+ * License as published by the Free Software Foundation; either
+ * version 2.1 of the License, or (at your option) any later version.""",
+    "GPL-3.0-or-later": """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.""",
+    "AGPL-3.0-or-later": """You can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by
+the Free Software Foundation, either version 3 of the License, or (at your option) any later version.""",
+    "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at http://mozilla.org/MPL/2.0/.""",
+    "Apache-2.0": """   Licensed under the Apache License, Version 2.0 (the "License");
+   you may not use this file except in compliance with the License.
+   You may obtain a copy of the License at
+
+       http://www.apache.org/licenses/LICENSE-2.0
+
+   Unless required by applicable law or agreed to in writing, software
+   distributed under the License is distributed on an "AS IS" BASIS,
+   WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.""",
+    "MIT": "left-pad is MIT licensed.\nMIT licensed.",
+    "EPL-2.0": """This program and the accompanying materials are made available under the
+terms of the Eclipse Public License v. 2.0 which is available at https://www.eclipse.org/legal/epl-2.0.""",
+}
+
+
+def test_headers_as_they_are_published(spark):
+    docs = documents(spark, [f"import x\n\n{t}\n\ncode" for t in HEADERS.values()])
+    rows = {r.doc_id: r.licenses for r in licenses.scan_licenses(docs).collect()}
+    assert [rows[i] for i in range(len(HEADERS))] == [[name] for name in HEADERS]
 
 
 CC = "Released under CC {}."
@@ -56,7 +123,7 @@ EXAMPLES = {
     "mitNotice": ["The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."],
     "softwareAsIs": ['The software is provided "as is", without warranty of any kind.'],
     "noLiability": ["In no event shall the authors be liable."],
-    "mitName": ["Available under the MIT License."],
+    "mitName": ["Available under the MIT License.", "This package is MIT licensed."],
     "bsdGrant": ["Redistribution and use in source and binary forms, with or without modification, are permitted."],
     "bsdSource": ["Redistributions of source code must retain the above copyright notice."],
     "bsdBinary": ["Redistributions in binary form must reproduce the above copyright notice."],
@@ -66,6 +133,9 @@ EXAMPLES = {
     "bsd3Name": ["Released under the 3-Clause BSD License."],
     "bsd2Name": ["Released under the 2-Clause BSD License."],
     "iscGrant": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted."],
+    "agpl3Plus": ["Under the GNU Affero General Public License, version 3 or any later version."],
+    "lgpl3Plus": ["Under the GNU Lesser General Public License, version 3 or any later version."],
+    "lgpl21Plus": ["Under the GNU Lesser General Public License, version 2.1 or later."],
     "gpl3Plus": ["Under the GNU General Public License, version 3 or any later version."],
     "gpl2Plus": ["Under the GNU General Public License, version 2 or any later version."],
     "agpl3": ["Under the GNU Affero General Public License, version 3."],
