@@ -3,13 +3,16 @@
 Documents with the same set of shingles form a class and are compared once. A class's MinHash signature turns Jaccard
 similarity into the share of equal places. A path is a list of places: every run starts one by sampling a place, and puts
 classes with the same token there into a bucket. Two classes of similarity s meet in a run with probability s, and runs are
-repeated until the chance to miss a pair is below 1 - ``RECALL``. A bucket that is too large is split again on further
-sampled places, as many as keep that recall. One whose members mostly agree would not get smaller by that; it is compared
-block against block, spread over tasks.
+repeated until the chance to miss a pair is below 1 - ``RECALL``. A bucket that is too large is not compared. Its members go on to
+the next level, where paths have one place more, and whole runs are repeated as often as the pair's lower chance to meet, s to the
+power of the path's length, demands for the same recall. A run puts a class into one bucket, so no level makes
+more than its runs times the classes that still need it. A bucket whose members mostly agree would not get smaller by that;
+it is compared block against block, spread over tasks.
 
 Small buckets are compared by brute force, first on signatures, to learn which classes need their shingles at all, then
-exactly. A pair belongs to the first of the buckets in which it can meet, so each link counts once and no pair leaves its
-bucket: results are link counts per class and one edge to a bucket's local group. Groups are the connected components.
+exactly. A pair belongs to the first run of the first level in which it meets, or, where that bucket was left to the next level, to the first run
+there; so each link counts once and no pair leaves its bucket: results are link counts per class and one edge to a bucket's local group.
+Groups are the connected components.
 """
 
 from __future__ import annotations
@@ -33,6 +36,8 @@ SIMILARITY = 0.8
 PLACES = 64
 RECALL = 0.99999
 LEAF = 1024
+#: Shingles of a leaf: fewer members if their texts are long.
+LEAF_SHINGLES = 8 << 20
 DEPTH = 4
 DENSE = 0.3
 _U = np.uint64
@@ -44,6 +49,20 @@ def runs(similarity: float, recall: float = RECALL) -> int:
     return max(1, math.ceil(math.log(1 - recall) / math.log(1 - similarity)))
 
 
+def levels(similarity: float, recall: float = RECALL, depth: int = DEPTH) -> list[list[tuple[int, ...]]]:
+    """The paths of each level's runs: one place on the first, one more on each that follows. The first two levels share no place."""
+    draw = np.random.default_rng(11)
+    unused = draw.permutation(PLACES).tolist()
+    out = []
+    for size in range(1, depth + 1):
+        paths = []
+        for _ in range(runs(similarity**size, recall)):
+            taken = [unused.pop() for _ in range(size)] if len(unused) >= size else draw.choice(PLACES, size, replace=False).tolist()
+            paths.append(tuple(taken))
+        out.append(paths)
+    return out
+
+
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text. A text of fewer words than a shingle is one shingle; without words, none."""
     words, _, _, counts = hashed_words(data, offsets, SPACED)
@@ -74,48 +93,73 @@ def _set_key(found: np.ndarray) -> bytes:
 def _describe(with_signature: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, signatures = [], []
+            keys, signatures, sizes = [], [], []
             for _, _, data, offsets in texts_of(batch.column(batch.schema.get_field_index("text"))):
                 for found in shingle_sets(data, offsets):
                     keys.append(_set_key(found) if len(found) else None)
                     if with_signature:
                         signatures.append(signature(found) if len(found) else np.zeros(0, np.int32))
+                        sizes.append(len(found))
             if not with_signature:
                 yield batch.append_column("key", pa.array(keys, pa.binary()))
                 continue
             cuts = np.concatenate(([0], np.cumsum([len(s) for s in signatures]))).astype(np.int32)
             flat = np.concatenate(signatures) if signatures else np.zeros(0, np.int32)
             places = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(flat, pa.int32()))
-            yield batch.drop_columns(["text"]).append_column("key", pa.array(keys, pa.binary())).append_column("places", places)
+            told = batch.drop_columns(["text"]).append_column("key", pa.array(keys, pa.binary()))
+            yield told.append_column("places", places).append_column("size", pa.array(sizes, pa.int64()))
 
     return run
 
 
-def _allowed(places: np.ndarray, side: np.ndarray, cross: bool, earlier: list[int]) -> np.ndarray:
-    """Pairs (row before column) that belong to this bucket: they do not agree in a place that an earlier bucket sampled."""
-    n = len(places)
+def _allowed(places: np.ndarray, rows: pa.Table, plan: list[list[tuple[int, ...]]]) -> np.ndarray:
+    """Pairs (row before column) that belong to this bucket: neither compared on an earlier level nor met in an earlier run of this one."""
+    n, run = len(places), rows.column("run")[0].as_py()
     pairs = np.triu(np.ones((n, n), bool), 1)
-    if cross:
+    if rows.column("cross")[0].as_py():
+        side = rows.column("side").to_numpy()
         pairs &= side[:, None] != side[None, :]
-    for c in earlier:
-        pairs &= places[:, c][:, None] != places[:, c][None, :]
+
+    def agree(path: tuple[int, ...]) -> np.ndarray:
+        out = places[:, path[0]][:, None] == places[:, path[0]][None, :]
+        for place in path[1:]:
+            out &= places[:, place][:, None] == places[:, place][None, :]
+        return out
+
+    first, left = 0, rows.column("left").to_pylist()
+    for paths in plan:
+        if run < first + len(paths):
+            for path in paths[: run - first]:
+                pairs &= ~agree(path)
+            return pairs
+        undecided = pairs.copy()
+        for number, path in enumerate(paths, first):
+            met = undecided & agree(path)
+            compared = np.array([number not in passed for passed in left])
+            pairs &= ~(met & compared[:, None])
+            undecided &= ~met
+        first += len(paths)
     return pairs
 
 
-def _candidates(rows: pa.Table) -> pa.Table | None:
+def _candidates(similarity: float, plan: list[list[tuple[int, ...]]]):
     """Members of a bucket whose signature is near another's."""
-    n = rows.num_rows
-    places = np.asarray(rows.column("places").combine_chunks().flatten()).reshape(n, PLACES)
-    pairs = _allowed(places, rows.column("side").to_numpy(), rows.column("cross")[0].as_py(), rows.column("earlier")[0].as_py())
-    spread = 5 * math.sqrt(SIMILARITY * (1 - SIMILARITY) / PLACES)
-    least = math.floor((SIMILARITY - spread) * PLACES)
-    near = np.zeros(n, bool)
-    for at in range(0, n, 64):
-        equal = (places[at : at + 64, None, :] == places[None, :, :]).sum(axis=2, dtype=np.int16)
-        hit = (equal >= least) & pairs[at : at + 64]
-        near[at : at + 64] |= hit.any(axis=1)
-        near |= hit.any(axis=0)
-    return rows.filter(pa.array(near)).drop_columns(["places"]) if near.any() else None
+    spread = 5 * math.sqrt(similarity * (1 - similarity) / PLACES)
+    least = math.floor((similarity - spread) * PLACES)
+
+    def run(rows: pa.Table) -> pa.Table | None:
+        n = rows.num_rows
+        places = np.asarray(rows.column("places").combine_chunks().flatten()).reshape(n, PLACES)
+        pairs = _allowed(places, rows, plan)
+        near = np.zeros(n, bool)
+        for at in range(0, n, 64):
+            equal = (places[at : at + 64, None, :] == places[None, :, :]).sum(axis=2, dtype=np.int16)
+            hit = (equal >= least) & pairs[at : at + 64]
+            near[at : at + 64] |= hit.any(axis=1)
+            near |= hit.any(axis=0)
+        return rows.filter(pa.array(near)).drop_columns(["places"]) if near.any() else None
+
+    return run
 
 
 def _common(sets: list[np.ndarray]) -> np.ndarray:
@@ -130,12 +174,12 @@ def _common(sets: list[np.ndarray]) -> np.ndarray:
     number = np.cumsum(shared) - 1
     keep = shared[token]
     token, owner = number[token[keep]], owner[keep]
-    total = np.zeros((n, n), np.int64)
+    total = np.zeros((n, n), np.int32)
     for at in range(0, int(shared.sum()), 4096):
         a, b = np.searchsorted(token, [at, at + 4096])
         part = np.zeros((n, 4096), np.float32)
         part[owner[a:b], token[a:b] - at] = 1
-        total += np.rint(part @ part.T).astype(np.int64)
+        total += np.rint(part @ part.T).astype(np.int32)
     return total
 
 
@@ -151,16 +195,16 @@ def _local_groups(links: np.ndarray) -> np.ndarray:
         label = new
 
 
-def _exact(similarity: float):
+def _exact(similarity: float, plan: list[list[tuple[int, ...]]]):
     share = Fraction(similarity).limit_denominator(10_000)
 
     def run(rows: pa.Table) -> pa.Table | None:
         sets = [np.frombuffer(b, "<u8") for b in rows.column("shingles").to_pylist()]
         places = np.array([signature(s) for s in sets])
-        pairs = _allowed(places, rows.column("side").to_numpy(), rows.column("cross")[0].as_py(), rows.column("earlier")[0].as_py())
+        pairs = _allowed(places, rows, plan)
         common, size = _common(sets), np.array([len(s) for s in sets])
         # |A n B| / (|A| + |B| - |A n B|) >= p / q, in integers
-        links = pairs & (common * (share.denominator + share.numerator) >= share.numerator * (size[:, None] + size[None, :]))
+        links = pairs & (common.astype(np.int64) * (share.denominator + share.numerator) >= share.numerator * (size[:, None] + size[None, :]))
         links |= links.T
         linked = np.flatnonzero(links.any(axis=1))
         if not len(linked):
@@ -193,36 +237,35 @@ def _with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], ["key", "copies", "shingles"])
 
 
-def _counted(rows: DataFrame) -> DataFrame:
-    """Memberships of buckets with at least two members, with the number ``n``."""
-    sizes = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    return lookup_join(rows, sizes, ["bucket"], summarised=True)
+def _counted(rows: DataFrame, leaf: int) -> DataFrame:
+    """Memberships of buckets with at least two members, with their size ``n`` in members; members of long texts count for more."""
+    weight = F.ceil(F.sum("size") * leaf / LEAF_SHINGLES)
+    sizes = rows.groupBy("bucket").agg(F.count("*").alias("m"), F.greatest(F.count("*"), weight).alias("n")).where("m > 1").drop("m")
+    return lookup_join(rows.drop("size"), sizes, ["bucket"], summarised=True)
 
 
-def _split(rows: DataFrame, repeats: int) -> DataFrame:
-    """Members of large buckets in the buckets of further sampled places."""
-    place = [F.pmod(F.xxhash64("bucket", F.lit(b)), F.lit(PLACES)).cast("int") for b in range(repeats)]
-    kids = F.array(
-        *[
-            F.struct(
-                F.xxhash64("bucket", F.lit(b), F.element_at("places", place[b] + 1)).alias("bucket"),
-                F.array_union("earlier", F.array(*place[:b]).cast("array<int>")).alias("earlier"),
-            )
-            for b in range(repeats)
-        ]
-    )
-    made = rows.select("key", "places", F.explode(kids).alias("kid"))
-    return made.select("kid.bucket", F.lit(0).alias("side"), F.lit(False).alias("cross"), "kid.earlier", "key", "places")
+def _started(classes: DataFrame, paths: list[tuple[int, ...]], first: int) -> DataFrame:
+    """(key, size, bucket, run): each class in one bucket of each run; runs are numbered from ``first``."""
+    starts = [
+        F.struct(F.xxhash64(F.lit(run), *[F.element_at("places", place + 1) for place in path]).alias("bucket"), F.lit(run).alias("run"))
+        for run, path in enumerate(paths, first)
+    ]
+    return classes.select("key", "size", F.explode(F.array(*starts)).alias("start")).select("key", "size", "start.bucket", "start.run")
 
 
-def _dense(rows: DataFrame) -> DataFrame:
-    """Large buckets whose members mostly agree: the share of pairs that agree in one more sampled place is high."""
-    place = F.pmod(F.xxhash64("bucket", F.lit(-1)), F.lit(PLACES)).cast("int")
-    same = rows.groupBy("bucket", F.element_at("places", place + 1).alias("token")).agg(F.count("*").alias("m"), F.first("n").alias("n"))
-    share = F.sum(F.col("m") * F.col("m")) / F.first(F.col("n") * F.col("n"))
+def _dense(rows: DataFrame, plan: list[list[tuple[int, ...]]]) -> DataFrame:
+    """Large buckets whose members mostly agree: the share of pairs that agree in one more place is high."""
+    paths = F.array(*[F.array(*[F.lit(c) for c in path]) for level in plan for path in level])
+    others = F.array_except(F.array(*[F.lit(c) for c in range(PLACES)]), F.element_at(paths, F.col("run") + 1))
+    place = F.element_at(others, F.pmod(F.xxhash64("bucket", F.lit(-1)), F.size(others)).cast("int") + 1)
+    same = rows.groupBy("bucket", F.element_at("places", place + 1).alias("token")).agg(F.count("*").alias("m"))
+    share = F.sum(F.col("m") * F.col("m")) / (F.sum("m") * F.sum("m"))
     return same.groupBy("bucket").agg(share.alias("share")).where(F.col("share") >= DENSE).select("bucket")
 
 
+_MEMBER = ["bucket", "side", "cross", "run", "left", "key", "places"]
+
+
 def _blocks(rows: DataFrame, leaf: int) -> DataFrame:
     """Members of a dense bucket in the buckets of all pairs of blocks of the size of a leaf."""
     n_blocks = F.ceil(F.col("n") / leaf).cast("int")
@@ -230,35 +273,37 @@ def _blocks(rows: DataFrame, leaf: int) -> DataFrame:
     out = rows.withColumn("n_blocks", n_blocks).withColumn("own", own)
     out = out.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
     pair = F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other"))
-    return out.select(pair.alias("bucket"), F.col("own").alias("side"), (F.col("own") != F.col("other")).alias("cross"), "earlier", "key", "places")
+    cross = F.col("own") != F.col("other")
+    return out.withColumns({"side": F.col("own"), "cross": cross, "bucket": pair}).select(*_MEMBER)
 
 
-def leaves(classes: DataFrame, similarity: float = SIMILARITY, leaf: int = LEAF, recall: float = RECALL) -> DataFrame:
-    """Buckets that brute force can handle: (bucket, side, cross, earlier, key, places), two members at least in each.
+def leaves(classes: DataFrame, plan: list[list[tuple[int, ...]]], leaf: int = LEAF) -> DataFrame:
+    """Buckets that brute force can handle: (bucket, side, cross, run, left, key, places), two members at least in each.
 
-    ``earlier`` are the places on which buckets that come before this one were split; ``cross`` says that only members of
+    ``left`` are the earlier runs in which the class's bucket was left to the next level; ``cross`` says that only members of
     different ``side`` are to be compared.
     """
-    repeats = runs(similarity, recall)
-    chosen = np.random.default_rng(11).permutation(PLACES)[:repeats].tolist()
-    starts = [F.struct(F.xxhash64(F.lit(r), F.element_at("places", c + 1)).alias("bucket"), F.lit(r).alias("run")) for r, c in enumerate(chosen)]
-    rows = classes.select("key", F.explode(F.array(*starts)).alias("start")).select("key", "start.bucket", "start.run")
-    earlier = F.array(*[F.array(*[F.lit(c) for c in chosen[:r]]).cast("array<int>") for r in range(repeats)])
-    met = _counted(rows).withColumns({"earlier": F.element_at(earlier, F.col("run") + 1), "side": F.lit(0), "cross": F.lit(False)})
-    columns = ["bucket", "side", "cross", "earlier", "key", "places"]
-    rows = stage(met.join(classes.select("key", "places"), "key").select(*columns, "n"), "buckets")
-    done = rows.where(F.col("n") <= leaf).select(*columns)
-    large = rows.where(F.col("n") > leaf)
-    for _ in range(DEPTH):
+    done, first = None, 0
+    going = classes.select("key", "size", "places", F.array().cast("array<int>").alias("left"))
+    for paths in plan:
+        met = _counted(_started(going, paths, first), leaf)
+        rows = met.join(going.select("key", "places", "left"), "key").withColumns({"side": F.lit(0), "cross": F.lit(False)})
+        rows = stage(rows.select(*_MEMBER, "n"), "buckets")
+        small = rows.where(F.col("n") <= leaf).select(*_MEMBER)
+        done = small if done is None else done.unionByName(small)
+        large = rows.where(F.col("n") > leaf)
+        first += len(paths)
         if large.isEmpty():
             return done
-        dense = stage(_dense(large), "dense")
+        if paths is plan[-1]:
+            return done.unionByName(_blocks(large, leaf))
+        dense = stage(_dense(large, plan), "dense")
         done = done.unionByName(_blocks(large.join(dense, "bucket", "left_semi"), leaf))
-        kids = _counted(_split(large.join(dense, "bucket", "left_anti"), repeats))
-        rows = stage(kids.select(*columns, "n"), "buckets")
-        done = done.unionByName(rows.where(F.col("n") <= leaf).select(*columns))
-        large = rows.where(F.col("n") > leaf)
-    return done.unionByName(_blocks(large, leaf))
+        # one row per class; a class has no more large buckets than the level has runs
+        passed = large.join(dense, "bucket", "left_anti").groupBy("key").agg(F.first("left").alias("before"), F.collect_list("run").alias("now"))
+        still = passed.select("key", F.concat("before", "now").alias("left"))
+        going = stage(classes.select("key", "size", "places").join(still, "key"), "going")
+    return done
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -278,27 +323,28 @@ def components(edges: DataFrame) -> DataFrame:
 
 def similar_classes(documents: DataFrame, similarity: float = SIMILARITY, leaf: int = LEAF) -> tuple[DataFrame, DataFrame]:
     """Rows (doc_id, key), and per key ``copies``, its group's ``root`` and ``class_id`` (least doc_id), ``n_texts`` and ``n_links``."""
-    described = documents.select("doc_id", "text").mapInArrow(_describe(True), f"doc_id {_id_type(documents)}, key binary, places array<int>")
+    plan = levels(similarity)
+    described = documents.select("doc_id", "text").mapInArrow(_describe(True), f"doc_id {_id_type(documents)}, key binary, places array<int>, size bigint")
     described = stage(described, "signatures")
     classes = described.where("key is not null").groupBy("key").agg(
-        F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.first("places").alias("places")
+        F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.first("places").alias("places"), F.first("size").alias("size")
     )
     classes = stage(classes, "classes")
-    near = by_bucket(leaves(classes, similarity, leaf))
-    near = near.mapInArrow(each_bucket(_candidates), "bucket bigint, side int, cross boolean, earlier array<int>, key binary")
+    near = by_bucket(leaves(classes, plan, leaf))
+    near = near.mapInArrow(each_bucket(_candidates(similarity, plan)), "bucket bigint, side int, cross boolean, run int, left array<int>, key binary")
     near = stage(near, "candidates")
     wanted = near.select("key").distinct().join(classes.select("key", "copies", "first_id"), "key")
     texts = documents.select("doc_id", "text").join(wanted, documents.doc_id.eqNullSafe(wanted.first_id)).select("text", "key", "copies")
     sets = stage(texts.mapInArrow(_with_sets, "key binary, copies bigint, shingles binary").dropDuplicates(["key"]), "shingles")
-    compared = by_bucket(near.join(sets, "key").select("bucket", "side", "cross", "earlier", "key", "copies", "shingles"))
-    found = compared.mapInArrow(each_bucket(_exact(similarity)), "key binary, other binary, n_texts bigint, n_links bigint")
+    compared = by_bucket(near.join(sets, "key").select("bucket", "side", "cross", "run", "left", "key", "copies", "shingles"))
+    found = compared.mapInArrow(each_bucket(_exact(similarity, plan)), "key binary, other binary, n_texts bigint, n_links bigint")
     found = stage(found, "links")
     counts = found.groupBy("key").agg(F.sum("n_texts").alias("n_texts"), F.sum("n_links").alias("n_links"))
     told = classes.select("key", "first_id", "copies").join(components(found), "key", "left").join(counts, "key", "left")
     told = told.withColumns({"root": F.coalesce("root", "key"), "n_texts": F.coalesce("n_texts", F.lit(0)), "n_links": F.coalesce("n_links", F.lit(0))})
     told = stage(told, "groups")
     least = told.groupBy("root").agg(F.min("first_id").alias("class_id"))
-    return described.select("doc_id", "key"), told.join(least, "root").select("key", "root", "copies", "class_id", "n_texts", "n_links")
+    return described.select("doc_id", "key"), lookup_join(told, least, ["root"], summarised=True).select("key", "root", "copies", "class_id", "n_texts", "n_links")
 
 
 def _id_type(documents: DataFrame) -> str:

@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from kpi_shift.llm import jaccard
@@ -39,7 +41,7 @@ def case(family=40):
     return pairs
 
 
-@pytest.mark.parametrize("leaf", [1024, 8])
+@pytest.mark.parametrize("leaf", [1024, 20, 5])
 def test_equals_brute_force(spark, leaf):
     pairs = case()
     found = jaccard.near_duplicates(clashing(documents(spark, pairs)), leaf=leaf)
@@ -63,3 +65,31 @@ def test_empty_table_and_no_links(spark):
 
 def test_runs_reach_the_recall():
     assert jaccard.runs(0.8) == 8 and 1 - 0.2 ** jaccard.runs(0.8) >= jaccard.RECALL
+
+
+def test_deep_levels_keep_the_recall_and_count_a_pair_once():
+    """Pairs of signatures that agree in each place with their similarity, all buckets of the first levels left to the next."""
+    plan = jaccard.levels(0.8)
+    assert [len(paths) for paths in plan] == [jaccard.runs(0.8**d) for d in (1, 2, 3, 4)] and plan[1][0][0] not in {p for q in plan[0] for p in q}
+    rng = np.random.default_rng(1)
+    for deep in range(4):  # the level on which buckets are small enough
+        first, n = [sum(len(p) for p in plan[:d]) for d in range(5)], 2000
+        agree = rng.random((n, jaccard.PLACES)) < 0.8
+        found = np.zeros(n, int)
+        for i in range(n):
+            places = np.stack([np.zeros(jaccard.PLACES, int), np.where(agree[i], 0, 1)])
+            left = [r for d in range(deep) for r, path in enumerate(plan[d], first[d]) if agree[i, list(path)].all()]
+            if any(not set(range(first[d], first[d + 1])) & set(left) for d in range(deep)):
+                continue  # never met there
+            for run, path in enumerate(plan[deep], first[deep]):
+                if agree[i, list(path)].all():
+                    rows = pa.table({"run": pa.array([run] * 2), "cross": [False] * 2, "side": [0, 0], "left": pa.array([left] * 2, pa.list_(pa.int32()))})
+                    found[i] += jaccard._allowed(places, rows, plan)[0, 1]
+        assert found.max() == 1 and (found == 0).sum() <= 2
+
+
+def test_long_texts_make_smaller_leaves(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "LEAF_SHINGLES", 2000)
+    pairs = case()
+    found = jaccard.near_duplicates(documents(spark, pairs), leaf=64)
+    assert sorted(map(tuple, found.collect()), key=repr) == brute(pairs)

@@ -47,4 +47,4 @@ def test_oracle(spark, name):
     got = queries.LLM_QUERIES[name](spark, SF)
     columns = sorted(got.columns)
     found = con.execute(f"select {', '.join(columns)} from ({queries.LLM_ORACLE[name]})").fetchall()
-    assert sorted(map(tuple, got.select(*columns).collect())) == sorted(found)
+    assert sorted(map(tuple, got.select(*columns).collect()), key=repr) == sorted(found, key=repr)
