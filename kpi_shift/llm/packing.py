@@ -53,28 +53,23 @@ class _Ids(dict):
         spell = self.tokenizer.pre_tokenizer.pre_tokenize_str
         self.bytes = {i: spell(chr(i))[0][0] for i in range(0xC0, 0x100)}
 
-    def learn(self, chunks: set[str]) -> None:
-        new = [c for c in chunks if c not in self]
-        if len(self) + len(new) > CACHED_CHUNKS:
+    def __missing__(self, chunk: str) -> bytes:
+        if len(self) >= CACHED_CHUNKS:
             self.clear()
             self[""] = b""
-            new = list(chunks - {""})
-        cut = {c: WORDS.findall(c.lower()) for c in new if COMMON.fullmatch(c) and "<|" not in c}
-        self._learn_words(set().union(*cut.values()))
-        for c, parts in cut.items():
-            self[c] = b"".join([self.words[w] for w in parts])
-        rest = [c for c in new if c not in cut]
-        for c, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
-            self[c] = np.array(e.ids, "<u4").tobytes()
-
-    def _learn_words(self, words: set[str]) -> None:
-        new = [w for w in words if w not in self.words]
-        if len(self.words) + len(new) > CACHED_WORDS:
+        if COMMON.fullmatch(chunk) and "<|" not in chunk:
+            found = b"".join([self.words.get(w) or self._learn_word(w) for w in WORDS.findall(chunk.lower())])
+        else:
+            found = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+        self[chunk] = found
+        return found
+
+    def _learn_word(self, word: str) -> bytes:
+        if len(self.words) >= CACHED_WORDS:
             self.words.clear()
-            new = list(words)
-        encode = self.tokenizer.model.tokenize
-        for w in new:
-            self.words[w] = np.array([t.id for t in encode(w.translate(self.bytes))], "<u4").tobytes()
+        found = np.array([t.id for t in self.tokenizer.model.tokenize(word.translate(self.bytes))], "<u4").tobytes()
+        self.words[word] = found
+        return found
 
 
 def _ids(path: str) -> _Ids:
@@ -90,7 +85,7 @@ def _tokenize(path: str, capacity: int, end_id: int, with_ids: bool):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        known = _ids(path)
+        ids_of = _ids(path).__getitem__  # learns what it does not know
         close = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             out: list[list] = [[], [], [], [], [], []]
@@ -98,9 +93,8 @@ def _tokenize(path: str, capacity: int, end_id: int, with_ids: bool):
                 ids = batch.column(0).slice(i, 256).to_pylist()
                 texts = batch.column(1).slice(i, 256).to_pylist()
                 split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-                known.learn(set().union(*split))
                 for doc, chunks in zip(ids, split, strict=True):
-                    tokens = b"".join(map(known.__getitem__, chunks)) + close
+                    tokens = b"".join(map(ids_of, chunks)) + close
                     for piece, at in enumerate(range(0, len(tokens), 4 * capacity)):
                         part = tokens[at : at + 4 * capacity]
                         for column, v in zip(out, (doc, piece, at // 4, len(part) // 4, zlib.crc32(part), part), strict=True):
