@@ -11,6 +11,7 @@ from kpi_shift.functions.stage import stage
 from kpi_shift.operators.events import cohort, detect_events, rows_around
 from kpi_shift.operators.panels import baseline_stats, post_event_rows, pre_event_rows
 from kpi_shift.operators.score import score_post_event
+from kpi_shift.sources.published import publish_range, read_published
 from kpi_shift.sources.sinks import write_partitions
 from kpi_shift.spec import Level, Monitor
 
@@ -68,12 +69,17 @@ def score_range(
     start: str,
     end: str,
     events: DataFrame | None = None,
+    published: bool = False,
 ) -> DataFrame:
     """Backfill: score all run days from ``start`` until ``end`` (exclusive) in one plan, replace their partitions, return them.
 
     All cohorts of all run days come out of the same joins. Partitions outside the range stay as they are.
+    ``published`` keeps the table in versions (see ``sources.published``), for readers that use it meanwhile.
     """
     run = monitor_panel(panel, level, monitor, events, start, end)
+    if published:
+        publish_range(run.scored, path, ["event_date", "day"], ("day", start, end))
+        return read_published(panel.sparkSession, path).filter(f"day >= DATE'{start}' AND day < DATE'{end}'")
     write_partitions(run.scored, path, between=("day", start, end))
     written = panel.sparkSession.read.schema(run.scored.schema).parquet(path)
     return written.filter(f"day >= DATE'{start}' AND day < DATE'{end}'")
