@@ -6,8 +6,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kpi_shift.functions.stage import stage
-
 
 SCHEMA_FOLDER = "_schema"  # readers of the table skip names that begin so
 
@@ -20,12 +18,13 @@ def write_partitions(
     ``between`` is (column of ``by``, first value, end value, exclusive): partitions in it that ``df`` does not hold are
     removed once the new ones are written. So a repeated or corrected run gives the same table as a first one. Without
     it, only the partitions of ``df`` are replaced. Rows are rebalanced by adaptive execution, so files stay of useful
-    size. The schema is kept beside the data, so that a table without rows can be read.
+    size. The schema is kept beside the data, so that a table without rows can be read. For readers that must not see
+    the steps of a replacement there is ``published.publish_range``.
     """
     spark = df.sparkSession
-    if between is not None:
-        df = stage(df, "result")
-    df.limit(0).write.mode("overwrite").parquet(f"{path}/{SCHEMA_FOLDER}")
+    if not table_exists(spark, path) or _kept_schema(spark, path) != df.schema:
+        df.limit(0).write.mode("overwrite").parquet(f"{path}/{SCHEMA_FOLDER}")
+    before = _partition_files(spark, path, by, between) if between is not None else {}
     (
         df.hint("rebalance", *by)
         .write.mode("overwrite")
@@ -33,24 +32,41 @@ def write_partitions(
         .partitionBy(*by)
         .parquet(path)
     )
-    if between is None:
+    if not before:
         return
-    column, first, end = between
-    # a few partitions per calendar day
-    held = {tuple(str(v) for v in row) for row in df.select(*by).distinct().collect()}
-    place = list(by).index(column)
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    for status in files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(path + "".join(f"/{c}=*" for c in by))) or []:
-        found, node = [], status.getPath()
-        for _ in by:
-            found.insert(0, node.getName().partition("=")[2])
-            node = node.getParent()
-        if first <= found[place] < end and tuple(found) not in held:
-            files.delete(status.getPath(), True)
+    # a partition that was written has other files than before
+    after = _partition_files(spark, path, by, between)
+    files = _file_system(spark, path)
+    for folder, held in before.items():
+        if after.get(folder) == held:
+            files.delete(spark._jvm.org.apache.hadoop.fs.Path(folder), True)
     spark.catalog.refreshByPath(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _kept_schema(spark: SparkSession, path: str):
+    return spark.read.parquet(f"{path}/{SCHEMA_FOLDER}").schema
+
+
+def _partition_files(spark: SparkSession, path: str, by: Sequence[str], between: tuple[str, str, str]) -> dict[str, list[str]]:
+    """File names of the partitions of a range, by folder. Folders outside the range are not opened, apart from those above its column."""
+    column, first, end = between
+    files, folders = _file_system(spark, path), [path]
+    for name in by:
+        found = []
+        for folder in folders:
+            at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            for status in files.listStatus(at) if files.exists(at) else ():
+                part, _, value = status.getPath().getName().partition("=")
+                if part == name and (name != column or first <= value < end):
+                    found.append(status.getPath().toString())
+        folders = found
+    return {f: sorted(s.getPath().getName() for s in files.listStatus(spark._jvm.org.apache.hadoop.fs.Path(f))) for f in folders}
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``write_partitions`` has written there."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{SCHEMA_FOLDER}")
@@ -69,8 +85,7 @@ def drop_partitions(spark: SparkSession, path: str, column: str, first: str) ->
 
 def read_partitions(spark: SparkSession, path: str) -> DataFrame:
     """A table written by ``write_partitions``; without rows if no partition is left."""
-    schema = spark.read.parquet(f"{path}/{SCHEMA_FOLDER}").schema
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(_kept_schema(spark, path)).parquet(path)
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
