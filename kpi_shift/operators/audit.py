@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Length of the audited window, and the delay of a table that names none.
@@ -62,15 +62,31 @@ def completeness_report(loads: DataFrame, expected: DataFrame, as_of: str, holid
 
     A table that never loaded misses every day, and then not all are on time.
     """
-    fresh = table_freshness(loads, expected, as_of)
-    # at most `window` days per table
-    holes = missing_days(loads, expected, as_of, holidays, window).groupBy("table_name").agg(F.sort_array(F.collect_list("day")).alias("missing_days"))
-    on_time = fresh.agg(F.bool_and(F.coalesce(F.col("delayed_days") == 0, F.lit(False)))).scalar()
-    return fresh.join(holes, "table_name", "left").select(
-        *fresh.columns,
-        F.coalesce("missing_days", F.array().cast("array<date>")).alias("missing_days"),
-        on_time.alias("all_on_time"),
+    # one pass over the loads: each table's latest day, and its days of the window, at most `window` of them
+    due = _due(expected, as_of)
+    in_window = F.col("day").between(F.date_sub("expected_day", window - 1), F.col("expected_day"))
+    seen = (
+        loads.join(due.select("table_name", "expected_day"), "table_name")
+        .groupBy("table_name")
+        .agg(F.max("day").alias("latest_day"), F.collect_set(F.when(in_window, F.col("day"))).alias("days"))
     )
+    wanted = F.sequence(F.date_sub("expected_day", window - 1), F.col("expected_day"))
+
+    def is_missing(day: Column) -> Column:
+        working = (F.weekday(day) < 5) & ~day.cast("string").isin(*holidays)
+        loaded = F.coalesce(F.array_contains("days", day), F.lit(False))
+        return (~F.coalesce("weekdays_only", F.lit(False)) | working) & ~loaded
+
+    report = due.join(seen, "table_name", "left").select(
+        "table_name",
+        "latest_day",
+        "expected_day",
+        F.datediff("expected_day", "latest_day").alias("delayed_days"),
+        F.filter(wanted, is_missing).alias("missing_days"),
+    )
+    on_time = F.bool_and(F.coalesce(F.col("delayed_days") == 0, F.lit(False)))
+    # one row per expected table
+    return report.withColumn("all_on_time", on_time.over(Window.partitionBy(F.lit(0))))
 
 
 def combined_completeness(reports: dict[str, DataFrame]) -> DataFrame:
