@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -74,34 +74,17 @@ def normalise_failures(
     ).filter(F.col(level_column).isNotNull() & F.col("cause_code").isin(*codes))
 
 
-def alert_causes(scored: DataFrame, level: Level, causes: Mapping[str, Sequence[str]] = CAUSES_OF_ALERT) -> DataFrame:
-    """(tower, day, abnormal_feature, cause_code) for each raised alert of abnormal rows and each of its causes."""
-    raised = F.array(
-        *[
-            F.struct(
-                (F.col(name) == 1).alias("raised"),
-                F.lit(name).alias("abnormal_feature"),
-                F.array(*[F.lit(c) for c in codes]).alias("codes"),
-            )
-            for name, codes in causes.items()
-        ]
-    )
-    return (
-        scored.filter(F.col("has_abnormal_kpi") == 1)
-        .select(level.tower, "day", F.inline(F.filter(raised, lambda a: a["raised"])))
-        .select(level.tower, "day", "abnormal_feature", F.explode("codes").alias("cause_code"))
-    )
-
-
 def impacted_users(failures: DataFrame, scored: DataFrame, level: Level) -> DataFrame:
     """Failure records on a tower's abnormal days whose cause belongs to a raised alert, one row per record and alert.
 
-    ``failures`` is normalised and has the ``day``. Joining on tower, day and cause at once replaces one filter per
-    alert and cause.
+    ``failures`` is normalised and has the ``day``. Rows meet the abnormal rows of their tower and day, and the raised alerts to
+    which their cause belongs are picked then: no side is multiplied before the join, and the side of the alerts is a plain filter of a
+    table. So beyond the broadcast threshold Spark can make Bloom filters of its towers and days and apply them in the scan of the
+    failures, before these are shuffled (``spark.sql.optimizer.runtime.bloomFilter``).
     """
-    found = lookup_join(
-        failures.select(level.tower, "day", "cause_code", "fromuri_num", "msisdn_num"),
-        alert_causes(scored, level),
-        [level.tower, "day", "cause_code"],
-    )
-    return found.select(level.tower, "day", "fromuri_num", "msisdn_num", "cause_code", "abnormal_feature")
+    alerts = list(CAUSES_OF_ALERT)
+    abnormal = scored.filter(F.col("has_abnormal_kpi") == 1).select(level.tower, "day", *alerts)
+    found = lookup_join(failures.select(level.tower, "day", "cause_code", "fromuri_num", "msisdn_num"), abnormal, [level.tower, "day"])
+    raised = F.array(*[F.when((F.col(name) == 1) & F.col("cause_code").isin(*codes), F.lit(name)) for name, codes in CAUSES_OF_ALERT.items()])
+    features = F.explode(F.array_compact(raised)).alias("abnormal_feature")
+    return found.select(level.tower, "day", "fromuri_num", "msisdn_num", "cause_code", features)

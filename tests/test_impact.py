@@ -1,6 +1,8 @@
+from pyspark.sql import functions as F
+
 from kpi_shift.operators import impact
 from kpi_shift.spec import TOWER
-from tests.helpers import as_set, day
+from tests.helpers import as_set, day, final_plan
 
 
 def test_flatten_structs_arrays_and_maps(spark):
@@ -75,3 +77,44 @@ def test_impacted_users_one_row_per_record_and_alert(spark):
         ("c", "m6", "rtp_gap_alert"),
         ("c", "m7", "rtp_gap_alert"),
     ]
+
+
+def shuffled_rows(df):
+    """Rows written by each exchange of a plan that has run."""
+    df.collect()
+    rows, waiting = [], [df._jdf.queryExecution().executedPlan()]
+    while waiting:
+        node = waiting.pop()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            waiting.append(node.executedPlan())
+            continue
+        if node.nodeName().endswith("QueryStage"):
+            waiting.append(node.plan())
+            continue
+        if node.nodeName() == "Exchange":
+            rows.append(node.metrics().apply("shuffleRecordsWritten").value())
+        children = node.children()
+        waiting += [children.apply(i) for i in range(children.size())]
+    return rows
+
+
+def test_failures_are_reduced_by_bloom_filters_before_the_shuffle(spark, settings, tmp_path):
+    settings(
+        autoBroadcastJoinThreshold="-1",
+        adaptive__autoBroadcastJoinThreshold="-1",
+        optimizer__runtime__bloomFilter__applicationSideScanSizeThreshold="0",
+    )
+    alerts = list(impact.CAUSES_OF_ALERT)
+    schema = "tower string, day date, has_abnormal_kpi int, " + ", ".join(f"{a} int" for a in alerts)
+    spark.createDataFrame([(f"t{i}", day(i % 3), int(i < 20), 1, 0, 0, 0, 0) for i in range(2000)], schema).write.parquet(f"{tmp_path}/scored")
+    made = [(f"t{i}", day(d), "8000", f"f{i}", f"m{d}") for i in range(2000) for d in range(3)]
+    spark.createDataFrame(made, "tower string, day date, cause_code string, fromuri_num string, msisdn_num string").write.parquet(f"{tmp_path}/failures")
+    scored, failures = (spark.read.parquet(f"{tmp_path}/{t}") for t in ("scored", "failures"))
+    users = impact.impacted_users(failures, scored, TOWER)
+    plan = final_plan(users)
+    assert "might_contain" in plan and "bloom_filter_agg" in plan
+    assert users.count() == 20
+    # only what passes the filters is shuffled
+    with_filter = failures.filter(F.col("tower").isin(*[f"t{i}" for i in range(20)])).count()
+    written = sum(shuffled_rows(users))
+    assert with_filter <= 60 and written < 600
