@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +14,8 @@ from pyspark.sql import types as T
 # How a day is written in file names.
 ISO_DAY = r"\d{4}-\d{2}-\d{2}"
 COMPACT_DAY = r"(\d{4})(\d{2})(\d{2})"
+#: Headers fetched at a time.
+HEADER_READERS = 16
 
 
 def empty_table(spark: SparkSession, columns: Sequence[str]) -> DataFrame:
@@ -34,6 +37,35 @@ def read_csv_tree(spark: SparkSession, path: str, name_glob: str = "*.csv", **op
     return read_csv(spark, path, recursiveFileLookup=True, pathGlobFilter=name_glob, **options)
 
 
+def csv_header(spark: SparkSession, path: str) -> tuple[str, ...] | None:
+    """Column names of a CSV file, or of the first file in a folder or glob; none without a file.
+
+    Only the first line is fetched, by the driver and without a Spark job. Where that line does not name the columns plainly (a name
+    is empty, repeated or runs over the line), Spark is asked.
+    """
+    jvm = spark._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    settings = spark._jsc.hadoopConfiguration()
+    files = at.getFileSystem(settings)
+    found = sorted((s.getPath() for s in files.globStatus(at) or () if not s.isDirectory()), key=str)
+    if not found:
+        below = [s for s in files.globStatus(at) or ()]
+        inside = [f.getPath() for s in below for f in files.listStatus(s.getPath()) if f.isFile()]
+        found = sorted((f for f in inside if f.getName()[0] not in "._"), key=str)
+    if not found:
+        return None
+    stream = files.open(found[0])
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(settings).getCodec(found[0])
+        plain = stream if codec is None else codec.createInputStream(stream)
+        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(plain, "UTF-8")).readLine()
+    finally:
+        stream.close()
+    names = next(csv.reader([line.removeprefix("\ufeff")]), []) if line else []
+    plainly = names and all(n and n == n.strip() for n in names) and len({n.lower() for n in names}) == len(names) and line.count('"') % 2 == 0
+    return tuple(names) if plainly else tuple(read_csv(spark, path).columns)
+
+
 def read_daily_csv(
     spark: SparkSession,
     pattern: str,
@@ -46,21 +78,18 @@ def read_daily_csv(
     """Rows of one CSV per day; ``pattern`` has ``{}`` for the day. Days without a file are skipped.
 
     Columns are matched by name, and a file that lacks one of ``columns`` gives null there. The driver looks only at
-    headers: files with the same header are read by one multi-path scan, so the plan grows with the number of layouts,
+    headers, several at a time: files with the same header are read by one multi-path scan, so the plan grows with the number of layouts,
     not of days. ``transform`` is applied once per layout. ``source_day`` names a column for the day taken from the
     file name. ``distinct`` costs a shuffle of all rows; leave it out where the next step removes copies anyway.
     Without any file the result is empty.
     """
     layouts: dict[tuple[str, ...], list[str]] = {}
-    for day in days:
-        path = pattern.format(day)
-        try:
-            header = tuple(read_csv(spark, path).columns)
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
-            continue
-        layouts.setdefault(header, []).append(path)
+    paths = [pattern.format(day) for day in days]
+    with ThreadPoolExecutor(HEADER_READERS) as readers:
+        headers = list(readers.map(lambda path: csv_header(spark, path), paths))
+    for path, header in zip(paths, headers, strict=True):
+        if header is not None:
+            layouts.setdefault(header, []).append(path)
     scans = []
     for header, paths in layouts.items():
         schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
