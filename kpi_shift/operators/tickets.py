@@ -163,10 +163,10 @@ def spans_near_tower(spans: DataFrame, events: DataFrame, coords: DataFrame, lev
         .agg(F.expr("count(*) AS n"))
     )
     towers = cohort(events, level).join(coords, level.tower)
-    cohort_dates = towers.select("event_date").distinct()  # one row per calendar day at most, hence safe to broadcast
+    cohort_dates = towers.select("event_date").distinct()  # one row per calendar day at most
     points = spans.selectExpr(
         "lat", "lng", f"explode(sequence(date_sub(create_date, {follow}), create_date)) AS event_date"
-    ).join(F.broadcast(cohort_dates), "event_date", "left_semi")
+    ).join(cohort_dates, "event_date", "left_semi")
     nearest = nearest_within(points, towers, miles, ["event_date"], level.tower)
     # per position, the spans are as many as there are pairs of days, and the cohorts as there are days
     given = (
@@ -204,6 +204,9 @@ def work_orders_per_tower(orders: DataFrame, events: DataFrame, level: Level, mo
     A run day without a partition of its own falls back on the day before, also where that precedes the event.
     """
     tower, follow = level.tower, monitor.follow_days
+    # only the partitions that a cohort can meet are read
+    bounds = cohort(events, level).agg(F.date_sub(F.min("event_date"), 1).alias("first"), F.date_add(F.max("event_date"), follow).alias("last"))
+    orders = orders.filter(F.col("data_date").between(bounds.select("first").scalar(), bounds.select("last").scalar()))
     rows = (
         orders.filter(f"lower(status) = '{OPEN}' AND cell_id IS NOT NULL")
         .withColumn(tower, tower_of_cell("cell_id"))
@@ -229,7 +232,7 @@ def work_orders_per_tower(orders: DataFrame, events: DataFrame, level: Level, mo
     daily = rows.groupBy("noc_id", "status", "data_date").agg(
         F.expr(f"max(struct(event_start, event_end, lat, lng, {tower})) AS v")
     )
-    # partitions that stand in for a missing next day; one row per calendar day at most, hence safe to broadcast
+    # partitions that stand in for a missing next day: one row per calendar day at most
     loaded = orders.select("data_date").distinct()
     stand_in = loaded.join(
         loaded.selectExpr("date_sub(data_date, 1) AS data_date"), "data_date", "left_anti"
@@ -237,7 +240,7 @@ def work_orders_per_tower(orders: DataFrame, events: DataFrame, level: Level, mo
     # an order has at most one row per status and day, and one cohort per day
     per_cohort = (
         daily.join(relevant, "noc_id")
-        .join(F.broadcast(stand_in), "data_date", "left")
+        .join(stand_in, "data_date", "left")
         .filter(
             f"data_date BETWEEN event_date AND date_add(event_date, {follow}) "
             "OR (coalesce(stands_in, false) AND data_date = date_sub(event_date, 1))"

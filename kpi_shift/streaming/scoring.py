@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from kpi_shift.functions.columns import row_sum
 from kpi_shift.operators.score import score_rows
-from kpi_shift.sources.sinks import read_partitions, write_partitions
+from kpi_shift.sources.sinks import read_partitions, table_exists, write_partitions
 from kpi_shift.spec import Level, Monitor
 
 BATCH = "batch"
@@ -48,10 +49,17 @@ def score_stream(
 
     def score(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        found = alerts_of(batch, baseline(), level, monitor).dropDuplicates(keys).withColumn(BATCH, F.lit(number).cast("long"))
-        if _exists(spark, out):
-            # the days of one batch are few
-            days = [r.day for r in batch.select("day").distinct().collect() if r.day is not None]
+        # the days of one batch are few
+        days = sorted(r.day for r in batch.select("day").distinct().collect() if r.day is not None)
+        if not days:
+            return
+        first = days[0] - timedelta(days=monitor.follow_days)
+        found = alerts_of(batch, baseline().filter(F.col("event_date").between(first, days[-1])), level, monitor)
+        # of several abnormal rows of a key the greatest counts, so a repeated batch writes the same ones
+        rest = [c for c in found.columns if c not in keys]
+        found = found.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("row")).select(*[F.col(f"row.{c}").alias(c) if c in rest else F.col(c) for c in found.columns])
+        found = found.withColumn(BATCH, F.lit(number).cast("long"))
+        if table_exists(spark, out):
             known = read_partitions(spark, out).filter((F.col(BATCH) != number) & F.col("day").isin(days))
             found = found.join(known.select(*keys), keys, "left_anti")
         write_partitions(found, out, ["day", BATCH])
@@ -64,7 +72,3 @@ def read_alerts(spark: SparkSession, out: str) -> DataFrame:
     """The alerts raised so far."""
     return read_partitions(spark, out).drop(BATCH)
 
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)

@@ -146,3 +146,14 @@ def test_score_rows_has_no_shuffle(spark):
     columns = [f"{n} double" for k in MONITOR.kpis for n in (k.name, k.avg, k.std)]
     df = spark.createDataFrame([tuple([1.0] * 21)], ", ".join(columns))
     assert "Exchange" not in plan_of(score.score_rows(df, MONITOR))
+
+
+def test_work_orders_read_only_the_partitions_of_the_cohorts(spark, tmp_path):
+    made = [(str(i), "open", f"{day(n)} 06:00:00", f"{day(n)} 18:00:00", "000001", 1.0, 2.0, day(n)) for n in range(60) for i in range(3)]
+    schema = "noc_id string, status string, event_start string, event_end string, cell_id string, lat double, lng double, data_date date"
+    spark.createDataFrame(made, schema).write.partitionBy("data_date").parquet(str(tmp_path / "orders"))
+    found = spark.createDataFrame([("000001", day(30))], "tower string, event_date date")
+    open_orders = tickets.work_orders_per_tower(spark.read.parquet(str(tmp_path / "orders")), found, TOWER, MONITOR)
+    assert open_orders.count() == 15
+    scans = [line for line in plan_of(open_orders).splitlines() if "FileScan" in line]
+    assert scans and all("data_date" in line.split("PartitionFilters: [")[1].split("]")[0] and "ubquery" in line for line in scans)
