@@ -14,7 +14,7 @@ from kpi_shift.operators import alerts, audit, clean, context, events, impact, p
 from kpi_shift.plans import colocated, history, incremental
 from kpi_shift.plans.monitoring import Run, monitor_panel, score_range
 from kpi_shift.session import configure
-from kpi_shift.sources import daily, sinks
+from kpi_shift.sources import daily, published, sinks
 from kpi_shift.spec import CARRIER, SECTOR, TOWER, Level, Monitor
 from kpi_shift.streaming.messages import append_to_files, parse_messages
 from kpi_shift.streaming.scoring import read_alerts, score_stream
@@ -416,6 +416,16 @@ def kept_tickets_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.filter(f"day >= DATE'{RANGE[0]}' AND day < DATE'{RANGE[1]}'")
 
 
+def published_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two publications of overlapping ranges; a third one was stopped before its last step."""
+    panel, path = _panel(spark, sf_dir), new_folder(spark, "published")
+    score_range(panel, path, TOWER, MONITOR, "2024-01-16", RANGE[1], published=True)
+    score_range(panel, path, TOWER, MONITOR, RANGE[0], "2024-01-24", published=True)
+    written = published.read_published(spark, path)
+    published.write_version(written.limit(5), path, ["event_date", "day"])
+    return published.read_published(spark, path).filter(f"day >= DATE'{RANGE[0]}' AND day < DATE'{RANGE[1]}'")
+
+
 QUERIES = {
     "date_window": date_window,
     "clean_kpis": clean_kpis,
@@ -462,6 +472,7 @@ QUERIES = {
     "stream_to_files": stream_to_files,
     "stream_score": stream_score,
     "colocated_scores": colocated_scores,
+    "published_scores": published_scores,
     "kept_events": kept_events,
     "kept_baselines": kept_baselines,
     "ticket_history": ticket_history,
