@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from checks.fixtures import sql
-from checks.queries import AS_OF, DELAYS, HOLIDAYS, LINK, LISTED_AS_OF, PROBLEM_TYPES, RANGE, SCAN_DAYS, SNAPSHOT_DAY, TICKET_DAY, WEEKDAY_TABLES
+from checks.queries import AS_OF, CUT_DAYS, DELAYS, HOLIDAYS, LINK, LISTED_AS_OF, PROBLEM_TYPES, RANGE, SCAN_DAYS, SNAPSHOT_DAY, TICKET_DAY, WEEKDAY_TABLES
 from kpi_shift.operators.impact import CAUSE_CODES, CAUSES_OF_ALERT
 from kpi_shift.spec import RISING, Monitor
 
@@ -222,6 +222,14 @@ select cast(length(event_type) as int) as "eventType", epoch_us(ts) // 1000 as "
 from events"""
 
 
+# raw rows of the scanned days, and whether their day's file was cut
+FILED = {
+    **base("kpi_raw"),
+    "filed": f"""select *, cast(strptime(day, '%m/%d/%Y') as date) as file_day,
+  cast(cast(strptime(day, '%m/%d/%Y') as date) as varchar) in ({listed(CUT_DAYS)}) as is_cut
+from kpi_raw where strptime(day, '%m/%d/%Y') between date '{SCAN_DAYS[0]}' and date '{SCAN_DAYS[1]}'""",
+}
+
 ORACLE = {
     "date_window": """
 select run_day, run_day - cast(k as int) as day
@@ -332,6 +340,19 @@ from kpi_raw where strptime(day, '%m/%d/%Y') between date '{SCAN_DAYS[0]}' and d
 from kpi_raw where strptime(day, '%m/%d/%Y') between date '{SCAN_DAYS[0]}' and date '{SCAN_DAYS[1]}' group by day, market""",
         **base("kpi_raw"),
     ),
+    "sound_rows": chain(
+        """select tower, day, site, market, kpi, file_day from filed
+where not is_cut and kpi is distinct from '7' and kpi is distinct from '9'""",
+        **FILED,
+    ),
+    "rejects": chain(
+        """select file_day as day, 'malformed record' as reason,
+  case when kpi = '7' then concat(coalesce(tower, ''), ',', day, ',', site, ',', market, ',7,late') else concat(day, ',', market) end as record,
+  count(*) as n
+from filed where not is_cut and kpi in ('7', '9') group by 1, 2, 3
+union all select distinct file_day, 'unreadable file', cast(null as varchar), 1 from filed where is_cut""",
+        **FILED,
+    ),
     "dated_partitions": chain(
         f"select * from snapshots where date between date '2024-01-01' and date '{SNAPSHOT_DAY}'", **base("tower_coords", "snapshots")
     ),

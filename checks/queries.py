@@ -14,7 +14,7 @@ from kpi_shift.operators import alerts, audit, clean, context, events, impact, p
 from kpi_shift.plans import colocated, history, incremental
 from kpi_shift.plans.monitoring import Run, monitor_panel, score_range
 from kpi_shift.session import configure
-from kpi_shift.sources import daily, published, sinks
+from kpi_shift.sources import daily, published, quarantine, sinks
 from kpi_shift.spec import CARRIER, SECTOR, TOWER, Level, Monitor
 from kpi_shift.streaming.messages import append_to_files, parse_messages
 from kpi_shift.streaming.scoring import read_alerts, score_stream
@@ -32,6 +32,8 @@ BUCKETS = 8
 LISTED_AS_OF = "2024-02-08"
 SNAPSHOT_DAY = "2024-01-16"
 WEEKDAY_TABLES = ("click", "view")
+# days whose files are cut in the middle
+CUT_DAYS = ("2024-01-03", "2024-01-11")
 # Days on which weekday tables are not expected.
 HOLIDAYS = ("2023-11-14", "2023-11-23", "2023-11-24", "2023-11-27", "2023-12-25", "2023-12-26", "2024-01-01", "2024-01-02", "2024-01-15")
 # the last one never loads
@@ -307,6 +309,49 @@ def csv_path_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily.read_daily_csv(spark, root + "/file_day={}", days, ["day", "market", "n", "unknown"], counted, distinct=False)
 
 
+def _cut_in_half(spark: SparkSession, folder: str) -> None:
+    """Cut the second half off all files of a folder."""
+    jvm = spark._jvm
+    at = jvm.org.apache.hadoop.fs.Path(folder)
+    files = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in files.listStatus(at):
+        if not status.getPath().getName().endswith(".gz"):
+            continue
+        stream = files.open(status.getPath())
+        start = jvm.org.apache.commons.io.IOUtils.toByteArray(stream, status.getLen() // 2)
+        stream.close()
+        out = files.create(status.getPath(), True)
+        out.write(start)
+        out.close()
+
+
+def _damaged_days(spark: SparkSession, sf_dir: str) -> quarantine.Sorted:
+    """Gzipped daily files in which some records have a field too many or too few, and the files of two days are cut."""
+    root = new_folder(spark, "damaged")
+    raw = derived(spark, sf_dir, "kpi_raw").withColumn("file_day", F.to_date("day", "MM/dd/yyyy"))
+    record = F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in ("tower", "day", "site", "market", "kpi")])
+    record = F.when(F.col("kpi") == "7", F.concat(record, F.lit(",late"))).when(F.col("kpi") == "9", F.concat_ws(",", "day", "market")).otherwise(record)
+    header = raw.select("file_day").distinct().select("file_day", F.lit("tower,day,site,market,kpi").alias("value"), F.lit(0).alias("place"))
+    lines = header.unionByName(raw.select("file_day", record.alias("value"), F.lit(1).alias("place")))
+    # one file per day, its header first
+    lines = lines.repartition("file_day").sortWithinPartitions("file_day", "place").drop("place")
+    lines.write.partitionBy("file_day").option("compression", "gzip").text(root)
+    for day in CUT_DAYS:
+        _cut_in_half(spark, f"{root}/file_day={day}")
+    days = dates.date_window(SCAN_DAYS[0], end=SCAN_DAYS[1])
+    return quarantine.read_daily_sorted(spark, root + "/file_day={}", days, raw.columns[:-1], source_day="file_day", distinct=False)
+
+
+def sound_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of daily files of which some are damaged."""
+    return _damaged_days(spark, sf_dir).rows
+
+
+def rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What was set aside: days, and records of the other days."""
+    return _damaged_days(spark, sf_dir).rejects.groupBy("day", "reason", "record").agg(F.count("*").alias("n"))
+
+
 def dated_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_folder(spark, "dated")
     derived(spark, sf_dir, "snapshots").write.partitionBy("date").parquet(root)
@@ -465,6 +510,8 @@ QUERIES = {
     "gzip_glob": gzip_glob,
     "csv_tree": csv_tree,
     "csv_path_list": csv_path_list,
+    "sound_rows": sound_rows,
+    "rejects": rejects,
     "dated_partitions": dated_partitions,
     "listed_days": listed_days,
     "latest_snapshot": latest_snapshot,

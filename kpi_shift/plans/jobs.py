@@ -26,10 +26,12 @@ from kpi_shift.operators.panels import baseline_stats, post_event_rows, pre_even
 from kpi_shift.operators.score import score_post_event, zero_override
 from kpi_shift.operators.tickets import tickets_near_tower, work_orders_per_tower
 from kpi_shift.sources.daily import read_daily_csv
+from kpi_shift.sources.quarantine import read_daily_sorted
 from kpi_shift.sources.sinks import read_partitions, write_documents, write_parquet, write_partitions
 from kpi_shift.spec import RAW_COLUMNS, Level, Monitor
 
 PANEL, EVENTS, PRE_PANEL, BASELINE, SCORES, REPORT = "panel", "events", "pre_panel", "baseline", "scores", "report"
+REJECTS = "rejects"
 
 
 def _shift(day: str, days: int) -> str:
@@ -41,14 +43,27 @@ def _between(df: DataFrame, column: str, start: str, end: str) -> DataFrame:
 
 
 def read_raw(
-    spark: SparkSession, pattern: str, level: Level, monitor: Monitor, days: list[str], names: Mapping[str, str] = RAW_COLUMNS
+    spark: SparkSession,
+    pattern: str,
+    level: Level,
+    monitor: Monitor,
+    days: list[str],
+    names: Mapping[str, str] = RAW_COLUMNS,
+    set_aside: Callable[[DataFrame], None] | None = None,
 ) -> DataFrame:
-    """Clean KPI rows of the raw files of ``days``. A shared KPI that a file does not have yet counts as 0."""
+    """Clean KPI rows of the raw files of ``days``. A shared KPI that a file does not have yet counts as 0.
+
+    With ``set_aside``, which is given the rejects, damaged days and malformed records do not end the run.
+    """
     wanted = {*level.ids, "day", *monitor.categorical, *monitor.panel_columns}
     headers = [raw for raw, name in names.items() if name in wanted]
     late = {raw: F.lit("0") for raw in headers if names[raw] in monitor.shared_columns}
     # cleaning groups by whole rows, so the reader need not remove copies
-    raw = read_daily_csv(spark, pattern, days, headers, lambda df: add_missing(df, late), distinct=False)
+    if set_aside is None:
+        raw = read_daily_csv(spark, pattern, days, headers, lambda df: add_missing(df, late), distinct=False)
+    else:
+        raw, rejects = read_daily_sorted(spark, pattern, days, headers, lambda df: add_missing(df, late), distinct=False)
+        set_aside(rejects)
     return clean_kpis(rename_columns(raw.select(*[f"`{h}`" for h in headers]), names), level, monitor)
 
 
@@ -61,14 +76,22 @@ def ingest_job(
     start: str,
     end: str,
     names: Mapping[str, str] = RAW_COLUMNS,
+    keep_rejects: bool = False,
 ) -> DataFrame:
     """Clean the files of the days from ``start`` until ``end`` once, into the panel table partitioned by day; return it.
 
+    ``keep_rejects`` goes on past damaged files: what cannot be read is told in the table of rejects, partitioned by day, and the
+    panel has no rows of a damaged day. Without it such a file fails the job.
+
     The other jobs read the table and prune it by day. Rows without a day are of no use to them and stay out; a row of a
     day outside the range fails the job, since it would replace a partition that was not asked for.
     """
     days = date_window(start, end=_shift(end, -1))
-    panel = read_raw(spark, pattern, level, monitor, days, names).filter("day IS NOT NULL")
+
+    def told(rejects: DataFrame) -> None:
+        write_partitions(rejects, f"{out}/{REJECTS}", ["day"], ("day", start, end))
+
+    panel = read_raw(spark, pattern, level, monitor, days, names, told if keep_rejects else None).filter("day IS NOT NULL")
     astray = F.raise_error(F.concat(F.lit("row of another day: "), F.col("day").cast("string"))).cast("date")
     checked = F.when(F.expr(f"day >= DATE'{start}' AND day < DATE'{end}'"), F.col("day")).otherwise(astray)
     write_partitions(panel.withColumn("day", checked), f"{out}/{PANEL}", ["day"], ("day", start, end))

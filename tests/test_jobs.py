@@ -148,3 +148,19 @@ def test_ingest_refuses_rows_of_other_days(spark, tmp_path):
     (tmp_path / f"kpi_{day(3)}.csv").write_text((tmp_path / f"kpi_{day(4)}.csv").read_text())
     with pytest.raises(Exception, match="row of another day"):
         jobs.ingest_job(spark, pattern, str(tmp_path / "out"), TOWER, MONITOR, str(day(3)), str(day(4)))
+
+
+def test_ingest_goes_on_past_a_damaged_day(spark, tmp_path):
+    pattern, out = write_days(tmp_path), str(tmp_path / "out")
+    whole = jobs.ingest_job(spark, pattern, str(tmp_path / "whole"), TOWER, MONITOR, str(day(2)), str(day(6)), keep_rejects=True)
+    names = (tmp_path / f"kpi_{day(4)}.csv").read_text().splitlines()[0]
+    (tmp_path / f"kpi_{day(3)}.csv").write_text("\n")
+    with (tmp_path / f"kpi_{day(4)}.csv").open("a") as file:
+        file.write("\n1,2\n" if "," in names else "")
+    panel = jobs.ingest_job(spark, pattern, out, TOWER, MONITOR, str(day(2)), str(day(6)), keep_rejects=True)
+    assert as_set(panel) == as_set(whole.filter(f"day <> DATE'{day(3)}'"))
+    assert as_set(sinks.read_partitions(spark, f"{out}/{jobs.REJECTS}"), "day", "reason", "record") == [
+        (day(3), "no header", None),
+        (day(4), "malformed record", "1,2"),
+    ]
+    assert sinks.read_partitions(spark, f"{tmp_path}/whole/{jobs.REJECTS}").count() == 0
