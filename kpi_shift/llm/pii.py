@@ -7,7 +7,8 @@ separators, lengths, upper and lower case, script, a valid check digit, and the
 
 Two entities must not share a surrogate, and no surrogate may be a real entity of the corpus. Colliding draws are found
 by grouping all distinct cores; all but the first entity draw again until none collide. Those further draws are the only
-state; they reach the documents by a join, and usually there are none.
+state; they reach the documents by a join, and usually there are none. What is drawn is what is written: a phone number's country
+code is kept and no part of the draw, so numbers that differ in what is drawn differ in the text too.
 """
 
 from __future__ import annotations
@@ -15,10 +16,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kpi_shift.functions.lookup import lookup_join
 from kpi_shift.functions.stage import stage
 from kpi_shift.llm.text import packed, unpacked
 
 ROUNDS = 30
+#: Digits up to which a phone number's surrogate is its image under a permutation: so few values would soon all be taken.
+SHORT = 6
+# Country calling codes of one and two digits; the others have three.
+CALLING_CODE = r"^\+(1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{1,3})"
 # Marks of names, and given names by gender and script.
 MALE_TITLES = ("Mr", "Herr", "Señor", "Sr", "Monsieur", "Don", "Sir", "Господин")
 FEMALE_TITLES = ("Mrs", "Ms", "Miss", "Frau", "Señora", "Sra", "Madame", "Mme", "Doña", "Госпожа")
@@ -64,6 +70,11 @@ def _digits(value: Column) -> Column:
     return F.regexp_replace(value, r"[^0-9]", "")
 
 
+def _calling_code(mention: Column) -> Column:
+    """Digits of the country's code, which surrogates keep; empty without one."""
+    return F.regexp_extract(mention, CALLING_CODE, 1)
+
+
 def kind(mention: Column) -> Column:
     """Kind of a whole mention. A secret may look like anything: it is what no other pattern covers."""
     found = F.lit("secret")
@@ -74,10 +85,12 @@ def kind(mention: Column) -> Column:
 
 
 def canonical(what: Column, mention: Column) -> Column:
-    """The form that all mentions of one entity share. A name's is its last word: titles and given names may be left out."""
+    """The form that all mentions of one entity share. A name's is its last word: titles and given names may be left out;
+    so may a phone number's country code."""
     return (
         F.when(what == "email", F.lower(mention))
-        .when(what.isin("phone", "account", "ssn"), _digits(mention))
+        .when(what == "phone", F.substr(_digits(mention), F.length(_calling_code(mention)) + 1, F.length(mention)))
+        .when(what.isin("account", "ssn"), _digits(mention))
         .when(what == "iban", F.replace(mention, F.lit(" "), F.lit("")))
         .when(what == "name", F.lower(F.element_at(F.split(mention, " "), -1)))
         .otherwise(mention)
@@ -130,6 +143,32 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(each, F.lit(0), lambda a, v: a + v)
 
 
+def _mod97(text: Column) -> Column:
+    """Remainder of the number that digits and letters (A is 10) spell, by which account numbers are checked."""
+
+    def step(a: Column, c: Column) -> Column:
+        return F.when(c.rlike("[0-9]"), a * 10 + c.cast("int")).when(c.rlike("[A-Z]"), a * 100 + F.ascii(c) - 55).otherwise(a) % 97
+
+    return F.aggregate(F.split(text, ""), F.lit(0), step)
+
+
+def _iban(value: Column, scrambled: Column, stream: Column) -> Column:
+    """Country kept, account scrambled, check digits right if they were, wrong if not."""
+    country, account = F.substring(value, 1, 2), F.substr(scrambled, F.lit(5), F.length(value))
+    right = 98 - _mod97(F.concat(account, country, F.lit("00")))
+    wrong = F.pmod(right - 1 + _number(stream, F.lit(120)) % 96, F.lit(97)) + 2
+    valid = _mod97(F.concat(F.substr(value, F.lit(5), F.length(value)), F.substring(value, 1, 4))) == 1
+    return F.concat(country, F.lpad(F.when(valid, right).otherwise(wrong).cast("string"), 2, "0"), account)
+
+
+def _permuted(key: str, value: Column) -> Column:
+    """Image of up to ``SHORT`` digits under a keyed permutation of all numbers of that length, which leaves none in its place."""
+    # odd, no multiple of 5: one to one; the sum of an even product and an odd number is no multiple of the size: no fixed point
+    factor, shift = (F.crc32(F.lit(f"{key}\x1f{what}").cast("binary")) % 100_000 * 10 + end for what, end in (("factor", 3), ("shift", 7)))
+    size = F.pow(F.lit(10), F.length(value)).cast("long")
+    return F.lpad(((factor * value.cast("long") + shift) % size).cast("string"), F.length(value), F.lit("0"))
+
+
 def _core(key: str, what: Column, value: Column, attempt: Column, stream: Column) -> Column:
     """What tells a surrogate from all others of its kind, drawn from the canonical form."""
     plain = F.lit(False)
@@ -158,9 +197,10 @@ def _core(key: str, what: Column, value: Column, attempt: Column, stream: Column
     return (
         F.when(what == "email", F.concat(_scrambled(stream, local, plain), F.lit("@"), new_host, F.lit(".example.net")))
         .when(what == "key", F.concat(F.substring(value, 1, 4), F.substring(_scrambled(stream, value, plain), 5, 16)))
-        .when(what == "iban", F.concat(F.substring(value, 1, 2), F.substr(_scrambled(stream, value, plain), F.lit(3), F.length(value) - 2)))
+        .when(what == "iban", _iban(value, _scrambled(stream, value, plain), stream))
         .when(what == "ip", octets)
         .when(what == "account", account)
+        .when((what == "phone") & (F.length(value) <= SHORT), _permuted(key, F.when(F.length(value) <= SHORT, value)))
         .when(what.isin("phone", "ssn"), digits)
         .when(what.isin("given_f", "given_m"), _given_core(key, what, value, attempt, stream))
         .when(what == "name", F.when(cyrillic, syllables(CYRILLIC_SYLLABLES)).otherwise(syllables(SYLLABLES)))
@@ -230,9 +270,7 @@ def rendered(what: Column, mention: Column, drawn: Column, given: Column) -> Col
     surname = _cased(drawn, F.element_at(words, -1))
     # concat_ws leaves nulls out
     name = F.concat_ws(" ", F.when(titled, F.element_at(words, 1)), F.when(old.isNotNull(), _cased(given, old)), surname)
-    first_digits = F.length(F.regexp_extract(mention, r"^\+(\d+)", 1))
-    # a country's code is kept
-    phone = F.concat(F.substr(_digits(mention), F.lit(1), first_digits), F.substr(drawn, first_digits + 1, F.length(drawn)))
+    phone = F.concat(_calling_code(mention), drawn)
     spaced = F.aggregate(
         F.split(mention, ""),
         F.struct(F.lit("").alias("text"), F.lit(0).alias("n")),
@@ -339,8 +377,8 @@ def further_draws(found: DataFrame, key: str) -> DataFrame | None:
         one = F.array(F.struct("kind", "value", F.lit(attempt).alias("attempt")))
         drawn = pending.withColumn("core", F.element_at(_drawn(key, one), 1)["core"])
         first = drawn.groupBy("kind", "core").agg(F.min("value").alias("first"), F.count("*").alias("n"))
-        # given names are shared by many people: another real one is no disclosure
-        real = found.where("kind not like 'given%'").select("kind", F.col("value").alias("core"), F.lit(True).alias("is_real"))
+        # given names are shared by many people: another real one is no disclosure; of short numbers most may be real
+        real = found.where(f"kind not like 'given%' and not (kind = 'phone' and length(value) <= {SHORT})").select("kind", F.col("value").alias("core"), F.lit(True).alias("is_real"))
         blocked = first.join(real, ["kind", "core"], "left")
         if taken is not None:
             blocked = blocked.join(taken.withColumn("is_taken", F.lit(True)), ["kind", "core"], "left")
@@ -382,7 +420,10 @@ def replace_personal_data(documents: DataFrame, key: str) -> DataFrame:
         # by the text's hash: repeated ids cannot mix, and few texts are concerned
         one = told.select("hash", "entity.kind", "entity.value").join(again, ["kind", "value"])
         one = one.groupBy("hash").agg(F.map_from_entries(F.collect_set(entry)).alias("attempts"))
-        rows = rows.withColumn("hash", F.when(F.size("told") > 0, F.sha2("text", 256))).join(one, "hash", "left")
+        # texts without mentions are spread by a hash of their own that meets none
+        none = F.concat(F.lit("-"), F.xxhash64("text").cast("string"))
+        rows = rows.withColumn("hash", F.when(F.size("told") > 0, F.sha2("text", 256)).otherwise(none))
+        rows = lookup_join(rows, one, ["hash"], "left", summarised=True)
         attempts = F.col("attempts")
 
     def row(what: Column, value: Column) -> Column:

@@ -1,3 +1,4 @@
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -90,3 +91,65 @@ def test_bare_surnames_are_replaced(spark):
     assert "Smith" not in new and {w.lower() for w in new} == {new[0].lower()} and new[3].isupper()
     assert (rows[0].n_mentions, rows[1].text, rows[1].n_mentions) == (5, "Smith alone", 0)
     assert "O'Neil" not in rows[2].text and rows[2].text.endswith(" left. Smithson too") and rows[2].n_mentions == 2
+
+
+def digits(text):
+    return re.sub("[^0-9]", "", text)
+
+
+def test_many_numbers_stay_distinct_and_none_is_real(spark):
+    rng = random.Random(4)
+    local = {f"{rng.randrange(1000):03d}-{rng.randrange(10000):04d}" for _ in range(15000)}
+    abroad = {f"+358 {rng.randrange(1000):03d} {rng.randrange(10000):04d}" for _ in range(15000)}
+    short = {f"+43{rng.randrange(100):02d} {rng.randrange(100):02d}" for _ in range(4000)}
+    numbers = sorted(local | {a for a in abroad if a[5:].replace(" ", "-") not in local} | short)
+    docs = documents(spark, [f"call {n}, or {n}." for n in numbers])
+    new = {}
+    for r in pii.replace_personal_data(docs, "key").collect():
+        one, two = re.fullmatch(r"call (.+), or (.+)\.", r.text).groups()
+        old = numbers[r.doc_id]
+        assert one == two != old and re.sub("[0-9]", "0", one) == re.sub("[0-9]", "0", old), (old, r.text)
+        code = 4 if old.startswith("+358 ") else 3 if old.startswith("+43") else 0
+        assert one[:code] == old[:code]
+        new[old] = one
+    assert len(set(new.values())) == len(numbers)
+    assert len({digits(v) for n, v in new.items() if n not in short}) == len(numbers) - len(short)
+    known = {n for n in numbers if n not in short}
+    assert not known & set(new.values())
+
+
+def test_phone_numbers_with_and_without_country_code(spark):
+    text = "+1 555-123-4567 (555) 123-4567 +1 (555) 123-4567 555-123-4567 +15551234567 +44 20 7946 0958 +442079460958"
+    new = pii.replace_personal_data(documents(spark, [text]), "key").first().text
+    form = r"\+1 (\d{3}-\d{3}-\d{4}) (\(\d{3}\) \d{3}-\d{4}) \+1 (\(\d{3}\) \d{3}-\d{4}) (\d{3}-\d{3}-\d{4}) \+1(\d{10}) \+44 (\d\d \d{4} \d{4}) \+44(\d{10})"
+    parts = [digits(p) for p in re.fullmatch(form, new).groups()]
+    assert len(set(parts[:5])) == 1 and parts[0] != "5551234567"
+    assert parts[5] == parts[6] != "2079460958"
+
+
+def test_account_numbers_keep_their_check(spark):
+    def remainder(iban):
+        turned = iban.replace(" ", "")[4:] + iban[:4]
+        return int("".join(str(int(c, 36)) for c in turned)) % 97
+
+    ibans = ["DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432", "NL91ABNA0417164300", "FR14 2004 1010 0505 0001 3M02 606"]
+    wrong = ["DE88 3704 0044 0532 0130 00", "GB13WEST12345698765432"]
+    rows = pii.replace_personal_data(documents(spark, ibans + wrong), "key").orderBy("doc_id").collect()
+    for old, row in zip(ibans + wrong, rows, strict=True):
+        assert row.kinds == ["iban"] and row.text != old and row.text[:2] == old[:2]
+        assert [c.isdigit() for c in row.text] == [c.isdigit() for c in old]
+        assert (remainder(row.text) == 1) == (old in ibans)
+
+
+def test_texts_without_mentions_are_spread_in_the_join(spark, monkeypatch):
+    def small(key, what, value, attempt, stream):
+        return F.concat(F.lit("10.0.0."), (F.pmod(F.xxhash64(value, attempt), F.lit(40)) + 1).cast("string"))
+
+    monkeypatch.setattr(pii, "_core", small)
+    monkeypatch.setattr(pii, "ROUNDS", 200)
+    texts = [f"at 20.0.0.{i}" for i in range(1, 7)] + [None, "", "none", "none"] * 3
+    rows = pii.replace_personal_data(documents(spark, texts), "k")
+    assert "isnotnull(hash" not in rows._jdf.queryExecution().analyzed().toString()
+    found = {r.doc_id: r.text for r in rows.collect()}
+    assert len(found) == len(texts) and len({found[i] for i in range(6)}) == 6
+    assert [found[i] for i in range(6, len(texts))] == texts[6:]
