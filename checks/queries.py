@@ -16,6 +16,7 @@ from kpi_shift.plans.monitoring import Run, monitor_panel, score_range
 from kpi_shift.session import configure
 from kpi_shift.sources import daily, published, quarantine, sinks
 from kpi_shift.spec import CARRIER, SECTOR, TOWER, Level, Monitor
+from kpi_shift.streaming.compaction import compact, read_messages
 from kpi_shift.streaming.messages import append_to_files, parse_messages
 from kpi_shift.streaming.scoring import read_alerts, score_stream
 
@@ -398,6 +399,21 @@ def stream_to_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(parsed.schema).json(out)
 
 
+def compacted_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages whose hourly folders were compacted between two arrivals; the later one brings more rows of compacted days."""
+    source, out, path = new_folder(spark, "messages"), new_folder(spark, "parsed"), new_folder(spark, "compacted")
+    progress = new_folder(spark, "progress")
+    messages = _messages(spark, sf_dir)
+    half = F.pmod(F.xxhash64("value"), F.lit(2))
+    for part in (0, 1):
+        messages.filter(half == part).write.mode("append").parquet(source)
+        parsed = parse_messages(spark.readStream.schema("value binary").parquet(source))
+        append_to_files(parsed, out, progress, once=True).awaitTermination()
+        if not part:
+            compact(spark, out, parsed.schema, path, "2024-01-01", "2024-01-21")
+    return read_messages(spark, out, parsed.schema, path)
+
+
 def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     source, out = new_folder(spark, "arriving"), new_folder(spark, "alerts")
@@ -517,6 +533,7 @@ QUERIES = {
     "latest_snapshot": latest_snapshot,
     "stream_parse": stream_parse,
     "stream_to_files": stream_to_files,
+    "compacted_messages": compacted_messages,
     "stream_score": stream_score,
     "colocated_scores": colocated_scores,
     "published_scores": published_scores,
