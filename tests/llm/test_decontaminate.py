@@ -72,3 +72,15 @@ def test_matches_are_maximal_and_located(spark):
     text = "x y " + " ".join(item.split()[5:25]) + " z"
     (row,) = decontaminate.benchmark_matches(documents(spark, [text]), spark.createDataFrame([(4, item)], "item_id bigint, text string")).collect()
     assert [m.asDict() for m in row.matches] == [{"item_id": "4", "item_start": 5, "doc_start": 2, "length": 20}]
+
+
+def test_a_shared_preamble_is_searched_once(spark):
+    # 800 items and 800 documents share a passage: 640,000 pairs, but as many windows as one item has
+    preamble = prose(40, 5)
+    items = [(i, f"{preamble} {prose(20, 1000 + i)}") for i in range(800)]
+    block = decontaminate._block([str(i) for i, _ in items], [t for _, t in items], 13)
+    assert len(block.start) <= 28 + 800 * 32 and len(block.item) == sum(len(words(t)) - 12 for _, t in items)
+    docs = [(i, f"{prose(10, 5000 + i)} {preamble}") for i in range(800)]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = decontaminate.contamination(documents(spark, docs), bench).collect()
+    assert len(got) == 800 and {(r.n_hit, len(r["items"])) for r in got} == {(40, 800)}
