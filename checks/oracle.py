@@ -373,6 +373,7 @@ where not (t.table_name = 'raw files' and exists (
     "stream_to_files": PARSED,
     "compacted_messages": PARSED,
     "stream_score": chain("select * from scored where has_abnormal_kpi = 1", **RUN),
+    "stream_withdrawn": chain("select * from scored where has_abnormal_kpi = 1", **RUN),
     "published_scores": chain(f"select * from scored where day >= date '{RANGE[0]}' and day < date '{RANGE[1]}'", **RUN),
     "colocated_scores": chain("select * from scored", **RUN),
     "kept_events": chain("select * from ev", **PANEL_EVENTS),

@@ -17,6 +17,7 @@ from kpi_shift.session import configure
 from kpi_shift.sources import daily, published, quarantine, sinks
 from kpi_shift.spec import CARRIER, SECTOR, TOWER, Level, Monitor
 from kpi_shift.streaming.compaction import compact, read_messages
+from kpi_shift.streaming.keyed import alert_change_stream, standing_alerts
 from kpi_shift.streaming.messages import append_to_files, parse_messages
 from kpi_shift.streaming.scoring import read_alerts, score_stream
 
@@ -428,6 +429,21 @@ def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_alerts(spark, out)
 
 
+def stream_withdrawn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts that stand after rows came one part after another, silent ones last."""
+    configure(spark)
+    source, out = new_folder(spark, "arriving"), new_folder(spark, "changes")
+    progress = new_folder(spark, "progress")
+    panel = _panel(spark, sf_dir)
+    baseline = stage(monitor_panel(panel, TOWER, MONITOR).baseline, "baseline")
+    silent = F.expr(f"coalesce({columns.row_sum(MONITOR.new_columns)} = 0, false)")
+    for part in (panel.filter(~silent), panel.filter(silent)):
+        part.write.mode("append").parquet(source)
+        arriving = spark.readStream.schema(panel.schema).parquet(source)
+        alert_change_stream(arriving, baseline, out, progress, TOWER, MONITOR, once=True, keep_days=4_000).awaitTermination()
+    return standing_alerts(spark, out, TOWER)
+
+
 def colocated_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole run on a panel in catalog buckets."""
     configure(spark)
@@ -535,6 +551,7 @@ QUERIES = {
     "stream_to_files": stream_to_files,
     "compacted_messages": compacted_messages,
     "stream_score": stream_score,
+    "stream_withdrawn": stream_withdrawn,
     "colocated_scores": colocated_scores,
     "published_scores": published_scores,
     "kept_events": kept_events,
