@@ -371,6 +371,7 @@ where not (t.table_name = 'raw files' and exists (
     ),
     "stream_parse": PARSED,
     "stream_to_files": PARSED,
+    "queue_messages": PARSED,
     "compacted_messages": PARSED,
     "stream_score": chain("select * from scored where has_abnormal_kpi = 1", **RUN),
     "stream_withdrawn": chain("select * from scored where has_abnormal_kpi = 1", **RUN),

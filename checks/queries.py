@@ -14,7 +14,7 @@ from kpi_shift.operators import alerts, audit, clean, context, events, impact, p
 from kpi_shift.plans import colocated, history, incremental
 from kpi_shift.plans.monitoring import Run, monitor_panel, score_range
 from kpi_shift.session import configure
-from kpi_shift.sources import daily, published, quarantine, sinks
+from kpi_shift.sources import daily, published, quarantine, queue, sinks
 from kpi_shift.spec import CARRIER, SECTOR, TOWER, Level, Monitor
 from kpi_shift.streaming.compaction import compact, read_messages
 from kpi_shift.streaming.keyed import alert_change_stream, standing_alerts
@@ -400,6 +400,18 @@ def stream_to_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(parsed.schema).json(out)
 
 
+def queue_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages through the queue: half by a batch write, half by a stream, read as a stream's rows are."""
+    queue.register(spark)
+    messages, path, source = _messages(spark, sf_dir).select("value"), new_folder(spark, "queue"), new_folder(spark, "source")
+    first = F.crc32(F.col("value").cast("binary")) % 2 == 0
+    messages.filter(first).write.format(queue.FORMAT).mode("append").save(path)
+    messages.filter(~first).write.parquet(source)
+    rest = spark.readStream.schema(messages.schema).parquet(source).writeStream.format(queue.FORMAT).options(path=path, writer="rest")
+    rest.option("checkpointLocation", new_folder(spark, "progress")).trigger(once=True).start().awaitTermination()
+    return parse_messages(spark.read.format(queue.FORMAT).load(path))
+
+
 def compacted_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages whose hourly folders were compacted between two arrivals; the later one brings more rows of compacted days."""
     source, out, path = new_folder(spark, "messages"), new_folder(spark, "parsed"), new_folder(spark, "compacted")
@@ -549,6 +561,7 @@ QUERIES = {
     "latest_snapshot": latest_snapshot,
     "stream_parse": stream_parse,
     "stream_to_files": stream_to_files,
+    "queue_messages": queue_messages,
     "compacted_messages": compacted_messages,
     "stream_score": stream_score,
     "stream_withdrawn": stream_withdrawn,
