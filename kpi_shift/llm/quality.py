@@ -187,9 +187,12 @@ def train(documents: DataFrame, labels: DataFrame, training: Column, label: str
     """Fit to at most ``sample`` of the rows of ``labels`` for which ``training`` holds.
 
     The sample is broadcast to the documents: its size is bounded by ``sample`` rows of an id and a label.
+    Rows that share a labelled id count once, with their least text; null texts only where an id has no other.
     """
     chosen = labelled_sample(labels, label, training, sample)
-    found = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("label", "text")
+    found = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    # of the rows that share an id one is learned from, so what comes to the driver is bounded by the sample too
+    found = found.groupBy("doc_id").agg(F.max("label").alias("label"), F.min("text").alias("text")).select("label", "text")
     got = found.mapInArrow(_feature_lists, "label int, features binary").collect()
     rows = [np.frombuffer(r.features, "<i4").astype(np.int64) for r in got]
     return fit(rows, np.array([r.label for r in got], np.int64))

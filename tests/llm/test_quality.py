@@ -45,3 +45,11 @@ def test_dual_descent_separates(spark):
     rows = [np.array([0, 2]), np.array([1, 2]), np.array([0]), np.array([1])]
     model = quality.fit(rows * 5, np.array([1, 0, 1, 0] * 5))
     assert model.weights[0] > 0 > model.weights[1] and model.slope > 0
+
+
+def test_rows_that_share_an_id_are_learned_once(spark):
+    docs = documents(spark, [(i, f"{'good' if i % 2 else 'bad'} text {i}") for i in range(40)])
+    more = documents(spark, [(1, "zzz bad bad"), (1, None), (2, "zzz good")])
+    known = labels(spark, [(i, i % 2, 0) for i in range(40)])
+    once, again = (quality.train(d, known, ~quality.held_out(5, 99)) for d in (docs, docs.union(docs).union(more)))
+    assert np.array_equal(once.weights, again.weights) and (once.slope, once.offset) == (again.slope, again.offset)
